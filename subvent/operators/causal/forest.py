@@ -176,6 +176,7 @@ def iv_forest_fit(
             (as_double(rows, raw_z) > high).alias("high"),
         ),
         "forest_panel",
+        spread_by="unit",
     )
     if merge is None:
         cells = binned.agg(F.approx_count_distinct("bins")).first()[0]

@@ -22,13 +22,18 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, spread_by: str | None = None) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 
     Cuts the lineage, survives the loss of an executor, and gives later passes a
-    columnar scan with an exact row count in its footers.
+    columnar scan with an exact row count in its footers. ``spread_by`` names a column whose
+    hash spreads the rows over one file per core or more: for compact tables whose rows fan out
+    when read, where the usual file size would make too few and too heavy tasks.
     """
     spark = df.sparkSession
+    if spread_by is not None:
+        files = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        df = df.repartition(files, spread_by)
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
