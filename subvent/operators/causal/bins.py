@@ -56,6 +56,18 @@ class FeatureBins:
         )
 
 
+def _levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """The values of each text column, all columns in one pass; too many are refused, never cut."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("level")) for c in columns])
+    found = df.select(F.inline(pairs)).filter("level IS NOT NULL").distinct()
+    rows = found.limit(MAX_LEVELS * len(columns) + 1).collect()
+    levels = {c: sorted(r["level"] for r in rows if r["name"] == c) for c in columns}
+    for c, values in levels.items():
+        if len(values) > MAX_LEVELS or len(rows) > MAX_LEVELS * len(columns):
+            raise ValueError(f"column '{c}' has more than {MAX_LEVELS} values, or another text column; encode it as a number")
+    return levels
+
+
 def learn_bins(
     df: DataFrame, columns: Sequence[str], n_bins: int = 32, edges: Mapping[str, Sequence[float]] | None = None
 ) -> FeatureBins:
@@ -76,14 +88,11 @@ def learn_bins(
         for c, found in zip(open_columns, quantiles):
             # the lowest quantile is the smallest value: no row lies below it
             edges[c] = sorted(set(found or []) - {min(found)} if found else [])
+    levels = _levels(df, text) if text else {}
     features = []
     for c in columns:
-        if c in text:
-            levels = df.select(F.col(c).cast("string").alias("v")).filter("v IS NOT NULL").distinct()
-            found = sorted(r["v"] for r in levels.limit(MAX_LEVELS + 1).collect())
-            if len(found) > MAX_LEVELS:
-                raise ValueError(f"column '{c}' has more than {MAX_LEVELS} values; encode it as a number")
-            features += [Feature(c, level=v) for v in found]
+        if c in levels:
+            features += [Feature(c, level=v) for v in levels[c]]
         else:
             features.append(Feature(c, edges=tuple(sorted(float(e) for e in edges[c]))))
     return FeatureBins(tuple(features))
