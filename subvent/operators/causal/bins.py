@@ -72,22 +72,26 @@ def learn_bins(
     df: DataFrame, columns: Sequence[str], n_bins: int = 32, edges: Mapping[str, Sequence[float]] | None = None
 ) -> FeatureBins:
     """Edges at even quantiles (one pass for all columns) and levels of text columns."""
+    return learn_bins_and(df, columns, n_bins, edges, [])[0]
+
+
+def learn_bins_and(
+    df: DataFrame, columns: Sequence[str], n_bins: int, edges: Mapping[str, Sequence[float]] | None, also: Sequence[Column]
+) -> tuple[FeatureBins, tuple]:
+    """:func:`learn_bins`, with further aggregates taken in the same pass over the rows."""
     require(df, columns)
     if n_bins < 2:
         raise ValueError("n_bins must be at least 2")
     edges = dict(edges or {})
     types = {f.name: f.dataType for f in df.schema.fields}
-    numeric = [c for c in columns if isinstance(types[c], T.NumericType)]
-    text = [c for c in columns if c not in numeric]
-    open_columns = [c for c in numeric if c not in edges]
-    if open_columns:
-        shares = F.array(*[F.lit(i / n_bins) for i in range(n_bins)])
-        quantiles = df.agg(
-            *[F.percentile_approx(F.col(c).cast("double"), shares, 10_000).alias(f"q{i}") for i, c in enumerate(open_columns)]
-        ).first()
-        for c, found in zip(open_columns, quantiles):
-            # the lowest quantile is the smallest value: no row lies below it
-            edges[c] = sorted(set(found or []) - {min(found)} if found else [])
+    text = [c for c in columns if not isinstance(types[c], T.NumericType)]
+    learn = [c for c in columns if c not in text and c not in edges]
+    shares = F.array(*[F.lit(i / n_bins) for i in range(n_bins)])
+    wanted = [F.percentile_approx(F.col(c).cast("double"), shares, 10_000) for c in learn] + list(also)
+    results = tuple(df.agg(*[w.alias(f"a{i}") for i, w in enumerate(wanted)]).first()) if wanted else ()
+    for c, found in zip(learn, results):
+        # the lowest quantile is the smallest value: no row lies below it
+        edges[c] = sorted(set(found) - {min(found)}) if found else []
     levels = _levels(df, text) if text else {}
     features = []
     for c in columns:
@@ -95,7 +99,7 @@ def learn_bins(
             features += [Feature(c, level=v) for v in levels[c]]
         else:
             features.append(Feature(c, edges=tuple(sorted(float(e) for e in edges[c]))))
-    return FeatureBins(tuple(features))
+    return FeatureBins(tuple(features)), results[len(learn) :]
 
 
 def bin_features(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subvent.functions.checks import as_double, complete, refuse, require
-from subvent.operators.causal.bins import FeatureBins, learn_bins
+from subvent.operators.causal.bins import FeatureBins, learn_bins_and
 from subvent.operators.causal.draws import Draws
 from subvent.operators.causal.scoring import LEAF_MEANS, PackedForest, leaf_scorer
 from subvent.operators.causal.split import SUMS, best_splits, histogram, row_sums
@@ -25,6 +25,8 @@ SPLITS_SCHEMA = "tree int, node bigint, feature int, bin int, gain double"
 LEAVES_SCHEMA = "tree int, node bigint, n bigint, mz double, mw double, my double, mzy double, mzw double"
 # Partial sums a task may hold at a time; more trees than fit are grown in further passes.
 GROUPS_PER_PASS = 4_000_000
+# Bound on the broadcast tree tables, some 20 MB.
+MOST_NODES = 1_000_000
 # Units are merged into cells of equal bins when that leaves at least this many rows per cell.
 ROWS_PER_CELL = 8
 
@@ -155,17 +157,20 @@ def iv_forest_fit(
     if depth < 1 or min_leaf < 1:
         raise ValueError("depth and min_leaf must be at least 1")
     draws = draws or Draws(trees, fraction, seed)
+    if draws.trees * 2**depth > MOST_NODES:
+        raise ValueError(f"trees * 2^depth may be at most {MOST_NODES}: the tree tables are broadcast")
     spark = panel.sparkSession
     ok = complete([z, w, y, raw_z])
     rows = panel.filter(ok)
-    bins = learn_bins(rows, x, n_bins, edges)
-    about = panel.agg(
-        F.count(F.when(ok, 1)).alias("n"),
-        F.count(F.lit(1)).alias("total"),
-        *[F.avg(F.when(ok, as_double(panel, c))).alias(f"m{i}") for i, c in enumerate((z, w, y, raw_z))],
-    ).first()
-    # shifting z, w and y changes no effect but saves digits in the sums
-    mz, mw, my, high = (about[f"m{i}"] or 0.0 for i in range(4))
+    # shifting z, w and y by their means changes no effect but saves digits in the sums
+    masked = panel.select(
+        *[F.when(ok, F.col(c)).alias(c) for c in x],
+        *[F.when(ok, as_double(panel, c)).alias(f"_m{i}") for i, c in enumerate((z, w, y, raw_z))],
+    )
+    counts = [F.count("_m0"), F.count(F.lit(1)) - F.count("_m0")]
+    bins, about = learn_bins_and(masked, x, n_bins, edges, counts + [F.avg(f"_m{i}") for i in range(4)])
+    n, n_dropped = about[:2]
+    mz, mw, my, high = (m or 0.0 for m in about[2:])
     binned = stage(
         rows.select(
             F.col(unit).alias("unit"),
@@ -180,7 +185,7 @@ def iv_forest_fit(
     )
     if merge is None:
         cells = binned.agg(F.approx_count_distinct("bins")).first()[0]
-        merge = about["n"] * draws.fraction / 2 >= ROWS_PER_CELL * cells
+        merge = n > 0 and n * draws.fraction / 2 >= ROWS_PER_CELL * cells
     merged = _merge_cells(binned, draws) if merge else None
 
     def half_rows(first: int, last: int, half: bool) -> DataFrame:
@@ -216,8 +221,8 @@ def iv_forest_fit(
         bins,
         draws,
         depth,
-        about["n"],
-        about["total"] - about["n"],
+        n,
+        n_dropped,
     )
 
 

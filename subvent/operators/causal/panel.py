@@ -53,6 +53,10 @@ def _window_sums(
     )
 
 
+def _time(df: DataFrame, ts: str, text: str) -> Column:
+    return F.lit(text).cast(df.schema[ts].dataType)
+
+
 def experiment_panel(
     assignment: DataFrame,
     issuance: DataFrame,
@@ -69,7 +73,8 @@ def experiment_panel(
 
     Issuance and outcome are summed per unit separately, so several records of each do not
     multiply. A unit without a record keeps 0. A unit assigned more than once counts from its
-    first assignment. Units that hold more than an even share of the records are salted.
+    first assignment. The scans of the records read only the span of all windows, and units that
+    hold more than an even share of those records are salted.
     """
     require(assignment, [unit, ts], [z])
     require(issuance, [unit, ts], [amount])
@@ -81,6 +86,14 @@ def experiment_panel(
         .agg(F.min(F.struct(F.col(ts).alias("start"), F.col(z).alias("z"))).alias("_first"))
         .select(unit, F.col("_first.start").alias("_start"), F.col("_first.z").alias(z))
     )
+    # records outside every window are left out by the scan itself
+    first, last = assigned.agg(
+        F.min("_start").cast("string"), F.max(F.col("_start") + window).cast("string")
+    ).first()
+    if first is not None:
+        issuance, outcome = (
+            df.filter((F.col(ts) >= _time(df, ts, first)) & (F.col(ts) < _time(df, ts, last))) for df in (issuance, outcome)
+        )
     issued = _window_sums(assigned, issuance, unit, ts, amount, window, parts)
     issued = issued.select("_u", F.col("_n").alias("_n_issued"), F.col("_sum").alias("_issued"))
     earned = _window_sums(assigned, outcome, unit, ts, value, window, parts)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subvent.functions.checks import as_double, complete, require
@@ -42,56 +42,47 @@ def best_splits(hist: DataFrame, min_leaf: int) -> DataFrame:
     Gains are compared at float precision, and ties go to the first (feature, bin): sums of
     doubles depend on task order in their last digits.
     """
-    node = Window.partitionBy("tree", "node", "feature")
-    upto = node.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = hist.select(
+    side = max(min_leaf, 1)
+    half = f"{min_leaf / 2}D"
+    both = hist.selectExpr(
         "tree",
         "node",
         "feature",
         "bin",
-        *[F.sum(c).over(upto).alias(f"l_{c}") for c in SUMS],
-        *[F.sum(c).over(node).alias(f"t_{c}") for c in SUMS],
+        *[f"sum({c}) OVER (PARTITION BY tree, node, feature) AS t_{c}" for c in SUMS],
+        *[
+            f"sum({c}) OVER (PARTITION BY tree, node, feature ORDER BY bin"
+            f" ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l_{c}"
+            for c in SUMS
+        ],
     )
-    n = F.col("t_n")
-    mz, mw, my = (F.col(f"t_{c}") / n for c in ("sz", "sw", "sy"))
-    spread = F.col("t_szw") - mz * F.col("t_sw")
-    real = F.abs(spread) > CANCELLED * (F.abs("t_szw") + F.abs(mz * F.col("t_sw")))
-    tau = F.when(real, F.try_divide(F.col("t_szy") - mz * F.col("t_sy"), spread))
-    left = (F.col("l_szy") - mz * F.col("l_sy") - my * F.col("l_sz") + F.col("l_n") * mz * my) - F.col("tau") * (
-        F.col("l_szw") - mz * F.col("l_sw") - mw * F.col("l_sz") + F.col("l_n") * mz * mw
+    allowed = both.filter(
+        f"""l_n >= {side} AND t_n - l_n >= {side}
+        AND l_high >= {half} AND l_n - l_high >= {half}
+        AND t_high - l_high >= {half} AND (t_n - l_n) - (t_high - l_high) >= {half}"""
     )
-    n_right = n - F.col("l_n")
-    high_right = F.col("t_high") - F.col("l_high")
-    half = min_leaf / 2
-    allowed = (
-        (F.col("l_n") >= max(min_leaf, 1))
-        & (n_right >= max(min_leaf, 1))
-        & (F.col("l_high") >= half)
-        & (F.col("l_n") - F.col("l_high") >= half)
-        & (high_right >= half)
-        & (n_right - high_right >= half)
+    centred = allowed.selectExpr("*", "t_sz / t_n AS mz", "t_sw / t_n AS mw", "t_sy / t_n AS my")
+    effects = centred.selectExpr(
+        "*",
+        f"""CASE WHEN abs(t_szw - mz * t_sw) > {CANCELLED}D * (abs(t_szw) + abs(mz * t_sw))
+            THEN try_divide(t_szy - mz * t_sy, t_szw - mz * t_sw) END AS tau""",
     )
-    gains = (
-        both.filter(allowed)
-        .withColumn("tau", tau)
-        .withColumn("rho", left)
-        .withColumn("gain", F.col("rho") * F.col("rho") * (1.0 / F.col("l_n") + 1.0 / n_right))
-        .filter(F.col("gain").isNotNull())
+    scores = effects.selectExpr(
+        "*",
+        """l_szy - mz * l_sy - my * l_sz + l_n * mz * my
+            - tau * (l_szw - mz * l_sw - mw * l_sz + l_n * mz * mw) AS rho""",
     )
-    ranked = F.struct(
-        F.col("gain").cast("float").alias("rank"),
-        (-F.col("feature")).alias("first_feature"),
-        (-F.col("bin")).alias("first_bin"),
-        "feature",
-        "bin",
-        "gain",
-        F.col("t_n").alias("n"),
-        F.col("l_n").alias("n_left"),
-        F.col("t_sz").alias("sz"),
-        F.col("l_sz").alias("sz_left"),
-    )
-    return gains.groupBy("tree", "node").agg(F.max(ranked).alias("best")).select("tree", "node", "best.*").drop(
-        "rank", "first_feature", "first_bin"
+    gains = scores.selectExpr("*", "rho * rho * (1D / l_n + 1D / (t_n - l_n)) AS gain").filter("gain IS NOT NULL")
+    return (
+        gains.selectExpr(
+            "tree",
+            "node",
+            "struct(float(gain) AS rank, -feature AS first_feature, -bin AS first_bin, feature, bin, gain,"
+            " t_n AS n, l_n AS n_left) AS candidate",
+        )
+        .groupBy("tree", "node")
+        .agg(F.max("candidate").alias("best"))
+        .select("tree", "node", *[f"best.{c}" for c in ("feature", "bin", "gain", "n", "n_left")])
     )
 
 
@@ -119,4 +110,4 @@ def iv_split(
     # centred sums lose fewer digits
     z, w, y = (F.col(c) - F.col(f"_m{c}") for c in ("_z", "_w", "_y"))
     sums = rows.select("tree", "node", F.col(bins).alias("bins"), *row_sums(z, w, y, z > 0))
-    return best_splits(histogram(sums), min_leaf).drop("sz", "sz_left")
+    return best_splits(histogram(sums), min_leaf)

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from subvent.functions.checks import require
 from subvent.functions.steps import edges_passed
 from subvent.operators.shape.basis import SHAPES
+from subvent.plans.lookup import shuffle_partitions
 from subvent.sources.staging import stage
 
+# more edges than this would make a needlessly long expression
+MOST_SLICES = 256
+
 
 def _slice_of(points: DataFrame, slices: int) -> Column:
     """Number of the even-sized slice along x a point falls in; one narrow pass finds the edges."""
@@ -29,16 +33,17 @@ def shape_audit(
     by: Sequence[str] = (),
     shape: str = "convex_increasing",
     tol: float = 1e-9,
-    slices: int = 32,
+    slices: int | None = None,
 ) -> DataFrame:
     """Per segment: points, breaches of the shape along x and the worst one.
 
     Rows are first averaged to one point per (segment, x). A breach is a first divided
     difference of the wrong sign, or a second one for the bend. Points are compared within
     slices of x, each preceded by copies of the two points before it, so a long segment is
-    spread over ``slices`` tasks and no neighbour is missed.
+    spread over ``slices`` tasks (by default one per shuffle partition) and no neighbour is missed.
     """
     by = list(by)
+    slices = slices or min(shuffle_partitions(df), MOST_SLICES)
     require(df, by, [pred, x])
     _, slope_sign, bend_sign = SHAPES[shape]
     # equal predictions are taken as they are: their average could differ in the last digit

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A table of this many keys with a dozen numbers each stays in the tens of MB.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000
 
 
 def shuffle_partitions(df: DataFrame) -> int:
