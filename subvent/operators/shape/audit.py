@@ -13,6 +13,8 @@ from subvent.operators.shape.basis import SHAPES
 from subvent.plans.lookup import shuffle_partitions
 from subvent.sources.staging import stage
 
+# fixed value: predictions of size p are taken as exact to this share of p
+ROUNDING = 4e-15
 # more edges than this would make a needlessly long expression
 MOST_SLICES = 256
 
@@ -38,7 +40,8 @@ def shape_audit(
     """Per segment: points, breaches of the shape along x and the worst one.
 
     Rows are first averaged to one point per (segment, x). A breach is a first divided
-    difference of the wrong sign, or a second one for the bend. Points are compared within
+    difference of the wrong sign, or a second one for the bend, by more than ``tol`` and more than
+    the rounding of the predictions can cause. Points are compared within
     slices of x, each preceded by copies of the two points before it, so a long segment is
     spread over ``slices`` tasks (by default one per shuffle partition) and no neighbour is missed.
     """
@@ -78,18 +81,25 @@ def shape_audit(
     )
 
     along = Window.partitionBy(*by, "_slice").orderBy("_x")
-    gap = F.col("_x") - F.lag("_x").over(along)
+    last_three = along.rowsBetween(-2, Window.currentRow)
     steps = (
         points.unionByName(copies)
-        .withColumn("_d1", (F.col("_p") - F.lag("_p").over(along)) / gap)
-        .withColumn("_d2", (F.col("_d1") - F.lag("_d1").over(along)) / (F.col("_x") - F.lag("_x", 2).over(along)))
+        .withColumn("_gap", F.col("_x") - F.lag("_x").over(along))
+        .withColumn("_span", F.col("_x") - F.lag("_x", 2).over(along))
+        .withColumn("_d1", (F.col("_p") - F.lag("_p").over(along)) / F.col("_gap"))
+        .withColumn("_d2", (F.col("_d1") - F.lag("_d1").over(along)) / F.col("_span"))
+        .withColumn("_fuzz", F.lit(ROUNDING) * F.max(F.abs("_p")).over(last_three) / F.min("_gap").over(last_three))
         .filter(~F.col("_copy"))
     )
-    slope = F.coalesce(-slope_sign * F.col("_d1"), F.lit(0.0))
-    bend = F.coalesce(-bend_sign * F.col("_d2"), F.lit(0.0))
+
+    def breach(amount: Column, rounding: Column) -> Column:
+        return F.when(amount > F.lit(tol) + rounding, amount)
+
+    slope = breach(-slope_sign * F.col("_d1"), F.col("_fuzz"))
+    bend = breach(-bend_sign * F.col("_d2"), F.col("_fuzz") / F.col("_span"))
     return steps.groupBy(*by).agg(
         F.count(F.lit(1)).alias("points"),
-        F.count(F.when(slope > tol, 1)).alias("slope_breaches"),
-        F.count(F.when(bend > tol, 1)).alias("bend_breaches"),
-        F.max(F.greatest(slope, bend, F.lit(0.0))).alias("worst"),
+        F.count(slope).alias("slope_breaches"),
+        F.count(bend).alias("bend_breaches"),
+        F.coalesce(F.greatest(F.max(slope), F.max(bend)), F.lit(0.0)).alias("worst"),
     )

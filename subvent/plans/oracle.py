@@ -314,13 +314,17 @@ def grid(n: int, lo: float, hi: float, segments: str = "SELECT DISTINCT segment
 def audit(rows: str, pred: str, x: str, by: str, slope_sign: int, bend_sign: int, worst: bool = True) -> str:
     return f"""pts AS (SELECT {by}, {x} AS x, CASE WHEN min({pred}) = max({pred}) THEN min({pred}) ELSE avg({pred}) END AS p
   FROM {rows} GROUP BY {by}, {x}),
-d1 AS (SELECT *, lag(x) OVER o AS x1, lag(x, 2) OVER o AS x2, (p - lag(p) OVER o) / (x - lag(x) OVER o) AS s
+d1 AS (SELECT *, x - lag(x) OVER o AS gap, x - lag(x, 2) OVER o AS span, p - lag(p) OVER o AS rise
   FROM pts WINDOW o AS (PARTITION BY {by} ORDER BY x)),
-d2 AS (SELECT *, coalesce({-slope_sign} * s, 0) AS slope,
-    coalesce({-bend_sign} * ((s - lag(s) OVER (PARTITION BY {by} ORDER BY x)) / (x - x2)), 0) AS bend FROM d1)
-SELECT {by}, count(*) AS points, count(CASE WHEN slope > 1e-9 THEN 1 END) AS slope_breaches,
-  count(CASE WHEN bend > 1e-9 THEN 1 END) AS bend_breaches{f", {r('max(greatest(slope, bend, 0e0))', 2)} AS worst" if worst else ""}
-FROM d2 GROUP BY {by}"""
+d2 AS (SELECT *, (rise / gap - lag(rise / gap) OVER o) / span AS turn,
+    4e-15 * max(abs(p)) OVER three / min(gap) OVER three AS fuzz
+  FROM d1 WINDOW o AS (PARTITION BY {by} ORDER BY x),
+    three AS (PARTITION BY {by} ORDER BY x ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
+d3 AS (SELECT *, CASE WHEN {-slope_sign} * (rise / gap) > 1e-9 + fuzz THEN {-slope_sign} * (rise / gap) END AS slope,
+    CASE WHEN {-bend_sign} * turn > 1e-9 + fuzz / span THEN {-bend_sign} * turn END AS bend FROM d2)
+SELECT {by}, count(*) AS points, count(slope) AS slope_breaches,
+  count(bend) AS bend_breaches{f", {r('coalesce(greatest(max(slope), max(bend)), 0e0)', 2)} AS worst" if worst else ""}
+FROM d3 GROUP BY {by}"""
 
 
 def gram_rows(source: str, k: int, keys: str, counts: bool = True, digits: int = 6) -> str:
