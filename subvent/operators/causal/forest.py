@@ -77,7 +77,12 @@ class IVForest:
         )
 
 
-def _descend(rows: DataFrame, splits: DataFrame, steps: int, stay: bool) -> DataFrame:
+def _slot(node: str, tree: str, trees: int) -> Column:
+    """One dense number per (node, tree): a single integer key makes the broadcast lookup an array access."""
+    return F.col(node) * trees + F.col(tree)
+
+
+def _descend(rows: DataFrame, splits: DataFrame, trees: int, steps: int, stay: bool) -> DataFrame:
     """``rows`` with the ``node`` reached after ``steps`` splits from the root.
 
     A row whose node did not split stays there, or is left out when ``stay`` is False. Each step is a
@@ -85,17 +90,13 @@ def _descend(rows: DataFrame, splits: DataFrame, steps: int, stay: bool) -> Data
     """
     rows = rows.withColumn("node", F.lit(1).cast("bigint"))
     table = F.broadcast(
-        splits.select(
-            F.col("tree").alias("_tree"), F.col("node").alias("_node"), F.col("feature").alias("_f"), F.col("bin").alias("_b")
-        )
+        splits.select(_slot("node", "tree", trees).alias("_slot"), F.col("feature").alias("_f"), F.col("bin").alias("_b"))
     )
     for _ in range(steps):
-        rows = rows.join(
-            table, (F.col("tree") == F.col("_tree")) & (F.col("node") == F.col("_node")), "left" if stay else "inner"
-        )
+        rows = rows.join(table, _slot("node", "tree", trees) == F.col("_slot"), "left" if stay else "inner")
         child = F.col("node") * 2 + (F.get("bins", F.col("_f")) > F.col("_b")).cast("bigint")
         node = F.when(F.col("_f").isNull(), F.col("node")).otherwise(child) if stay else child
-        rows = rows.withColumn("node", node).drop("_tree", "_node", "_f", "_b")
+        rows = rows.withColumn("node", node).drop("_slot", "_f", "_b")
     return rows
 
 
@@ -201,7 +202,7 @@ def iv_forest_fit(
         new = []
         for first in range(1, draws.trees + 1, per_pass):
             last = min(first + per_pass - 1, draws.trees)
-            at_level = _descend(half_rows(first, last, True), splits, level, stay=False)
+            at_level = _descend(half_rows(first, last, True), splits, draws.trees, level, stay=False)
             new += [
                 (r["tree"], r["node"], r["feature"], r["bin"], r["gain"])
                 for r in best_splits(histogram(at_level), min_leaf).collect()
@@ -210,7 +211,7 @@ def iv_forest_fit(
         if not new:
             break
     splits = spark.createDataFrame(pd.DataFrame(found, columns=SPLIT_COLUMNS), SPLITS_SCHEMA)
-    in_leaf = _descend(half_rows(1, draws.trees, False), splits, depth, stay=True)
+    in_leaf = _descend(half_rows(1, draws.trees, False), splits, draws.trees, depth, stay=True)
     leaves = in_leaf.groupBy("tree", "node").agg(
         F.sum("n").alias("n"),
         *[(F.sum(s) / F.sum("n")).alias(m) for s, m in zip(("sz", "sw", "sy", "szy", "szw"), LEAF_MEANS)],

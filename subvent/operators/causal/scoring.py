@@ -47,11 +47,12 @@ class PackedForest:
         filled[at] = True
         return PackedForest(feature, cut, means, filled, depth, bag_size)
 
-    def leaf(self, tree: int, bins: np.ndarray) -> np.ndarray:
-        node = np.ones(len(bins), dtype=np.int64)
-        row = np.arange(len(bins))
+    def leaf(self, tree: int, flat: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Leaf of each row; ``flat`` holds the rows' bins end to end and ``start`` each row's first."""
+        feature, cut = self.feature[tree], self.cut[tree]
+        node = np.ones(len(start), dtype=np.int64)
         for _ in range(self.depth):
-            right = bins[row, self.feature[tree, node]] > self.cut[tree, node]
+            right = flat.take(start + feature.take(node)) > cut.take(node)
             node = 2 * node + right
         return node - (1 << self.depth)
 
@@ -62,12 +63,16 @@ def _average(forest: PackedForest, bins: np.ndarray, allowed: np.ndarray | None)
     leaf = np.empty((trees, len(bins)), dtype=np.int32)
     used = np.empty((trees, len(bins)), dtype=bool)
     total = np.zeros((len(bins), len(LEAF_MEANS)))
+    flat, start = np.ascontiguousarray(bins).ravel(), np.arange(len(bins)) * bins.shape[1]
     for t in range(trees):
-        leaf[t] = forest.leaf(t, bins)
-        used[t] = forest.filled[t, leaf[t]]
+        at = forest.leaf(t, flat, start)
+        leaf[t] = at
+        used[t] = forest.filled[t].take(at)
         if allowed is not None:
             used[t] &= allowed[:, t]
-        total += forest.means[t, leaf[t]] * used[t][:, None]
+        found = forest.means[t].take(at, axis=0)
+        # means of an empty leaf are 0, so only trees that are not allowed need masking
+        total += found if allowed is None else found * used[t][:, None]
     count = used.sum(axis=0)
     return total / np.maximum(count, 1)[:, None], count, leaf, used
 
