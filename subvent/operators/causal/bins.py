@@ -13,7 +13,7 @@ from subvent.functions.checks import require
 from subvent.functions.steps import edges_passed
 
 # A column with more values than this is refused: give it as a number instead.
-MAX_LEVELS = 64
+MAX_LEVELS = 256
 EDGES_SCHEMA = "feature int, name string, edges array<double>, level string"
 
 

@@ -87,9 +87,7 @@ def experiment_panel(
         .select(unit, F.col("_first.start").alias("_start"), F.col("_first.z").alias(z))
     )
     # records outside every window are left out by the scan itself
-    first, last = assigned.agg(
-        F.min("_start").cast("string"), F.max(F.col("_start") + window).cast("string")
-    ).first()
+    first, last = assignment.agg(F.min(ts).cast("string"), F.max(F.col(ts) + window).cast("string")).first()
     if first is not None:
         issuance, outcome = (
             df.filter((F.col(ts) >= _time(df, ts, first)) & (F.col(ts) < _time(df, ts, last))) for df in (issuance, outcome)

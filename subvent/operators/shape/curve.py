@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +30,18 @@ class ShapeCurves:
     def value(self, x: Column) -> Column:
         return self.basis.value(x, F.col("coef"))
 
+    def save(self, path: str) -> None:
+        self.table.write.parquet(f"{path}/curves")
+        row = (self.x, list(self.by), list(self.basis.knots), float(self.basis.power), self.basis.shape)
+        schema = "x string, by array<string>, knots array<double>, power double, shape string"
+        self.table.sparkSession.createDataFrame([row], schema).write.parquet(f"{path}/basis")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> ShapeCurves:
+        b = spark.read.parquet(f"{path}/basis").first()
+        basis = CurveBasis(tuple(b["knots"]), b["power"], b["shape"])
+        return ShapeCurves(spark.read.parquet(f"{path}/curves"), basis, b["x"], tuple(b["by"]))
+
     def attach_to(self, df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
         """``df`` with the ``coef`` of each row's segment."""
         if not self.by:

@@ -88,6 +88,19 @@ class RecuNet:
         return RecuNet(tuple(theta), power, x_shape, x_free, tuple(scales))
 
 
+    def save(self, path: str) -> None:
+        spark = SparkSession.active()
+        self.to_df(spark).write.parquet(f"{path}/weights")
+        row = (self.power, self.x_shape, self.x_free, list(self.scales))
+        schema = "power double, x_shape string, x_free string, scales array<double>"
+        spark.createDataFrame([row], schema).write.parquet(f"{path}/scales")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> RecuNet:
+        s = spark.read.parquet(f"{path}/scales").first()
+        return RecuNet.from_df(spark.read.parquet(f"{path}/weights"), s["power"], s["x_shape"], s["x_free"], s["scales"])
+
+
 def forward(theta: np.ndarray, power: float, s: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Value and Jacobian in the weights, for scaled inputs."""
     h = (len(theta) - 1) // 4

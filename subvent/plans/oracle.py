@@ -75,13 +75,16 @@ SELECT a.unit_id, a.ts, a.z, CAST(i.unit_id IS NOT NULL AS INTEGER) AS w,
   {r("coalesce(i.amount, 0)")} AS amount, {r("coalesce(o.y, 0)")} AS y
 FROM a LEFT JOIN i ON i.unit_id = a.unit_id LEFT JOIN o ON o.unit_id = a.unit_id"""
 
+RESIDUALS = """folded AS (SELECT *, CAST(unit_id % 5 AS INTEGER) AS fold FROM iv_panel),
+cells AS (SELECT segment, priority, fold, count(*) AS n, sum(z) AS z, sum(w) AS w, sum(y) AS y FROM folded GROUP BY ALL),
+others AS (SELECT own.segment, own.priority, own.fold, sum(o.z) / sum(o.n) AS z, sum(o.w) / sum(o.n) AS w, sum(o.y) / sum(o.n) AS y
+  FROM cells own JOIN cells o ON own.segment = o.segment AND own.priority = o.priority AND own.fold <> o.fold GROUP BY ALL),
+residuals AS MATERIALIZED (SELECT f.*, f.z - o.z AS z_res, f.w - o.w AS w_res, f.y - o.y AS y_res
+  FROM folded f LEFT JOIN others o ON f.segment = o.segment AND f.priority = o.priority AND f.fold = o.fold)"""
+
 CROSS_FIT = f"""WITH {IV_PANEL},
-p AS (SELECT *, CAST(unit_id % 5 AS INTEGER) AS fold FROM iv_panel),
-c AS (SELECT segment, priority, fold, count(*) AS n, sum(z) AS z, sum(w) AS w, sum(y) AS y FROM p GROUP BY ALL),
-m AS (SELECT own.segment, own.priority, own.fold, sum(o.z) / sum(o.n) AS z, sum(o.w) / sum(o.n) AS w, sum(o.y) / sum(o.n) AS y
-  FROM c own JOIN c o ON own.segment = o.segment AND own.priority = o.priority AND own.fold <> o.fold GROUP BY ALL)
-SELECT p.unit_id, p.fold, {r("p.z - m.z")} AS z_res, {r("p.w - m.w")} AS w_res, {r("p.y - m.y")} AS y_res
-FROM p LEFT JOIN m ON p.segment = m.segment AND p.priority = m.priority AND p.fold = m.fold"""
+{RESIDUALS}
+SELECT unit_id, fold, {r("z_res")} AS z_res, {r("w_res")} AS w_res, {r("y_res")} AS y_res FROM residuals"""
 
 
 # ---------------------------------------------------------------- forests
@@ -137,8 +140,11 @@ ready AS MATERIALIZED (SELECT r.tree, CAST(r.node AS BIGINT) AS node, bins, CAST
 SELECT tree, node, feature, bin, {r("gain", 2)} AS gain, CAST(n AS BIGINT) AS n, CAST(n_left AS BIGINT) AS n_left FROM best"""
 
 
-def forest(w: str = "w", bag_size: int = 1, fraction: float = 0.5) -> str:
+def forest(w: str = "w", bag_size: int = 1, fraction: float = 0.5, residual: bool = False) -> str:
     """CTEs ``binned``, ``drawn``, ``splits`` and ``leaves`` of the registered forest."""
+    z, y, source = "z", "y", "iv_panel"
+    if residual:
+        z, w, y, source = "z_res", "w_res", "y_res", "residuals"
     limit = int(fraction * 65536)
     sample = f"{draw('unit', 'tree')} < {limit}"
     if bag_size > 1:
@@ -146,9 +152,10 @@ def forest(w: str = "w", bag_size: int = 1, fraction: float = 0.5) -> str:
         sample = f"{draw('unit', bag)} < 32768 AND {draw('unit', 'tree')} < {2 * limit}"
     parts = [
         f"""WITH {IV_PANEL},
-mean AS (SELECT avg(z) AS mz, avg({w}) AS mw, avg(y) AS my FROM iv_panel),
-binned AS MATERIALIZED (SELECT unit_id AS unit, [{", ".join(bin_list())}] AS bins, z - mz AS z, {w} - mw AS w, y - my AS y,
-    CAST(z > mz AS INTEGER) AS high FROM iv_panel, mean),
+{RESIDUALS},
+mean AS (SELECT avg({z}) AS mz, avg({w}) AS mw, avg({y}) AS my, avg(z) AS raw FROM {source}),
+binned AS MATERIALIZED (SELECT unit_id AS unit, [{", ".join(bin_list())}] AS bins, {z} - mz AS z, {w} - mw AS w, {y} - my AS y,
+    CAST(z > raw AS INTEGER) AS high FROM {source}, mean),
 trees AS (SELECT unnest(range(1, {q.TREES + 1})) AS tree),
 drawn AS MATERIALIZED (SELECT CAST(tree AS INTEGER) AS tree, unit, bins, z, w, y, high, {draw("unit", "tree")} % 2 = 0 AS half
   FROM binned, trees WHERE {sample}),
@@ -196,8 +203,8 @@ mean_leaf AS MATERIALIZED (SELECT unit, count(*) AS trees, avg(mz) AS mz, avg(mw
 effects AS MATERIALIZED (SELECT *, (mzy - mz * my) / nullif(mzw - mz * mw, 0) AS effect, mzw - mz * mw AS spread FROM mean_leaf)"""
 
 
-def predict(oob: bool = False) -> str:
-    return f"""{forest()},
+def predict(oob: bool = False, residual: bool = False) -> str:
+    return f"""{forest(residual=residual)},
 {scored(oob)}
 SELECT b.unit AS unit_id, {r("e.effect")} AS effect, CAST(coalesce(e.trees, 0) AS INTEGER) AS n_trees,
   CASE WHEN e.unit IS NULL THEN 'no_tree' WHEN e.effect IS NULL THEN 'no_first_stage' ELSE 'ok' END AS effect_status
@@ -483,6 +490,7 @@ SQL: dict[str, str] = {
     "iv_forest_leaves": f"{forest()}\n{LEAVES_OUT}",
     "iv_forest_predict": predict(),
     "iv_forest_predict_oob": predict(oob=True),
+    "iv_forest_centred": predict(oob=True, residual=True),
     "causal_forest_fit": f"{forest(w='z')}\n{SPLITS_OUT}",
     "iv_forest_variance": VARIANCE,
     "recu": f"""SELECT l_orderkey, l_linenumber, {r(relu(OVER))} AS recu_2,

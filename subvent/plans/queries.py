@@ -168,14 +168,22 @@ def q_iv_forest_predict_oob(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_iv_forest_centred(spark: SparkSession, folder: str) -> DataFrame:
-    """Residuals, learned bins and hashed draws in one go: the job as an analyst runs it."""
-    panel = fixtures.iv_panel(spark, folder)
-    panel = cross_fit_residuals(panel, ["z", "w", "y"], ["segment", "priority"], k=5)
+    """Residuals, forest and out-of-bag effects in one go: the job as an analyst runs it."""
+    panel = cross_fit_residuals(
+        fixtures.iv_panel(spark, folder), ["z", "w", "y"], ["segment", "priority"], k=5, fold=F.col("unit_id") % 5
+    )
     model = iv_forest_fit(
-        panel, "z_res", "w_res", "y_res", ["acctbal", "price"], trees=TREES, depth=DEPTH, min_leaf=MIN_LEAF, raw_z="z"
+        panel, "z_res", "w_res", "y_res", COVARIATES, depth=DEPTH, min_leaf=MIN_LEAF, edges=EDGES, draws=_draws(), raw_z="z"
     )
     scored = iv_forest_predict(panel, model, oob=True)
-    return scored.select("unit_id", "segment", "tau", "effect", "n_trees", "effect_status")
+    return _rounded(scored.select("unit_id", "effect", "n_trees", "effect_status"))
+
+
+def q_iv_forest_learned(spark: SparkSession, folder: str) -> DataFrame:
+    """With the defaults: quantile bins and hashed draws, which only Spark can repeat."""
+    panel = fixtures.iv_panel(spark, folder)
+    scored = iv_forest_predict(panel, iv_forest_fit(panel, "z", "w", "y", ["acctbal", "price"]), oob=True)
+    return scored.select("unit_id", "tau", "effect", "n_trees", "effect_status")
 
 
 def q_causal_forest_fit(spark: SparkSession, folder: str) -> DataFrame:

@@ -37,7 +37,7 @@ def test_text_nulls_and_too_many_values(spark):
     df = spark.createDataFrame([("a",), (None,), ("b",)], "g string")
     binned, _ = bin_features(df, ["g"])
     assert {r["g"]: r["bins"] for r in binned.collect()} == {"a": [2, 1], "b": [1, 2], None: [0, 0]}
-    many = spark.range(100).select(F.col("id").cast("string").alias("g"))
+    many = spark.range(300).select(F.col("id").cast("string").alias("g"))
     with pytest.raises(ValueError, match="'g'"):
         learn_bins(many, ["g"])
 

@@ -218,3 +218,18 @@ def test_net_with_a_free_input_and_without_merging(spark):
 def test_net_needs_rows(spark):
     with pytest.raises(ValueError, match="no row"):
         recu_net_fit(spark.createDataFrame([], "x double, y double"), "x", None, "y")
+
+
+def test_saved_models_score_the_same(spark, dose_panel, tmp_path):
+    from subvent.operators.shape.curve import ShapeCurves
+
+    curves = shape_curve_fit(dose_panel, "dose", "y", ["segment"], KNOTS, "convex", 1.5)
+    curves.save(str(tmp_path / "curves"))
+    net = recu_net_fit(dose_panel, "dose", None, "y", iters=3)
+    net.save(str(tmp_path / "net"))
+    pairs = [
+        (curve_predict(dose_panel, m), curve_predict(dose_panel, ShapeCurves.load(spark, str(tmp_path / "curves"))))
+        for m in [curves]
+    ] + [(recu_net_predict(dose_panel, net), recu_net_predict(dose_panel, RecuNet.load(spark, str(tmp_path / "net"))))]
+    for a, b in pairs:
+        assert a.agg(F.sum("pred")).first()[0] == pytest.approx(b.agg(F.sum("pred")).first()[0], rel=1e-12)
