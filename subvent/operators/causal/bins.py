@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from math import prod
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,9 @@ class Feature:
     edges: tuple[float, ...] | None = None
     level: str | None = None
 
+    def n_bins(self) -> int:
+        return 3 if self.edges is None else len(self.edges) + 2
+
     def bin(self) -> Column:
         """0 for NULL; else 1 + the number of edges not above the value, or 2/1 for equal or not."""
         col = F.col(self.name)
@@ -44,6 +49,12 @@ class FeatureBins:
     def packed(self) -> Column:
         return F.array(*[f.bin() for f in self.features])
 
+    def possible_cells(self) -> int:
+        """Upper bound on the distinct arrays of bins; the levels of a text column exclude each other."""
+        levels = Counter(f.name for f in self.features if f.edges is None)
+        sizes = [f.n_bins() for f in self.features if f.edges is not None] + [n + 1 for n in levels.values()]
+        return prod(sizes)
+
     def to_df(self, spark: SparkSession) -> DataFrame:
         rows = [(i, f.name, None if f.edges is None else list(f.edges), f.level) for i, f in enumerate(self.features)]
         return spark.createDataFrame(rows, EDGES_SCHEMA)

@@ -185,8 +185,10 @@ def iv_forest_fit(
         spread_by="unit",
     )
     if merge is None:
-        cells = binned.agg(F.approx_count_distinct("bins")).first()[0]
-        merge = n > 0 and n * draws.fraction / 2 >= ROWS_PER_CELL * cells
+        most_cells = n * draws.fraction / 2 / ROWS_PER_CELL
+        merge = n > 0 and (
+            bins.possible_cells() <= most_cells or binned.agg(F.approx_count_distinct("bins")).first()[0] <= most_cells
+        )
     merged = _merge_cells(binned, draws) if merge else None
 
     def half_rows(first: int, last: int, half: bool) -> DataFrame:
@@ -194,11 +196,11 @@ def iv_forest_fit(
             return _expand(binned, draws, first, last, half)
         return merged.filter((F.col("half") == half) & F.col("tree").between(first, last)).drop("half")
 
-    bins_per_feature = [3 if f.edges is None else len(f.edges) + 2 for f in bins.features]
+    sums_per_node = sum(f.n_bins() for f in bins.features)
     found: list[tuple] = []
     for level in range(depth):
-        per_pass = max(1, GROUPS_PER_PASS // (2**level * sum(bins_per_feature)))
-        splits = spark.createDataFrame(pd.DataFrame(found, columns=SPLIT_COLUMNS), SPLITS_SCHEMA)
+        per_pass = max(1, GROUPS_PER_PASS // (2**level * max(sums_per_node, 1)))
+        splits = _small_table(spark, sorted(found), SPLITS_SCHEMA)
         new = []
         for first in range(1, draws.trees + 1, per_pass):
             last = min(first + per_pass - 1, draws.trees)
@@ -210,15 +212,15 @@ def iv_forest_fit(
         found += new
         if not new:
             break
-    splits = spark.createDataFrame(pd.DataFrame(found, columns=SPLIT_COLUMNS), SPLITS_SCHEMA)
+    splits = _small_table(spark, sorted(found), SPLITS_SCHEMA)
     in_leaf = _descend(half_rows(1, draws.trees, False), splits, draws.trees, depth, stay=True)
     leaves = in_leaf.groupBy("tree", "node").agg(
         F.sum("n").alias("n"),
         *[(F.sum(s) / F.sum("n")).alias(m) for s, m in zip(("sz", "sw", "sy", "szy", "szw"), LEAF_MEANS)],
     )
     return IVForest(
-        stage(splits.orderBy("tree", "node"), "splits"),
-        stage(leaves, "leaves"),
+        splits,
+        _small_table(spark, sorted(tuple(r) for r in leaves.collect()), LEAVES_SCHEMA),
         bins,
         draws,
         depth,
@@ -227,7 +229,10 @@ def iv_forest_fit(
     )
 
 
-SPLIT_COLUMNS = ["tree", "node", "feature", "bin", "gain"]
+def _small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A tree table, at most MOST_NODES rows, as local data of the plan."""
+    columns = [field.split()[0] for field in schema.split(", ")]
+    return spark.createDataFrame(pd.DataFrame(rows, columns=columns), schema)
 
 
 def causal_forest_fit(panel: DataFrame, w: str, y: str, x: Sequence[str], **settings) -> IVForest:
