@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subvent.functions.checks import require
-from subvent.operators.prior.priors import Prior, _per_prior, check_priors, prior_residuals
+from subvent.operators.prior.priors import Prior, _per_prior, check_priors
 from subvent.operators.shape.basis import CurveBasis, dot
 from subvent.operators.shape.curve import ShapeCurves, solve_curves
 from subvent.operators.shape.gram import COUNTS, gram
