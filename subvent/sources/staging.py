@@ -22,6 +22,13 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, which ``drop_staged`` deletes."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def stage(df: DataFrame, name: str, spread_by: str | None = None) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 
@@ -34,9 +41,8 @@ def stage(df: DataFrame, name: str, spread_by: str | None = None) -> DataFrame:
     if spread_by is not None:
         files = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
         df = df.repartition(files, spread_by)
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
