@@ -20,7 +20,7 @@ from subvent.sources.staging import new_path
 #: Rows of one chunk of a chunked table, a power of two.
 CHUNK_ROWS = 4096
 #: Bytes of text that a task works on at once; a longer text is worked on alone and whole.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -115,7 +115,7 @@ class Units:
     At most ``room`` pieces are remembered.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[Sequence[int]]], spaced: bool, room: int = 600_000):
+    def __init__(self, encode: Callable[[list[str]], list[Sequence[int]]], spaced: bool, room: int = 400_000):
         self.encode, self.spaced, self.room = encode, spaced, room
         self._clear()
 

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from subvent.llm.common import Units, byte_characters, gather, kept_in_worker, slices, strings
@@ -23,6 +24,8 @@ PIECE, TEXT, SCORE, KIND = 1, 1, 2, 3
 TRAINER, MODEL_TYPE, VOCAB_SIZE, UNK_ID, BOS_ID, EOS_ID, PAD_ID = 2, 3, 4, 40, 41, 42, 43
 NORMALIZER, NAME, DUMMY_PREFIX, EXTRA_SPACES, ESCAPE_SPACES = 3, 1, 3, 4, 5
 NORMAL, UNKNOWN, BPE = 1, 2, 2
+#: Ids that are decoded at once.
+IDS_AT_ONCE = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -140,6 +143,23 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text", i
     return docs.select(id_col, text).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
 
 
+def _decoded(bpe: PieceBpe, batch: pa.RecordBatch, ids: str) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[bytes]]]:
+    """Some rows of the batch at a time, with the ids and the decoded bytes of each."""
+    counts = pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(counts)
+    i = 0
+    while i < len(counts):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + IDS_AT_ONCE, side="right")))
+        part = batch.slice(i, j - i)
+        flat = np.asarray(part.column(ids).flatten(), dtype=np.int32)
+        data, lengths = bpe.decode(flat)
+        cuts = np.concatenate([[0], np.cumsum(counts[i:j])])
+        at = np.concatenate([[0], np.cumsum(lengths)])[cuts]
+        text = data.tobytes()
+        yield part, [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], [text[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        i = j
+
+
 def decode_ids(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", id_col: str = "doc_id") -> DataFrame:
     """``id_col``, ``ids`` and the bytes that the ids stand for, as ``decoded``; NULL ids give empty bytes."""
     kind = encoded.schema[id_col].dataType.simpleString()
@@ -147,33 +167,25 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _bpe(path, pattern)
         for batch in batches:
-            lists = batch.column(ids)
-            flat = np.asarray(lists.flatten(), dtype=np.int64)
-            counts = np.asarray([0 if n is None else n for n in lists.value_lengths().to_pylist()], np.int64)
-            data, lengths = bpe.decode(flat)
-            at = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
-            text = data.tobytes()
-            out = pa.array([text[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), lists, out], [id_col, ids, "decoded"])
+            for part, _, text in _decoded(bpe, batch, ids):
+                yield pa.RecordBatch.from_arrays([part.column(id_col), part.column(ids), pa.array(text, pa.binary())], [id_col, ids, "decoded"])
 
     return encoded.select(id_col, ids).mapInArrow(run, f"`{id_col}` {kind}, `{ids}` array<int>, decoded binary")
 
 
 def round_trip_digests(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", id_col: str = "doc_id") -> DataFrame:
-    """Per row of ``encode_texts``: ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of the decoded bytes."""
+    """Per row of ``encode_texts``: ``n_tokens``, ``ids_sha256`` and, of the bytes that these ids decode to, ``decoded_sha256``."""
     kind = encoded.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _bpe(path, pattern)
         for batch in batches:
-            lists = batch.column(ids)
-            counts = np.asarray(lists.value_lengths(), np.int64)
-            ends = np.concatenate([[0], np.cumsum(counts)])
-            raw = np.asarray(lists.flatten(), dtype="<u4").tobytes()
-            of_ids = [hashlib.sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            of_text = [hashlib.sha256(x).hexdigest() for x in batch.column("decoded").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(id_col), pa.array(counts), pa.array(of_ids), pa.array(of_text)], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
-            )
-
-    decoded = decode_ids(encoded, path, pattern, ids, id_col)
-    return decoded.mapInArrow(run, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+            for part, of_row, text in _decoded(bpe, batch, ids):
+                of_ids = [hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in of_row]
+                of_text = [hashlib.sha256(x).hexdigest() for x in text]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(id_col), pa.array([len(x) for x in of_row], pa.int64()), pa.array(of_ids), pa.array(of_text)],
+                    [id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+
+    return encoded.select(id_col, ids).mapInArrow(run, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

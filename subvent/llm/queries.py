@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subvent.llm import ans, lengths, packing, piece_bpe, prefix_forest, topk
+from subvent.llm import ans, chosen_path, lengths, packing, piece_bpe, prefix_forest, substring, topk
 from subvent.sources.staging import new_path
 
 
@@ -48,6 +48,15 @@ def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_forest.search(index, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op6_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.membership(chosen_path.jaccard_classes(_table(spark, sf_dir, "documents")))
+
+
 def op8_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=1024, end_id=0)
     return packing.piece_checksums(pieces)
@@ -66,6 +75,6 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED = {
-    f.__name__: f for f in (op1_token_files, op3_top_k, op5_prefix_forest, op8_curve_packing, op9_piece_bpe, op10_length_histogram)
+    f.__name__: f for f in (op1_token_files, op3_top_k, op5_prefix_forest, op6_count_min, op7_chosen_path, op8_curve_packing, op9_piece_bpe, op10_length_histogram)
 }
 SQL = {"op3_top_k": OP3_SQL}
