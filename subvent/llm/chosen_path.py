@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from subvent.llm.common import chunked, column, slices, staged, strings
 from subvent.llm.substring import _MULTIPLIERS, _mixed, _rolled, window_starts, word_hashes
@@ -381,7 +382,8 @@ def jaccard_classes(
         heard = heard.take(pa.array(order[np.searchsorted(at, row, sorter=order)]))
         return pa.table([column(part, "doc"), *(column(heard, c) for c in names)], ["doc", *names])
 
-    out = f"doc {table.schema['doc'].dataType.simpleString()}, class_id bigint, n_links bigint, n_copies bigint, keep boolean"
+    kinds = [table.schema["doc"].dataType, T.LongType(), T.LongType(), T.LongType(), T.BooleanType()]
+    out = T.StructType([T.StructField(*x) for x in zip(("doc", *names), kinds, strict=True)])
     return table.groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInArrow(attach, out)
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subvent.llm import ans, chosen_path, lengths, packing, piece_bpe, prefix_forest, substring, topk
+from subvent.llm import ans, chosen_path, langid, lengths, packing, piece_bpe, prefix_forest, quality, substring, topk
 from subvent.sources.staging import new_path
 
 
@@ -22,6 +22,22 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ans.read_token_files(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op2_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
+    found = langid.predict(docs, model)
+    return found.select(
+        F.col("doc.doc_id"), langid.held_out(F.col("doc.doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
+
+
+def op4_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    classifier = quality.fit_classifier(docs, _table(spark, sf_dir, "labels"))
+    found = quality.posterior(docs, classifier, host=F.col("source"), path=F.col("lang"))
+    return found.select("doc.doc_id", "evidence", "host_good", "path_good", "p_good", "keep")
+
+
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5, scale=256)
@@ -75,6 +91,6 @@ def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTERED = {
-    f.__name__: f for f in (op1_token_files, op3_top_k, op5_prefix_forest, op6_count_min, op7_chosen_path, op8_curve_packing, op9_piece_bpe, op10_length_histogram)
+    f.__name__: f for f in (op1_token_files, op2_output_codes, op3_top_k, op4_site_bayes, op5_prefix_forest, op6_count_min, op7_chosen_path, op8_curve_packing, op9_piece_bpe, op10_length_histogram)
 }
 SQL = {"op3_top_k": OP3_SQL}
