@@ -5,7 +5,7 @@
 2. A run splits all representatives recursively. A node draws places at random, 1 / similarity of them on average, and
    representatives that hold the same token there go to the same child. Similar sets share a whole path with a chance
    that dissimilar ones lose exponentially. A node of few representatives is compared by brute force, on sketches. As
-   many runs are made as the target recall asks for.
+   many runs are made as the target recall asks for; after the first few, nodes of what is linked already are left out.
 3. Candidates found are linked into groups, and inside a group all pairs are compared exactly, on the shingles, in tiles of
    bounded size. Links are counted and joined to classes; pairs are never written.
 
@@ -31,6 +31,8 @@ from subvent.llm.substring import _MULTIPLIERS, _mixed, _rolled, window_starts,
 WORDS, SIMILARITY, PLACES = 5, 0.8, 64
 #: A pair at the least similarity is found with this chance, when its nodes are split DEPTH times before they are small.
 RECALL, DEPTH = 0.999, 3
+#: Runs before groups are put together for the others.
+FIRST_RUNS = 3
 #: Representatives of a node that is compared by brute force, and most levels of splits. Nodes that are larger still hold
 #: sets alike in as many tokens; they become candidates whole, and all their pairs are compared exactly.
 LEAF, LEVELS = 64, 8
@@ -232,24 +234,42 @@ def _compare_tiles(similarity: float):
 
 
 def _candidates(reps: DataFrame, similarity: float, places: int, recall: float, depth: int) -> DataFrame:
-    """Links ``u``, ``v`` between representatives that some run found alike on their sketches."""
+    """Links ``u``, ``v`` between representatives that some run found alike on their sketches.
+
+    After the first few runs, what they have linked is put together into groups. All pairs of a group will be compared
+    anyway, so the other runs leave out nodes that lie in one group: a large group of near copies, which no split makes
+    small, takes part in the first runs only.
+    """
+    runs = runs_for(recall, depth)
+    first = min(FIRST_RUNS, runs)
+    least = math.floor(places * similarity - SLACK * math.sqrt(places * similarity * (1 - similarity)))
+    alone = reps.withColumn("label", F.col("rep"))
+    found = staged(_some_runs(alone, range(first), similarity, places, least), "candidates")
+    if first == runs:
+        return found
+    labels = components(found).select(F.col("node").alias("rep"), "label")
+    grouped = reps.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    return found.unionByName(_some_runs(staged(grouped, "grouped"), range(first, runs), similarity, places, least))
+
+
+def _some_runs(reps: DataFrame, runs: range, similarity: float, places: int, least: int) -> DataFrame:
+    """Links that these runs find between representatives of different ``label``."""
     spark = reps.sparkSession
     share = 1 / (similarity * places)
     drawn = lambda node, i: F.pmod(F.xxhash64(node, i), F.lit(1 << 30)) < int(share * (1 << 30))
     every = F.sequence(F.lit(0), F.lit(places - 1))
-    least = math.floor(places * similarity - SLACK * math.sqrt(places * similarity * (1 - similarity)))
-    runs = spark.range(runs_for(recall, depth)).select(F.xxhash64("id").alias("node"))
-    paths = runs.select("node", F.explode(every).alias("i")).filter(drawn(F.col("node"), F.col("i"))).collect()
+    roots = spark.range(runs.start, runs.stop).select(F.xxhash64("id").alias("node"))
+    paths = roots.select("node", F.explode(every).alias("i")).filter(drawn(F.col("node"), F.col("i"))).collect()
     if not paths:
         return spark.createDataFrame([], "u bigint, v bigint")
     first = F.explode(F.array(*[F.struct(F.lit(r["node"]).alias("node"), F.lit(r["i"]).alias("i")) for r in paths]))
-    child = lambda df: df.select("rep", F.xxhash64("node", "i", F.get("sketch", "i")).alias("node"))
-    level = child(reps.select("rep", "sketch", first.alias("x")).select("rep", "sketch", "x.*"))
+    child = lambda df: df.select("rep", "label", F.xxhash64("node", "i", F.get("sketch", "i")).alias("node"))
+    level = child(reps.select("rep", "label", "sketch", first.alias("x")).select("rep", "label", "sketch", "x.*"))
     leaves, links = None, None
     for number in range(LEVELS):
         level = staged(level, "paths")
-        sizes = level.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
-        level = staged(level.join(sizes, "node"), "nodes")
+        sizes = level.groupBy("node").agg(F.count("*").alias("n"), F.min("label").alias("_low"), F.max("label").alias("_high"))
+        level = staged(level.join(sizes.filter("_low < _high").select("node", "n"), "node"), "nodes")
         small = level.filter(F.col("n") <= LEAF).groupBy("node").agg(F.sort_array(F.collect_list("rep")).alias("reps")).select("reps")
         leaves = small if leaves is None else leaves.unionByName(small)
         large = level.filter(F.col("n") > LEAF).select("rep", "node")
@@ -259,12 +279,12 @@ def _candidates(reps: DataFrame, similarity: float, places: int, recall: float,
             first_of = large.groupBy("node").agg(F.min("rep").alias("v"))
             links = large.join(first_of, "node").filter("rep <> v").select(F.col("rep").alias("u"), "v").distinct()
             break
-        split = large.join(reps, "rep").select("rep", "sketch", "node", F.explode(F.filter(every, lambda i: drawn(F.col("node"), i))).alias("i"))
+        split = large.join(reps, "rep").select(*reps.columns, "node", F.explode(F.filter(every, lambda i: drawn(F.col("node"), i))).alias("i"))
         level = child(split)
     sets = staged(leaves.distinct().select(F.monotonically_increasing_id().alias("leaf"), "reps"), "leaves")
     rows = sets.agg(F.sum(F.size("reps"))).first()[0] or 0
     tasks = max(1, math.ceil(rows / TASK_ROWS))
-    spread = sets.select("leaf", F.explode("reps").alias("rep")).join(reps, "rep")
+    spread = sets.select("leaf", F.explode("reps").alias("rep")).join(reps.select("rep", "sketch"), "rep")
     spread = spread.withColumn("_task", F.pmod(F.xxhash64("leaf"), F.lit(tasks)))
     found = spread.groupBy("_task").applyInArrow(_compare_leaves(places, least), "u bigint, v bigint").distinct()
     return found if links is None else found.unionByName(links)
