@@ -185,14 +185,20 @@ def library_units(path: str) -> Units:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     model, to_chars = tokenizer.model, byte_characters()
+    space = to_chars[0x20]
     with open(path, encoding="utf-8") as file:
         plan = json.load(file)
     known: dict[str, list[int]] = {}
+    spaced = plan["normalizer"] is None  # one letter run, after a space or not, is one match of either pattern
 
     def part(text: str) -> list[int]:
         found = known.get(text)
         if found is None:
-            found = [t.id for t in model.tokenize("".join([to_chars[b] for b in text.encode()]))]
+            if text.isascii() and text.isprintable():  # such bytes stand for themselves, but for the space
+                shown = text.replace(" ", space)
+            else:
+                shown = "".join([to_chars[b] for b in text.encode()])
+            found = [t.id for t in model.tokenize(shown)]
             if len(text) <= 3:
                 known[text] = found
         return found
@@ -215,7 +221,8 @@ def library_units(path: str) -> Units:
             if split is None or not _latin(p):
                 out.append(None)
                 continue
-            parts = split(p.lower() if lower else p)
+            low = p.lower() if lower else p
+            parts = [low] if low[spaced:].isalpha() and (not spaced or low[0] == " ") else split(low)
             out.append(part(parts[0]) if len(parts) == 1 else [i for x in parts for i in part(x)])
         rest = [k for k, x in enumerate(out) if x is None]
         for k in range(0, len(rest), 1024):
@@ -224,7 +231,7 @@ def library_units(path: str) -> Units:
                 out[at] = e.ids
         return out
 
-    return Units(encode, spaced=normal is None)
+    return Units(encode, spaced=spaced)
 
 
 def units_of(path: str) -> Units:
