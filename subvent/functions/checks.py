@@ -27,14 +27,24 @@ def refuse(df: DataFrame, columns: Iterable[str]) -> None:
             raise ValueError(f"column '{name}' is already there; rename it first")
 
 
+def finite(col: Column) -> Column:
+    """True for a number; False for NULL, NaN and infinity."""
+    return F.coalesce(F.abs(col.cast("double")) < float("inf"), F.lit(False))
+
+
 def complete(columns: Iterable[str]) -> Column:
-    """True when none of the columns is NULL."""
+    """True when all of the numeric columns hold a number: not NULL, NaN or infinite."""
     cond = F.lit(True)
     for name in columns:
-        cond = cond & F.col(name).isNotNull()
+        cond = cond & finite(F.col(name))
     return cond
 
 
+def weighted(weight: str | None) -> Column:
+    """True when a row's weight is a positive number, or when there are no weights."""
+    return F.lit(True) if weight is None else finite(F.col(weight)) & (F.col(weight).cast("double") > 0)
+
+
 def as_double(df: DataFrame, name: str) -> Column:
     """The column as a double; a boolean counts as 0 or 1."""
     col = F.col(name)

@@ -11,21 +11,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subvent.functions.checks import require
+from subvent.functions.checks import finite, require
 from subvent.functions.steps import edges_passed
+from subvent.sources.staging import scratch, stage
 
-# A column with more values than this is refused: give it as a number instead.
+# A text column with more values than this is one feature: its values in the order of their hashes, cut evenly.
 MAX_LEVELS = 256
-EDGES_SCHEMA = "feature int, name string, edges array<double>, level string"
+EDGES_SCHEMA = "feature int, name string, edges array<double>, level string, hashed boolean"
 
 
 @dataclass(frozen=True)
 class Feature:
-    """A numeric column with its edges, or one value of a text column."""
+    """A numeric column with its edges, one value of a text column, or a text column by the hashes of its many values."""
 
     name: str
     edges: tuple[float, ...] | None = None
     level: str | None = None
+    hashed: bool = False
 
     def n_bins(self) -> int:
         return 3 if self.edges is None else len(self.edges) + 2
@@ -36,7 +38,7 @@ class Feature:
         if self.edges is None:
             found = F.when(col.cast("string") == self.level, 2).otherwise(1)
         else:
-            found = 1 + edges_passed(col.cast("double"), self.edges)
+            found = 1 + edges_passed((F.xxhash64(col.cast("string")) if self.hashed else col).cast("double"), self.edges)
         return F.when(col.isNull(), 0).otherwise(found)
 
 
@@ -56,33 +58,38 @@ class FeatureBins:
         return prod(sizes)
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        rows = [(i, f.name, None if f.edges is None else list(f.edges), f.level) for i, f in enumerate(self.features)]
+        rows = [(i, f.name, None if f.edges is None else list(f.edges), f.level, f.hashed) for i, f in enumerate(self.features)]
         return spark.createDataFrame(rows, EDGES_SCHEMA)
 
     @staticmethod
     def from_df(df: DataFrame) -> FeatureBins:
         rows = sorted(df.collect(), key=lambda r: r["feature"])
         return FeatureBins(
-            tuple(Feature(r["name"], None if r["edges"] is None else tuple(r["edges"]), r["level"]) for r in rows)
+            tuple(
+                Feature(r["name"], None if r["edges"] is None else tuple(r["edges"]), r["level"], "hashed" in r and r["hashed"])
+                for r in rows
+            )
         )
 
 
 def _levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """The values of each text column, all columns in one pass; too many are refused, never cut."""
+    """The values of each text column that has at most MAX_LEVELS, all columns in one pass over the rows."""
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("level")) for c in columns])
-    found = df.select(F.inline(pairs)).filter("level IS NOT NULL").distinct()
-    rows = found.limit(MAX_LEVELS * len(columns) + 1).collect()
-    levels = {c: sorted(r["level"] for r in rows if r["name"] == c) for c in columns}
-    for c, values in levels.items():
-        if len(values) > MAX_LEVELS or len(rows) > MAX_LEVELS * len(columns):
-            raise ValueError(f"column '{c}' has more than {MAX_LEVELS} values, or another text column; encode it as a number")
-    return levels
+    with scratch(df.sparkSession):
+        found = stage(df.select(F.inline(pairs)).filter("level IS NOT NULL").distinct(), "levels")
+        counts = dict(found.groupBy("name").count().collect())
+        few = [c for c in columns if counts.get(c, 0) <= MAX_LEVELS]
+        rows = found.filter(F.col("name").isin(few)).collect() if few else []
+    return {c: sorted(r["level"] for r in rows if r["name"] == c) for c in few}
 
 
 def learn_bins(
     df: DataFrame, columns: Sequence[str], n_bins: int = 32, edges: Mapping[str, Sequence[float]] | None = None
 ) -> FeatureBins:
-    """Edges at even quantiles (one pass for all columns) and levels of text columns."""
+    """Edges at even quantiles (one pass for all columns) and levels of text columns.
+
+    A text column of more than MAX_LEVELS values is one feature with ``n_bins`` bins of values, dealt out by hash.
+    """
     return learn_bins_and(df, columns, n_bins, edges, [])[0]
 
 
@@ -98,7 +105,7 @@ def learn_bins_and(
     text = [c for c in columns if not isinstance(types[c], T.NumericType)]
     learn = [c for c in columns if c not in text and c not in edges]
     shares = F.array(*[F.lit(i / n_bins) for i in range(n_bins)])
-    wanted = [F.percentile_approx(F.col(c).cast("double"), shares, 10_000) for c in learn] + list(also)
+    wanted = [F.percentile_approx(F.when(finite(F.col(c)), F.col(c).cast("double")), shares, 10_000) for c in learn] + list(also)
     results = tuple(df.agg(*[w.alias(f"a{i}") for i, w in enumerate(wanted)]).first()) if wanted else ()
     for c, found in zip(learn, results):
         # the lowest quantile is the smallest value: no row lies below it
@@ -108,6 +115,9 @@ def learn_bins_and(
     for c in columns:
         if c in levels:
             features += [Feature(c, level=v) for v in levels[c]]
+        elif c in text:
+            even = tuple((2 * i / n_bins - 1) * 2.0**63 for i in range(1, n_bins))
+            features.append(Feature(c, edges=even, hashed=True))
         else:
             features.append(Feature(c, edges=tuple(sorted(float(e) for e in edges[c]))))
     return FeatureBins(tuple(features)), results[len(learn) :]

@@ -60,10 +60,11 @@ def honest_draws(
     seed: int = 0,
     draws: Draws | None = None,
 ) -> DataFrame:
-    """One row per (unit, tree) with role ``out``, ``split`` or ``leaf``."""
+    """One row per (unit, tree) with role ``out``, ``split`` or ``leaf``; NULL for a row without a unit."""
     require(panel, [unit])
     draws = draws or Draws(trees, fraction, seed)
     u, t = F.col(unit), F.col("tree")
-    role = F.when(~draws.in_sample(u, t), "out").when(draws.in_split_half(u, t), "split").otherwise("leaf")
+    role = F.when(draws.in_split_half(u, t), "split").otherwise("leaf")
+    role = F.when(u.isNotNull(), F.when(draws.in_sample(u, t), role).otherwise("out"))
     tree = F.explode(F.sequence(F.lit(1), F.lit(draws.trees))).alias("tree")
     return panel.select(unit, tree).withColumn("role", role)

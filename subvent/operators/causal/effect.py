@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subvent.functions.checks import as_double, complete, require
+from subvent.functions.checks import as_double, complete, require, weighted
 from subvent.plans.lookup import BROADCAST_ROWS, attach
 from subvent.sources.staging import stage
 
@@ -15,6 +15,39 @@ from subvent.sources.staging import stage
 # above 1 minus it, issuance follows assignment without exception
 ZERO_SHARE = 1e-12
 WEAK_F = 10.0
+# fixed value: an F as near as this to its bound counts as on it, whatever the order of the sums
+ROUNDING = 1e-9
+
+
+def _weighted_moments(rows: DataFrame, by: list[str], counts: list[Column]) -> DataFrame:
+    """Moments of rows that stand for ``_weight`` rows each, from sums about the means of all rows."""
+    names = ("_z", "_w", "_y")
+    centre = rows.agg(*[F.avg(c).alias(c) for c in names]).first()
+    away = {c: F.col(c) - F.lit(centre[c] or 0.0) for c in names}
+    pairs = {"_cyz": ("_y", "_z"), "_cwz": ("_w", "_z"), "_cyw": ("_y", "_w"), "_vz": ("_z", "_z"), "_vw": ("_w", "_w")}
+    weight = F.col("_weight")
+    sums = rows.groupBy(*by).agg(
+        F.coalesce(F.sum(weight), F.lit(0.0)).alias("_total"),
+        *counts,
+        *[F.sum(weight * away[c]).alias(f"_s{c}") for c in names],
+        *[F.sum(weight * away[a] * away[b]).alias(name) for name, (a, b) in pairs.items()],
+    )
+    total = F.col("_total")
+
+    def spread(name: str, a: str, b: str) -> Column:
+        found = F.col(name) - F.col(f"_s{a}") * F.col(f"_s{b}") / total
+        if a == b:  # equal values leave only rounding
+            found = F.when(found > F.lit(ZERO_SHARE) * F.col(name), found).otherwise(0.0)
+        return F.when(total > 1, found / (total - 1)).alias(name)
+
+    return sums.select(
+        *by,
+        F.round(total).cast("bigint").alias("n"),
+        "n_dropped",
+        "_rows",
+        *[(F.try_divide(F.col(f"_s{c}"), total) + F.lit(centre[c] or 0.0)).alias(f"_m{c[1:]}") for c in names],
+        *[spread(name, a, b) for name, (a, b) in pairs.items()],
+    )
 
 
 def iv_effect(
@@ -24,24 +57,27 @@ def iv_effect(
     y: str,
     by: Sequence[str] = (),
     broadcast_rows: int = BROADCAST_ROWS,
+    weight: str | None = None,
 ) -> DataFrame:
     """Per group: n, naive difference, intent-to-treat, first stage, IV effect, s.e., F, status.
 
     Two passes: moments per group, then the residual sum around the group means. Both
-    aggregate before the shuffle, so a hot group costs one row per task.
+    aggregate before the shuffle, so a hot group costs one row per task. ``weight`` says how many equal rows a row
+    stands for: a weight of 2 counts as the row twice, in ``n`` too. A row without a positive weight is left out.
     """
     by = list(by)
-    require(panel, by, [z, w, y])
-    ok = complete([z, w, y])
+    require(panel, by, [z, w, y] + ([weight] if weight else []))
+    ok = complete([z, w, y]) & weighted(weight)
     keys = by or ["_all"]
     rows = panel.select(
         *(by or [F.lit(1).alias("_all")]),
         *[F.when(ok, as_double(panel, c)).alias(a) for c, a in ((z, "_z"), (w, "_w"), (y, "_y"))],
+        *([F.when(ok, as_double(panel, weight)).alias("_weight")] if weight else []),
     )
-    moments = rows.groupBy(*by).agg(
+    counts = [(F.count(F.lit(1)) - F.count("_z")).alias("n_dropped"), F.count(F.lit(1)).alias("_rows")]
+    moments = _weighted_moments(rows, by, counts) if weight else rows.groupBy(*by).agg(
         F.count("_z").alias("n"),
-        (F.count(F.lit(1)) - F.count("_z")).alias("n_dropped"),
-        F.count(F.lit(1)).alias("_rows"),
+        *counts,
         F.avg("_z").alias("_mz"),
         F.avg("_w").alias("_mw"),
         F.avg("_y").alias("_my"),
@@ -62,25 +98,28 @@ def iv_effect(
     attached = attach(rows, centres, keys, "_rows", broadcast_rows)
     residual = (F.col("_y") - F.col("_my")) - F.col("effect") * (F.col("_w") - F.col("_mw"))
     score = (F.col("_z") - F.col("_mz")) * residual
-    scores = attached.groupBy(*keys).agg(F.sum(score * score).alias("_score2"))
+    square = score * score * F.col("_weight") if weight else score * score
+    scores = attached.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.sum(square).alias("_score2"))
 
     matched = F.lit(True)
     for k in keys:
-        matched = matched & moments[k].eqNullSafe(scores[k])
+        matched = matched & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     r2 = F.try_divide(F.col("_cwz") * F.col("_cwz"), F.col("_vw") * F.col("_vz"))
     f_stat = F.when(r2 < 1 - ZERO_SHARE, F.try_divide(r2 * (F.col("n") - 2), 1 - r2))
     status = (
         F.when(F.col("n") < 3, "too_few")
         .when(F.col("_vz") == 0, "no_instrument_variation")
         .when(F.abs("_cwz") <= F.lit(ZERO_SHARE) * scale, "no_first_stage")
-        .when(F.col("f_stat") < WEAK_F, "weak")
+        .when(F.col("f_stat") < WEAK_F * (1 - ROUNDING), "weak")
         .otherwise("ok")
     )
+    # both tables have one row per group; the moments are broadcast wherever they were for the second pass
+    groups = scores.join(F.broadcast(moments) if moments.count() <= broadcast_rows else moments, matched)
     return (
-        moments.join(scores, matched, "left")
+        groups
         .withColumn("f_stat", F.when(F.col("n") >= 3, f_stat))
         .select(
-            *[moments[k] for k in by],
+            *by,
             "n",
             "n_dropped",
             F.try_divide("_cyw", "_vw").alias("naive"),

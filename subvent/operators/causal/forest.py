@@ -14,12 +14,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subvent.functions.checks import as_double, complete, refuse, require
+from subvent.functions.checks import as_double, complete, refuse, require, weighted
 from subvent.operators.causal.bins import FeatureBins, learn_bins_and
 from subvent.operators.causal.draws import Draws
 from subvent.operators.causal.scoring import LEAF_MEANS, PackedForest, leaf_scorer
 from subvent.operators.causal.split import SUMS, best_splits, histogram, row_sums
-from subvent.sources.staging import stage
+from subvent.sources.staging import scratch, stage
 
 SPLITS_SCHEMA = "tree int, node bigint, feature int, bin int, gain double"
 LEAVES_SCHEMA = "tree int, node bigint, n bigint, mz double, mw double, my double, mzy double, mzw double"
@@ -42,6 +42,8 @@ class IVForest:
     depth: int
     n_rows: int
     n_dropped: int
+    # False after loading a forest grown with a draw formula without it: who was in which sample is not known
+    draws_known: bool = True
 
     def save(self, path: str) -> None:
         spark = self.splits.sparkSession
@@ -49,17 +51,19 @@ class IVForest:
         self.leaves.write.parquet(f"{path}/leaves")
         self.bins.to_df(spark).write.parquet(f"{path}/edges")
         d = self.draws
-        row = (self.depth, self.n_rows, self.n_dropped, d.trees, d.fraction, d.seed, d.bag_size, d.draw_range)
+        by_formula = d.formula is not None or not self.draws_known
+        row = (self.depth, self.n_rows, self.n_dropped, d.trees, d.fraction, d.seed, d.bag_size, d.draw_range, by_formula)
         schema = (
             "depth int, n_rows bigint, n_dropped bigint, trees int, fraction double, seed bigint, "
-            "bag_size int, draw_range bigint"
+            "bag_size int, draw_range bigint, by_formula boolean"
         )
         spark.createDataFrame([row], schema).write.parquet(f"{path}/settings")
 
     @staticmethod
     def load(spark: SparkSession, path: str, formula: Callable[[Column, Column], Column] | None = None) -> IVForest:
-        """Read a saved forest; pass the draw ``formula`` again if it was grown with one."""
-        s = spark.read.parquet(f"{path}/settings").first()
+        """Read a saved forest; pass the draw ``formula`` again if it was grown with one, or it cannot score out of bag."""
+        s = spark.read.parquet(f"{path}/settings").first().asDict()
+        known = formula is not None or not s.get("by_formula", False)
         return IVForest(
             spark.read.parquet(f"{path}/splits"),
             spark.read.parquet(f"{path}/leaves"),
@@ -68,6 +72,7 @@ class IVForest:
             s["depth"],
             s["n_rows"],
             s["n_dropped"],
+            known,
         )
 
     def packed(self) -> PackedForest:
@@ -100,14 +105,28 @@ def _descend(rows: DataFrame, splits: DataFrame, trees: int, steps: int, stay: b
     return rows
 
 
-def _expand(binned: DataFrame, draws: Draws, first: int, last: int, half: bool) -> DataFrame:
+def _above_own_mean(rows: DataFrame, trees: int) -> DataFrame:
+    """``rows`` with ``high`` taken against the mean of ``raw`` in the row's own node; at most MOST_NODES means."""
+    means = rows.groupBy("tree", "node").agg((F.sum(F.col("n") * F.col("raw")) / F.sum("n")).alias("_mean"))
+    table = F.broadcast(means.select(_slot("node", "tree", trees).alias("_slot"), "_mean"))
+    rows = rows.join(table, _slot("node", "tree", trees) == F.col("_slot"))
+    high = F.when(F.col("raw") > F.col("_mean"), F.col("n")).otherwise(0)
+    return rows.withColumn("high", high).drop("_slot", "_mean", "raw")
+
+
+def _sums(binned: DataFrame) -> list[Column]:
+    weight = F.col("weight") if "weight" in binned.columns else None
+    return row_sums(F.col("z"), F.col("w"), F.col("y"), F.col("high"), weight)
+
+
+def _expand(binned: DataFrame, draws: Draws, first: int, last: int, half: bool, raw: bool = False) -> DataFrame:
     """One row per (unit, tree) in the wanted half, for trees ``first`` to ``last``."""
     u, t = F.col("unit"), F.col("tree")
     wanted = draws.in_split_half(u, t) if half else ~draws.in_split_half(u, t)
     return (
         binned.withColumn("tree", F.explode(F.sequence(F.lit(first), F.lit(last))))
         .filter(draws.in_sample(u, t) & wanted)
-        .select("tree", "bins", *row_sums(F.col("z"), F.col("w"), F.col("y"), F.col("high")))
+        .select("tree", "bins", *_sums(binned), *(["raw"] if raw else []))
     )
 
 
@@ -121,7 +140,7 @@ def _merge_cells(binned: DataFrame, draws: Draws) -> DataFrame:
             "tree",
             draws.in_split_half(u, t).alias("half"),
             "bins",
-            *row_sums(F.col("z"), F.col("w"), F.col("y"), F.col("high")),
+            *_sums(binned),
         )
         .groupBy("tree", "half", "bins")
         .agg(*[F.sum(c).alias(c) for c in SUMS]),
@@ -146,22 +165,26 @@ def iv_forest_fit(
     draws: Draws | None = None,
     raw_z: str | None = None,
     merge: bool | None = None,
+    weight: str | None = None,
 ) -> IVForest:
     """Grow ``trees`` honest trees of at most ``depth`` splits.
 
     ``raw_z`` names the instrument before centring, when ``z`` is a residual: the ``min_leaf``
-    rule counts its high and low values (above or not above its mean). ``merge`` forces or
-    forbids merging units with equal bins; by default the data decide.
+    rule counts its high and low values (above or not above its mean in the node that is split). ``merge`` forces
+    or forbids merging units with equal bins; by default the data decide, and an instrument of more than two values
+    forbids it. A row without a unit, or with a NULL, NaN or infinity in z, w, y or ``raw_z``, is left out and counted
+    in ``n_dropped``. A row with a ``weight`` counts as that many rows of its unit, also for ``min_leaf``; one without a
+    positive weight is left out. Learned edges, and the shift of z, w and y, take each row once. Tables written on the way are deleted before the forest is returned.
     """
     raw_z = raw_z or z
-    require(panel, [unit, *x], [z, w, y, raw_z])
+    require(panel, [unit, *x], [z, w, y, raw_z] + ([weight] if weight else []))
     if depth < 1 or min_leaf < 1:
         raise ValueError("depth and min_leaf must be at least 1")
     draws = draws or Draws(trees, fraction, seed)
     if draws.trees * 2**depth > MOST_NODES:
         raise ValueError(f"trees * 2^depth may be at most {MOST_NODES}: the tree tables are broadcast")
     spark = panel.sparkSession
-    ok = complete([z, w, y, raw_z])
+    ok = complete([z, w, y, raw_z]) & F.col(unit).isNotNull() & weighted(weight)
     rows = panel.filter(ok)
     # shifting z, w and y by their means changes no effect but saves digits in the sums
     masked = panel.select(
@@ -169,9 +192,34 @@ def iv_forest_fit(
         *[F.when(ok, as_double(panel, c)).alias(f"_m{i}") for i, c in enumerate((z, w, y, raw_z))],
     )
     counts = [F.count("_m0"), F.count(F.lit(1)) - F.count("_m0")]
-    bins, about = learn_bins_and(masked, x, n_bins, edges, counts + [F.avg(f"_m{i}") for i in range(4)])
+    ends = [F.min("_m3"), F.max("_m3")]
+    bins, about = learn_bins_and(masked, x, n_bins, edges, counts + [F.avg(f"_m{i}") for i in range(4)] + ends)
     n, n_dropped = about[:2]
-    mz, mw, my, high = (m or 0.0 for m in about[2:])
+    mz, mw, my, high = (m or 0.0 for m in about[2:6])
+    low_z, high_z = about[6:]
+    with scratch(spark):
+        return _grow(rows, bins, draws, z, w, y, raw_z, unit, depth, min_leaf, merge, weight, (mz, mw, my, high, low_z, high_z), n, n_dropped)
+
+
+def _grow(
+    rows: DataFrame,
+    bins: FeatureBins,
+    draws: Draws,
+    z: str,
+    w: str,
+    y: str,
+    raw_z: str,
+    unit: str,
+    depth: int,
+    min_leaf: int,
+    merge: bool | None,
+    weight: str | None,
+    about: tuple,
+    n: int,
+    n_dropped: int,
+) -> IVForest:
+    spark = rows.sparkSession
+    mz, mw, my, high, low_z, high_z = about
     binned = stage(
         rows.select(
             F.col(unit).alias("unit"),
@@ -180,10 +228,18 @@ def iv_forest_fit(
             (as_double(rows, w) - mw).alias("w"),
             (as_double(rows, y) - my).alias("y"),
             (as_double(rows, raw_z) > high).alias("high"),
+            as_double(rows, raw_z).alias("raw"),
+            *([as_double(rows, weight).alias("weight")] if weight else []),
         ),
         "forest_panel",
-        spread_by="unit",
+        spread=True,
     )
+    # an instrument of two values is above the mean of any node that has both, or above no mean; else nodes need their own
+    two_values = n == 0 or binned.filter((F.col("raw") != low_z) & (F.col("raw") != high_z)).isEmpty()
+    if not two_values:
+        if merge:
+            raise ValueError("units can be merged only if the instrument has two values: min_leaf goes by each node's mean")
+        merge = False
     if merge is None:
         most_cells = n * draws.fraction / 2 / ROWS_PER_CELL
         merge = n > 0 and (
@@ -193,7 +249,7 @@ def iv_forest_fit(
 
     def half_rows(first: int, last: int, half: bool) -> DataFrame:
         if merged is None:
-            return _expand(binned, draws, first, last, half)
+            return _expand(binned, draws, first, last, half, not two_values and half)
         return merged.filter((F.col("half") == half) & F.col("tree").between(first, last)).drop("half")
 
     sums_per_node = sum(f.n_bins() for f in bins.features)
@@ -205,6 +261,8 @@ def iv_forest_fit(
         for first in range(1, draws.trees + 1, per_pass):
             last = min(first + per_pass - 1, draws.trees)
             at_level = _descend(half_rows(first, last, True), splits, draws.trees, level, stay=False)
+            if not two_values:
+                at_level = _above_own_mean(at_level, draws.trees)
             new += [
                 (r["tree"], r["node"], r["feature"], r["bin"], r["gain"])
                 for r in best_splits(histogram(at_level), min_leaf).collect()
@@ -215,7 +273,7 @@ def iv_forest_fit(
     splits = _small_table(spark, sorted(found), SPLITS_SCHEMA)
     in_leaf = _descend(half_rows(1, draws.trees, False), splits, draws.trees, depth, stay=True)
     leaves = in_leaf.groupBy("tree", "node").agg(
-        F.sum("n").alias("n"),
+        F.round(F.sum("n")).cast("bigint").alias("n"),
         *[(F.sum(s) / F.sum("n")).alias(m) for s, m in zip(("sz", "sw", "sy", "szy", "szw"), LEAF_MEANS)],
     )
     return IVForest(
@@ -247,8 +305,11 @@ def _score(df: DataFrame, model: IVForest, oob: bool, unit: str, variance: bool)
     inputs = [model.bins.packed()]
     if oob:
         require(df, [unit])
-        trees = range(1, model.draws.trees + 1)
-        inputs.append(F.array(*[~model.draws.in_sample(F.col(unit), F.lit(t)) for t in trees]))
+        if not model.draws_known:
+            raise ValueError("the forest was grown with a draw formula; pass it to IVForest.load to score out of bag")
+        trees = F.sequence(F.lit(1), F.lit(model.draws.trees))
+        out = F.transform(trees, lambda t: F.coalesce(F.col(unit).isNotNull() & ~model.draws.in_sample(F.col(unit), t), F.lit(False)))
+        inputs.append(out)
     score = leaf_scorer(model.packed(), oob, variance)
     return df.withColumn("_score", score(*inputs)).select(*df.columns, *[F.col(f"_score.{c}") for c in outputs])
 
@@ -257,7 +318,7 @@ def iv_forest_predict(df: DataFrame, model: IVForest, oob: bool = False, unit: s
     """``df`` with ``effect``, ``n_trees`` and ``effect_status`` per row.
 
     Leaf means are averaged over the trees first and divided once. ``oob`` uses only trees whose
-    sample left the unit out.
+    sample left the unit out, so a row without a unit has none.
     """
     return _score(df, model, oob, unit, variance=False)
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from subvent.functions.checks import require
 from subvent.plans.lookup import shuffle_partitions
+from subvent.sources.staging import stage
 
 # The heavy-hitter sketch tracks 10,000 units; a unit above a 1/1000 share is always among the 1,000 reported.
 HOT_UNITS = 1_000
@@ -53,8 +55,40 @@ def _window_sums(
     )
 
 
-def _time(df: DataFrame, ts: str, text: str) -> Column:
-    return F.lit(text).cast(df.schema[ts].dataType)
+def _fixed(bounds: DataFrame, name: str) -> Column | None:
+    """The value of a one-row table's column as a literal of the same type; None for NULL.
+
+    Instants go by their microseconds, which name one instant in every time zone, and by no text.
+    """
+    kind = bounds.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        value = bounds.select(F.unix_micros(name)).first()[0]
+        return None if value is None else F.timestamp_micros(F.lit(value))
+    value = bounds.select(F.col(name).cast("string") if isinstance(kind, T.DatetimeType) else F.col(name)).first()[0]
+    return None if value is None else F.lit(value).cast(kind)
+
+
+def assignment_report(assignment: DataFrame, unit: str, ts: str, z: str = "z") -> DataFrame:
+    """What ``experiment_panel`` makes of the assignment, as one row.
+
+    ``n_rows``; ``n_dropped``, rows without a unit or time; ``n_units``; ``n_repeated``, units assigned more than once;
+    ``n_conflicts``, units whose first time has more than one z, of which the smallest counts.
+    """
+    require(assignment, [unit, ts], [z])
+    known = F.col(unit).isNotNull() & F.col(ts).isNotNull()
+    at_time = assignment.groupBy(unit, ts).agg(
+        F.count("*").alias("_n"), F.min(z).alias("_low"), F.max(z).alias("_high"), F.first(known).alias("_known")
+    )
+    first = F.min(F.struct(F.col(ts), (F.col("_low") < F.col("_high")).alias("conflict")))
+    units = at_time.groupBy(unit, "_known").agg(F.sum("_n").alias("_n"), first.alias("_first"))
+    counted = lambda cond: F.coalesce(F.sum(F.when(cond, 1).otherwise(0)), F.lit(0)).cast("bigint")
+    return units.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum(F.when(~F.col("_known"), F.col("_n"))), F.lit(0)).alias("n_dropped"),
+        counted(F.col("_known")).alias("n_units"),
+        counted(F.col("_known") & (F.col("_n") > 1)).alias("n_repeated"),
+        counted(F.col("_known") & F.col("_first.conflict")).alias("n_conflicts"),
+    )
 
 
 def experiment_panel(
@@ -73,7 +107,7 @@ def experiment_panel(
 
     Issuance and outcome are summed per unit separately, so several records of each do not
     multiply. A unit without a record keeps 0. A unit assigned more than once counts from its
-    first assignment. The scans of the records read only the span of all windows, and units that
+    first assignment (``assignment_report`` counts such units, and rows without a unit or time). The scans of the records read only the span of all windows, and units that
     hold more than an even share of those records are salted.
     """
     require(assignment, [unit, ts], [z])
@@ -87,11 +121,10 @@ def experiment_panel(
         .select(unit, F.col("_first.start").alias("_start"), F.col("_first.z").alias(z))
     )
     # records outside every window are left out by the scan itself
-    first, last = assignment.agg(F.min(ts).cast("string"), F.max(F.col(ts) + window).cast("string")).first()
-    if first is not None:
-        issuance, outcome = (
-            df.filter((F.col(ts) >= _time(df, ts, first)) & (F.col(ts) < _time(df, ts, last))) for df in (issuance, outcome)
-        )
+    span = stage(assignment.agg(F.min(ts).alias("first"), F.max(F.col(ts) + window).alias("last")), "span")
+    first, last = _fixed(span, "first"), _fixed(span, "last")
+    if first is not None and last is not None:
+        issuance, outcome = (df.filter((F.col(ts) >= first) & (F.col(ts) < last)) for df in (issuance, outcome))
     issued = _window_sums(assigned, issuance, unit, ts, amount, window, parts)
     issued = issued.select("_u", F.col("_n").alias("_n_issued"), F.col("_sum").alias("_issued"))
     earned = _window_sums(assigned, outcome, unit, ts, value, window, parts)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from subvent.functions.checks import as_double, complete, refuse, require
+from subvent.functions.checks import as_double, complete, refuse, require, weighted
 from subvent.operators.causal.bins import bin_features
 from subvent.plans.lookup import BROADCAST_ROWS, attach
 from subvent.sources.staging import stage
@@ -27,33 +27,36 @@ def cross_fit_residuals(
     trees: int = 20,
     depth: int = 5,
     broadcast_rows: int = BROADCAST_ROWS,
+    weight: str | None = None,
 ) -> DataFrame:
     """``panel`` with ``fold`` and one ``<col>_res`` per column.
 
     ``cell_mean`` predicts by the mean of the other folds in the same covariate cell; ``rf``
-    by a random forest trained on the other folds. A row with a NULL in ``cols`` takes part
-    in no mean and gets NULL, as does a row whose cell has no row in another fold.
+    by a random forest trained on the other folds. A row without a unit, or with a NULL, NaN or infinity
+    in ``cols``, takes part in no mean and gets NULL, as does a row whose cell has no row in another fold. A row with
+    a ``weight`` counts as that many rows; one without a positive weight takes no part.
     """
     if k < 2:
         raise ValueError("k must be at least 2")
-    require(panel, [unit, *x], cols)
+    require(panel, [unit, *x], [*cols, *([weight] if weight else [])])
     refuse(panel, ["fold", *[f"{c}_res" for c in cols]])
     if fold is None:
         fold = F.pmod(F.xxhash64(F.lit(seed), F.col(unit)), F.lit(k))
-    rows = panel.withColumn("fold", fold.cast("int"))
+    rows = panel.withColumn("fold", F.when(F.col(unit).isNotNull(), fold.cast("int")))
     if method == "cell_mean":
-        return _cell_means(rows, list(cols), list(x), broadcast_rows)
+        return _cell_means(rows, list(cols), list(x), broadcast_rows, weight)
     if method == "rf":
-        return _forests(rows, list(cols), list(x), k, seed, n_bins, trees, depth)
+        return _forests(rows, list(cols), list(x), k, seed, n_bins, trees, depth, weight)
     raise ValueError(f"method must be 'cell_mean' or 'rf', not '{method}'")
 
 
-def _cell_means(rows: DataFrame, cols: list[str], x: list[str], broadcast_rows: int) -> DataFrame:
-    ok = complete(cols)
+def _cell_means(rows: DataFrame, cols: list[str], x: list[str], broadcast_rows: int, weight: str | None) -> DataFrame:
+    ok = complete(cols) & F.col("fold").isNotNull() & weighted(weight)
+    own = F.lit(1.0) if weight is None else as_double(rows, weight)
     sums = rows.groupBy(*x, "fold").agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.count(F.when(ok, 1)).alias("_n"),
-        *[F.coalesce(F.sum(F.when(ok, as_double(rows, c))), F.lit(0.0)).alias(f"_s_{c}") for c in cols],
+        (F.count(F.when(ok, 1)) if weight is None else F.coalesce(F.sum(F.when(ok, own)), F.lit(0.0))).alias("_n"),
+        *[F.coalesce(F.sum(F.when(ok, as_double(rows, c) * own)), F.lit(0.0)).alias(f"_s_{c}") for c in cols],
     )
     cell = Window.partitionBy(*x)
     others = F.sum("_n").over(cell) - F.col("_n")
@@ -71,7 +74,7 @@ def _cell_means(rows: DataFrame, cols: list[str], x: list[str], broadcast_rows:
 
 
 def _forests(
-    rows: DataFrame, cols: list[str], x: list[str], k: int, seed: int, n_bins: int, trees: int, depth: int
+    rows: DataFrame, cols: list[str], x: list[str], k: int, seed: int, n_bins: int, trees: int, depth: int, weight: str | None
 ) -> DataFrame:
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.regression import RandomForestRegressor
@@ -79,12 +82,13 @@ def _forests(
     binned, _ = bin_features(rows, x, n_bins, output="_bins")
     binned = stage(binned, "rf_panel")
     vectors = binned.withColumn("_features", array_to_vector(F.col("_bins").cast("array<double>")))
-    ok = complete(cols)
+    ok = complete(cols) & F.col("fold").isNotNull() & weighted(weight)
+    own = F.lit(1.0) if weight is None else as_double(rows, weight)
     parts = []
-    for i in range(k):
-        part = vectors.filter(F.col("fold") == i)
+    for i in range(k + 1):  # the last part holds the rows without a fold
+        part = vectors.filter(F.col("fold") == i if i < k else F.col("fold").isNull())
         train = vectors.filter((F.col("fold") != i) & ok)
-        enough = not train.isEmpty()
+        enough = i < k and not train.isEmpty()
         for c in cols:
             if not enough:
                 part = part.withColumn(f"{c}_res", F.lit(None).cast("double"))
@@ -93,7 +97,9 @@ def _forests(
                 featuresCol="_features", labelCol="_label", predictionCol="_guess",
                 numTrees=trees, maxDepth=depth, maxBins=max(n_bins + 1, 3), seed=seed,
             )
-            model = forest.fit(train.select("_features", as_double(rows, c).alias("_label")))
+            if weight:
+                forest.setWeightCol("_weight")
+            model = forest.fit(train.select("_features", as_double(rows, c).alias("_label"), own.alias("_weight")))
             residual = F.when(ok, as_double(rows, c) - F.col("_guess"))
             part = model.transform(part).withColumn(f"{c}_res", residual).drop("_guess")
         parts.append(part.select(*rows.columns, *[f"{c}_res" for c in cols]))

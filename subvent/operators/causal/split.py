@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subvent.functions.checks import as_double, complete, require
+from subvent.functions.checks import as_double, complete, finite, require, weighted
 from subvent.plans.lookup import BROADCAST_ROWS, attach
 from subvent.sources.staging import stage
 
@@ -14,8 +14,21 @@ SUMS = ("n", "high", "sz", "sw", "sy", "szy", "szw")
 CANCELLED = 1e-10
 
 
-def row_sums(z: Column, w: Column, y: Column, high: Column) -> list[Column]:
-    """The sums a single row contributes; ``high`` is 1 when the instrument is above the node's mean."""
+def row_sums(z: Column, w: Column, y: Column, high: Column, weight: Column | None = None) -> list[Column]:
+    """The sums a single row contributes; ``high`` is 1 when the instrument is above the node's mean.
+
+    A row with a ``weight`` contributes as that many rows.
+    """
+    if weight is not None:
+        return [
+            weight.alias("n"),
+            (high.cast("double") * weight).alias("high"),
+            (weight * z).alias("sz"),
+            (weight * w).alias("sw"),
+            (weight * y).alias("sy"),
+            (weight * z * y).alias("szy"),
+            (weight * z * w).alias("szw"),
+        ]
     return [
         F.lit(1).cast("bigint").alias("n"),
         high.cast("bigint").alias("high"),
@@ -72,7 +85,7 @@ def best_splits(hist: DataFrame, min_leaf: int) -> DataFrame:
         """l_szy - mz * l_sy - my * l_sz + l_n * mz * my
             - tau * (l_szw - mz * l_sw - mw * l_sz + l_n * mz * mw) AS rho""",
     )
-    gains = scores.selectExpr("*", "rho * rho * (1D / l_n + 1D / (t_n - l_n)) AS gain").filter("gain IS NOT NULL")
+    gains = scores.selectExpr("*", "rho * rho * (1D / l_n + 1D / (t_n - l_n)) AS gain").filter(finite(F.col("gain")))
     return (
         gains.selectExpr(
             "tree",
@@ -94,20 +107,25 @@ def iv_split(
     bins: str = "bins",
     min_leaf: int = 50,
     broadcast_rows: int = BROADCAST_ROWS,
+    weight: str | None = None,
 ) -> DataFrame:
     """Best split per (tree, node) of ``rows``, which carry ``tree``, ``node`` and a bins array.
 
-    Each side must hold ``min_leaf`` rows, half of it on either side of the node's mean z.
+    Each side must hold ``min_leaf`` rows, half of it on either side of the node's mean z. A row with a ``weight`` counts
+    as that many rows; one without a positive weight is left out.
     """
-    require(rows, ["tree", "node", bins], [z, w, y])
-    rows = rows.filter(complete([z, w, y])).select(
-        "tree", "node", bins, *[as_double(rows, c).alias(a) for c, a in ((z, "_z"), (w, "_w"), (y, "_y"))]
+    require(rows, ["tree", "node", bins], [z, w, y] + ([weight] if weight else []))
+    extra = [as_double(rows, weight).alias("_weight")] if weight else []
+    rows = rows.filter(complete([z, w, y]) & weighted(weight)).select(
+        "tree", "node", bins, *[as_double(rows, c).alias(a) for c, a in ((z, "_z"), (w, "_w"), (y, "_y"))], *extra
     )
+    own = F.col("_weight") if weight else None
+    mean = (lambda c: F.sum(own * F.col(c)) / F.sum(own)) if weight else F.avg
     means = rows.groupBy("tree", "node").agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.avg(c).alias(f"_m{c}") for c in ("_z", "_w", "_y")]
+        F.count(F.lit(1)).alias("_rows"), *[mean(c).alias(f"_m{c}") for c in ("_z", "_w", "_y")]
     )
     rows = attach(rows, stage(means, "node_means"), ["tree", "node"], "_rows", broadcast_rows)
     # centred sums lose fewer digits
     z, w, y = (F.col(c) - F.col(f"_m{c}") for c in ("_z", "_w", "_y"))
-    sums = rows.select("tree", "node", F.col(bins).alias("bins"), *row_sums(z, w, y, z > 0))
+    sums = rows.select("tree", "node", F.col(bins).alias("bins"), *row_sums(z, w, y, z > 0, own))
     return best_splits(histogram(sums), min_leaf)

@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from subvent.functions.checks import require
 from subvent.operators.prior.priors import Prior, _per_prior, check_priors
-from subvent.operators.shape.basis import CurveBasis, dot
+from subvent.operators.shape.basis import CurveBasis
 from subvent.operators.shape.curve import ShapeCurves, solve_curves
 from subvent.operators.shape.gram import COUNTS, gram
+from subvent.operators.shape.solve import Penalties, solve_penalised, unpack
 from subvent.sources.staging import stage
 
-# The active set settles in a few rounds; this only stops a fit that cycles.
-MAX_ROUNDS = 50
-
 
 def prior_rows(points: DataFrame, x: str, basis: CurveBasis, priors: Sequence[Prior]) -> DataFrame:
     """The assumptions as regression rows: one column ``term_i`` per term, and ``target``."""
@@ -64,8 +65,9 @@ def prior_curve_fit(
 ) -> ShapeCurves:
     """Minimise mean squared error plus ``lam`` times the mean squared residual of each prior.
 
-    The data are read once, into a Gram table. Equalities then need one solve; with inequalities
-    the solve repeats over the points in breach until their set no longer changes.
+    The data are read once, into a Gram table. Each segment is then solved on its own from its sums and points: once
+    with equalities alone, over the set of points in breach with inequalities. A segment whose set does not settle has
+    the status ``not_converged`` and the best curve found; the others do not notice.
     """
     by = list(by)
     if not by:
@@ -78,25 +80,50 @@ def prior_curve_fit(
     basis = CurveBasis(tuple(float(t) for t in knots), power, shape)
     data = gram(df, basis.terms(F.col(x).cast("double")), y, by, per_row=True)
     rows = prior_rows(points.select(*by, "point_id", x, "lo", "hi"), x, basis, priors)
-    if any(p.relation != "=" for p in priors):
-        data, rows = stage(data, "data_gram"), stage(rows, "prior_rows")
-
-    equalities = F.col("relation") == "="
-    curves = _solve(combined_gram(data, rows, by, basis, lam, equalities), by, basis, x)
     if all(p.relation == "=" for p in priors):
-        return curves
-    previous = None
-    for _ in range(MAX_ROUNDS):
-        # the rows in breach under the present curves, and a fingerprint of their set
-        value = dot([F.col(f"term_{i}") for i in range(basis.size)], F.col("coef"))
-        breach = F.when(F.col("relation") == ">=", value < F.col("target")).otherwise(value > F.col("target"))
-        marked = curves.attach_to(rows).withColumn("_active", equalities | F.coalesce(breach, F.lit(False)))
-        now = marked.filter("_active").agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*by, "point_id", "prior"))).first()
-        if now == previous:
-            return curves
-        previous = now
-        curves = _solve(combined_gram(data, marked, by, basis, lam, F.col("_active")), by, basis, x)
-    raise RuntimeError(f"the points in breach did not settle in {MAX_ROUNDS} rounds; use a smaller lam")
+        return _solve(combined_gram(data, rows, by, basis, lam), by, basis, x)
+    return ShapeCurves(stage(_solve_with_inequalities(data, rows, by, basis, lam), "curves"), basis, x, tuple(by))
+
+
+def _solve_with_inequalities(data: DataFrame, rows: DataFrame, by: list[str], basis: CurveBasis, lam: float) -> DataFrame:
+    """One row per segment, from its Gram rows and its own points; a segment that does not settle says so in its status."""
+    k, signs = basis.size, basis.signs
+    terms = [f"term_{i}" for i in range(k)]
+    sides = {"=": 0, ">=": 1, "<=": -1}
+    fields = [data.schema[c] for c in by] + [
+        T.StructField("coef", T.ArrayType(T.DoubleType())),
+        T.StructField("n", T.LongType()),
+        T.StructField("n_dropped", T.LongType()),
+        T.StructField("loss", T.DoubleType()),
+        T.StructField("status", T.StringType()),
+    ]
+
+    def solve(sums: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+        g, b, yy, n, dropped = unpack(sums, k) if len(sums) else (None, None, 0.0, 0, 0)
+        some = sums if len(sums) else points
+        out = some.loc[some.index[:1], by].reset_index(drop=True)
+        if n == 0:
+            coef, loss, status = None, None, "no_rows"
+        else:
+            values = points[[*terms, "target", "prior_weight"]].to_numpy(dtype=float)
+            points = points[np.isfinite(values).all(axis=1)]
+            size = points.groupby("prior")["target"].transform("size").to_numpy(dtype=float)
+            penalties = Penalties(
+                points[terms].to_numpy(dtype=float),
+                points["target"].to_numpy(dtype=float),
+                lam * points["prior_weight"].to_numpy(dtype=float) / size,
+                points["relation"].map(sides).to_numpy(dtype=int),
+            )
+            c, done = solve_penalised(g, b, signs, penalties)
+            active = penalties.active(c)
+            miss = (penalties.terms @ c - penalties.target)[active]
+            loss = max(float(yy - 2 * b @ c + c @ g @ c), 0.0) + float((penalties.weight[active] * miss * miss).sum())
+            coef, status = c.tolist(), "not_converged" if not done else "few_rows" if n < k else "ok"
+        out["coef"] = [coef]
+        out["n"], out["n_dropped"], out["loss"], out["status"] = int(n), int(dropped), loss, status
+        return out
+
+    return data.groupBy(*by).cogroup(rows.groupBy(*by)).applyInPandas(solve, T.StructType(fields))
 
 
 def _solve(grams: DataFrame, by: list[str], basis: CurveBasis, x: str) -> ShapeCurves:

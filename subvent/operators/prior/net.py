@@ -74,7 +74,7 @@ def prior_net_fit(
     power = init.power if init else float(power)
     at_points, stencils = _scaled_points(points, priors, x_shape, x_free, scales, lam)
     theta = np.asarray(init.theta) if init else first_weights(hidden, seed, x_free is not None)
-    theta, loss, passes = descend(rows.unionByName(at_points), theta, power, iters, stencils)
+    theta, loss, passes, status = descend(rows.unionByName(at_points), theta, power, iters, stencils)
     return RecuNet(
-        tuple(theta.tolist()), power, x_shape, x_free, tuple(scales), n, dropped, loss * scales[5] ** 2, passes
+        tuple(theta.tolist()), power, x_shape, x_free, tuple(scales), n, dropped, loss * scales[5] ** 2, passes, status
     )

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subvent.functions.checks import as_double, require
+from subvent.functions.checks import as_double, finite, require
 
 
 def holdout_fold(unit: str, k: int = 5, fold: int = 0, seed: int = 0) -> Column:
@@ -33,15 +33,14 @@ def generalization_report(
     """Per model: n, rmse, mae and bias on held-out rows, the training rmse and the gap.
 
     ``models`` maps a model's name to its prediction column. A row counts for a model when its
-    outcome and prediction are there and ``holdout`` is not NULL; the rest is in ``n_dropped``.
+    outcome and prediction are finite numbers and ``holdout`` is not NULL; the rest is in ``n_dropped``.
     All models are scored in one pass of conditional sums.
     """
     by = list(by)
     require(df, by, [y, *models.values()])
     names = list(models)
-    errors = df.select(
-        *by, holdout.alias("_out"), *[(as_double(df, models[m]) - as_double(df, y)).alias(f"_e{i}") for i, m in enumerate(names)]
-    )
+    gaps = [as_double(df, models[m]) - as_double(df, y) for m in names]
+    errors = df.select(*by, holdout.alias("_out"), *[F.when(finite(e), e).alias(f"_e{i}") for i, e in enumerate(gaps)])
     sums = []
     for i in range(len(names)):
         e = F.col(f"_e{i}")

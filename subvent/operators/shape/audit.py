@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from subvent.functions.checks import require
+from subvent.functions.checks import complete, require
 from subvent.functions.steps import edges_passed
 from subvent.operators.shape.basis import SHAPES
 from subvent.plans.lookup import shuffle_partitions
@@ -15,17 +16,29 @@ from subvent.sources.staging import stage
 
 # fixed value: predictions of size p are taken as exact to this share of p
 ROUNDING = 4e-15
-# more edges than this would make a needlessly long expression
-MOST_SLICES = 256
+# points of a slice: what one task sorts
+SLICE_POINTS = 1_000_000
 
 
 def _slice_of(points: DataFrame, slices: int) -> Column:
-    """Number of the even-sized slice along x a point falls in; one narrow pass finds the edges."""
+    """Number of the even-sized slice along x a point falls in; one narrow pass finds the edges.
+
+    The edges stand in the plan as one sorted array, whatever their number, and a point's slice is the number of
+    edges that it has passed.
+    """
     if slices < 2:
         return F.lit(0)
-    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
-    edges = points.agg(F.percentile_approx("_x", shares, 1_000)).first()[0] or []
-    return edges_passed(F.col("_x"), sorted(set(edges)))
+    shares = F.lit([i / slices for i in range(1, slices)])
+    edges = points.agg(F.percentile_approx("_x", shares, max(1_000, 20 * slices))).first()[0] or []
+    edges = sorted(set(edges))
+    if len(edges) <= 64:
+        return edges_passed(F.col("_x"), edges)
+    # edges in blocks: first the block, then the edge in it
+    size = math.isqrt(len(edges))
+    blocks = [edges[i : i + size] for i in range(0, len(edges), size)]
+    block = edges_passed(F.col("_x"), [b[0] for b in blocks])
+    inside = F.size(F.filter(F.get(F.lit(blocks), F.greatest(block - 1, F.lit(0))), lambda e: e <= F.col("_x")))
+    return F.when(block == 0, 0).otherwise((block - 1) * size + inside)
 
 
 def shape_audit(
@@ -43,20 +56,21 @@ def shape_audit(
     difference of the wrong sign, or a second one for the bend, by more than ``tol`` and more than
     the rounding of the predictions can cause. Points are compared within
     slices of x, each preceded by copies of the two points before it, so a long segment is
-    spread over ``slices`` tasks (by default one per shuffle partition) and no neighbour is missed.
+    spread over ``slices`` tasks (by default one per shuffle partition, and more beyond SLICE_POINTS points each) and no
+    neighbour is missed. A row whose x or prediction is NULL, NaN or infinite is no point.
     """
     by = list(by)
-    slices = slices or min(shuffle_partitions(df), MOST_SLICES)
     require(df, by, [pred, x])
     _, slope_sign, bend_sign = SHAPES[shape]
     # equal predictions are taken as they are: their average could differ in the last digit
     point = F.when(F.min(pred) == F.max(pred), F.min(pred)).otherwise(F.avg(pred)).cast("double")
     points = stage(
-        df.filter(F.col(pred).isNotNull() & F.col(x).isNotNull())
+        df.filter(complete([pred, x]))
         .groupBy(*by, F.col(x).cast("double").alias("_x"))
         .agg(point.alias("_p")),
         "audit_points",
     )
+    slices = slices or max(shuffle_partitions(df), points.count() // SLICE_POINTS)
     points = points.withColumn("_slice", _slice_of(points, slices)).withColumn("_copy", F.lit(False))
 
     # the last two points of each slice, in order of x

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from subvent.functions.checks import refuse, require
 from subvent.operators.shape.basis import CurveBasis
 from subvent.operators.shape.gram import gram
-from subvent.operators.shape.solve import solve_signed, unpack
+from subvent.operators.shape.solve import solve_signed_status, unpack
 from subvent.plans.lookup import BROADCAST_ROWS, attach
 from subvent.sources.staging import stage
 
@@ -76,9 +76,9 @@ def solve_curves(grams: DataFrame, by: Sequence[str], basis: CurveBasis, means:
         if n == 0:
             coef, loss, status = None, None, "no_rows"
         else:
-            c = solve_signed(g, b, signs)
+            c, done = solve_signed_status(g, b, signs)
             coef, loss = c.tolist(), max(float(yy - 2 * b @ c + c @ g @ c), 0.0) / (1 if means else n)
-            status = "few_rows" if n < k else "ok"
+            status = "not_converged" if not done else "few_rows" if n < k else "ok"
         out = out.reindex(range(1))
         out["coef"] = [coef]
         out["n"], out["n_dropped"], out["loss"], out["status"] = int(n), int(dropped), loss, status

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subvent.functions.checks import require
+from subvent.functions.checks import complete, require
 
 # Row (COUNTS, 0) of a Gram table holds the number of rows used, (COUNTS, 1) the number left out.
 COUNTS = -1
@@ -23,7 +23,7 @@ def gram(
 ) -> DataFrame:
     """X'X, X'y, y'y and row counts per segment in long form (by..., i, j, value) with i <= j.
 
-    Index k = len(terms) stands for y. One pass; every sum is partial before the shuffle, so
+    Index k = len(terms) stands for y. A row with a NULL, NaN or infinite number is left out. One pass; every sum is partial before the shuffle, so
     a segment costs one row per task however many rows it has. ``per_row`` divides the products
     by the number of rows used.
     """
@@ -40,10 +40,7 @@ def gram(
         (F.lit(1.0) if weight is None else column(weight)).alias("_weight"),
     )
     names = [f"_x{i}" for i in range(k + 1)]
-    ok = F.col("_weight").isNotNull()
-    for name in names:
-        ok = ok & F.col(name).isNotNull()
-    wide = wide.withColumn("_ok", ok)
+    wide = wide.withColumn("_ok", complete(["_weight", *names]))
     pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
 
     def product(i: int, j: int) -> Column:

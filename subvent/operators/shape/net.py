@@ -9,7 +9,7 @@ driver. That needs some tens of passes where plain gradients need hundreds.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -49,6 +49,7 @@ class RecuNet:
     n_dropped: int = 0
     loss: float | None = None
     passes: int = 0
+    status: str = "given"  # or, of a fit: converged, not_converged
 
     @property
     def hidden(self) -> int:
@@ -91,14 +92,20 @@ class RecuNet:
     def save(self, path: str) -> None:
         spark = SparkSession.active()
         self.to_df(spark).write.parquet(f"{path}/weights")
-        row = (self.power, self.x_shape, self.x_free, list(self.scales))
-        schema = "power double, x_shape string, x_free string, scales array<double>"
+        row = (
+            self.power, self.x_shape, self.x_free, list(self.scales), self.n, self.n_dropped, self.loss, self.passes, self.status,
+        )
+        schema = (
+            "power double, x_shape string, x_free string, scales array<double>, n bigint, n_dropped bigint, loss double, "
+            "passes int, status string"
+        )
         spark.createDataFrame([row], schema).write.parquet(f"{path}/scales")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> RecuNet:
-        s = spark.read.parquet(f"{path}/scales").first()
-        return RecuNet.from_df(spark.read.parquet(f"{path}/weights"), s["power"], s["x_shape"], s["x_free"], s["scales"])
+        s = spark.read.parquet(f"{path}/scales").first().asDict()
+        net = RecuNet.from_df(spark.read.parquet(f"{path}/weights"), s["power"], s["x_shape"], s["x_free"], s["scales"])
+        return replace(net, **{c: s[c] for c in ("n", "n_dropped", "loss", "passes", "status") if c in s})
 
 
 def forward(theta: np.ndarray, power: float, s: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,9 +188,13 @@ def sum_equations(rows: DataFrame, theta: np.ndarray, power: float, stencils: St
 
 
 def descend(rows: DataFrame, theta: np.ndarray, power: float, iters: int, stencils: Stencils = Stencils()):
-    """Damped Gauss-Newton steps; a step that raises the loss is taken back and damped more."""
+    """Damped Gauss-Newton steps; a step that raises the loss is taken back and damped more.
+
+    Returns the weights, their loss, the passes over the rows, and ``converged`` once a step gains next to nothing or
+    no step gains anything; ``not_converged`` after ``iters`` steps.
+    """
     jj, jr, loss = sum_equations(rows, theta, power, stencils)
-    damping, passes = 1e-2, 1
+    damping, passes, status = 1e-2, 1, "not_converged"
     for _ in range(iters):
         scale = np.diag(jj) + 1e-8 * max(np.diag(jj).max(), 1e-12)
         step = np.linalg.solve(jj + damping * np.diag(scale), -jr)
@@ -194,12 +205,14 @@ def descend(rows: DataFrame, theta: np.ndarray, power: float, iters: int, stenci
             theta, (jj, jr, loss) = theta + step, trial
             damping = max(damping / 5, 1e-10)
             if gain <= 1e-10 * max(loss, 1e-12):
+                status = "converged"
                 break
         else:
             damping *= 8
             if damping > 1e10:
+                status = "converged"
                 break
-    return theta, loss, passes
+    return theta, loss, passes, status
 
 
 def first_weights(hidden: int, seed: int, has_free: bool) -> np.ndarray:
@@ -273,10 +286,10 @@ def recu_net_fit(
     check_power(power)
     rows, scales, n, dropped = scaled_rows(df, x_shape, x_free, y, init)
     theta = np.asarray(init.theta) if init else first_weights(hidden, seed, x_free is not None)
-    theta, loss, passes = descend(rows, theta, init.power if init else power, iters)
+    theta, loss, passes, status = descend(rows, theta, init.power if init else power, iters)
     return RecuNet(
         tuple(theta.tolist()), init.power if init else float(power), x_shape, x_free, tuple(scales), n, dropped,
-        loss * scales[5] ** 2, passes,
+        loss * scales[5] ** 2, passes, status,
     )
 
 

@@ -43,13 +43,20 @@ def relu(x: str, power: int = 2) -> str:
 # ---------------------------------------------------------------- effects per group
 
 
-def iv_effect(by: list[str], extra: str = "") -> str:
+# a row of the panel for each row that a weight of 1 + unit_id % 3 stands for
+REPEATED = "JOIN (SELECT unnest([1, 2, 2, 3, 3, 3]) AS times) ON times = 1 + unit_id % 3"
+
+
+def iv_effect(by: list[str], extra: str = "", where: str = "TRUE", repeat: str = "") -> str:
+    """``where`` tells complete rows from those that are left out; ``repeat`` is a join that repeats rows."""
     keys = ", ".join(by)
     group = f"GROUP BY {keys}" if by else ""
     comma = f"{keys}, " if by else ""
     match = " AND ".join(f"g.{k} IS NOT DISTINCT FROM p.{k}" for k in by) or "TRUE"
     return f"""WITH {IV_PANEL},
-p AS (SELECT *{extra} FROM iv_panel),
+every AS (SELECT *{extra}, {where} AS complete FROM iv_panel),
+p AS (SELECT every.* FROM every {repeat} WHERE complete),
+left_out AS (SELECT {comma}count(*) FILTER (NOT complete) AS n_dropped FROM every {group}),
 g AS (SELECT {comma}count(*) AS n, avg(z) AS mz, avg(w) AS mw, avg(y) AS my,
     covar_samp(y, z) AS cyz, covar_samp(w, z) AS cwz, covar_samp(y, w) AS cyw, var_samp(z) AS vz, var_samp(w) AS vw
   FROM p {group}),
@@ -58,12 +65,28 @@ e AS (SELECT {", ".join("g." + k for k in by) + ", " if by else ""}
   FROM p JOIN g ON {match} {"GROUP BY " + ", ".join("g." + k for k in by) if by else ""}),
 f AS (SELECT g.*, s2, cwz * cwz / (vw * vz) AS r2 FROM g JOIN e ON {" AND ".join(f"g.{k} IS NOT DISTINCT FROM e.{k}" for k in by) or "TRUE"}),
 o AS (SELECT *, CASE WHEN r2 < 1 - 1e-12 THEN r2 * (n - 2) / (1 - r2) END AS f_stat FROM f)
-SELECT {comma}n, CAST(0 AS BIGINT) AS n_dropped, {r("cyw / vw")} AS naive, {r("cyz / vz")} AS itt,
+SELECT {", ".join("o." + k for k in by) + ", " if by else ""}n, n_dropped, {r("cyw / vw")} AS naive, {r("cyz / vz")} AS itt,
   {r("cwz / vz")} AS first_stage, {r("cyz / cwz")} AS effect, {r("sqrt(s2) / (abs(cwz) * (n - 1))")} AS std_error,
   {r("f_stat")} AS f_stat, CASE WHEN f_stat < 10 THEN 'weak' ELSE 'ok' END AS status
-FROM o"""
+FROM o JOIN left_out l ON {" AND ".join(f"o.{k} IS NOT DISTINCT FROM l.{k}" for k in by) or "TRUE"}"""
 
 
+# one row of moments and of scores per group; a group too small or without a first stage has no effect
+IV_EFFECT_MANY = f"""WITH {IV_PANEL},
+p AS (SELECT *, CAST(floor(unit_id / {q.GROUP_UNITS}e0) AS BIGINT) AS batch FROM iv_panel),
+m AS (SELECT batch, count(*) AS n, avg(z) AS mz, avg(w) AS mw, avg(y) AS my,
+    covar_samp(y, z) AS cyz, covar_samp(w, z) AS cwz, covar_samp(y, w) AS cyw, var_samp(z) AS vz, var_samp(w) AS vw
+  FROM p GROUP BY batch),
+g AS (SELECT *, CASE WHEN n >= 3 AND vz > 0 AND abs(cwz) > 1e-12 * sqrt(vw * vz) THEN cyz / cwz END AS effect FROM m),
+e AS (SELECT g.batch, sum(pow((z - mz) * ((y - my) - effect * (w - mw)), 2)) AS s2 FROM p JOIN g ON g.batch = p.batch GROUP BY g.batch),
+f AS (SELECT g.*, s2, cwz * cwz / nullif(vw * vz, 0) AS r2 FROM g JOIN e ON g.batch = e.batch),
+o AS (SELECT *, CASE WHEN n >= 3 AND r2 < 1 - 1e-12 THEN r2 * (n - 2) / (1 - r2) END AS f_stat FROM f)
+SELECT batch, n, CAST(0 AS BIGINT) AS n_dropped, {r("cyw / nullif(vw, 0)")} AS naive, {r("cyz / nullif(vz, 0)")} AS itt,
+  {r("cwz / nullif(vz, 0)")} AS first_stage, {r("effect")} AS effect,
+  {r("sqrt(s2) / nullif(abs(cwz) * (n - 1), 0)")} AS std_error, {r("f_stat")} AS f_stat,
+  CASE WHEN n < 3 THEN 'too_few' WHEN vz = 0 THEN 'no_instrument_variation' WHEN abs(cwz) <= 1e-12 * sqrt(vw * vz) THEN 'no_first_stage'
+    WHEN f_stat < 10 * (1 - 1e-9) THEN 'weak' ELSE 'ok' END AS status FROM o"""
+
 EXPERIMENT_PANEL = f"""WITH a AS (
   SELECT DISTINCT user_id AS unit_id, CAST(user_id % 2 AS INTEGER) AS z,
     TIMESTAMP '2024-01-08' + to_days(CAST(user_id % 7 AS INTEGER)) AS ts FROM events),
@@ -75,6 +98,18 @@ SELECT a.unit_id, a.ts, a.z, CAST(i.unit_id IS NOT NULL AS INTEGER) AS w,
   {r("coalesce(i.amount, 0)")} AS amount, {r("coalesce(o.y, 0)")} AS y
 FROM a LEFT JOIN i ON i.unit_id = a.unit_id LEFT JOIN o ON o.unit_id = a.unit_id"""
 
+EXPERIMENT_PANEL_DATES = f"""WITH a AS (
+  SELECT DISTINCT user_id AS unit_id, CAST(user_id % 2 AS INTEGER) AS z,
+    CAST(TIMESTAMP '2024-01-08' + to_days(CAST(user_id % 7 AS INTEGER)) AS DATE) AS ts FROM events),
+d AS (SELECT user_id, event_type, value, CAST(ts AS DATE) AS ts FROM events),
+i AS (SELECT a.unit_id, sum(e.value) AS amount FROM a JOIN d e ON e.user_id = a.unit_id
+  AND e.event_type = 'signup' AND e.ts >= a.ts AND e.ts < a.ts + INTERVAL 36 HOUR GROUP BY a.unit_id),
+o AS (SELECT a.unit_id, sum(e.value) AS y FROM a JOIN d e ON e.user_id = a.unit_id
+  AND e.event_type = 'purchase' AND e.ts >= a.ts AND e.ts < a.ts + INTERVAL 36 HOUR GROUP BY a.unit_id)
+SELECT a.unit_id, CAST(a.ts AS TIMESTAMP) AS ts, a.z, CAST(i.unit_id IS NOT NULL AS INTEGER) AS w,
+  {r("coalesce(i.amount, 0)")} AS amount, {r("coalesce(o.y, 0)")} AS y
+FROM a LEFT JOIN i ON i.unit_id = a.unit_id LEFT JOIN o ON o.unit_id = a.unit_id"""
+
 RESIDUALS = """folded AS (SELECT *, CAST(unit_id % 5 AS INTEGER) AS fold FROM iv_panel),
 cells AS (SELECT segment, priority, fold, count(*) AS n, sum(z) AS z, sum(w) AS w, sum(y) AS y FROM folded GROUP BY ALL),
 others AS (SELECT own.segment, own.priority, own.fold, sum(o.z) / sum(o.n) AS z, sum(o.w) / sum(o.n) AS w, sum(o.y) / sum(o.n) AS y
@@ -140,7 +175,7 @@ ready AS MATERIALIZED (SELECT r.tree, CAST(r.node AS BIGINT) AS node, bins, CAST
 SELECT tree, node, feature, bin, {r("gain", 2)} AS gain, CAST(n AS BIGINT) AS n, CAST(n_left AS BIGINT) AS n_left FROM best"""
 
 
-def forest(w: str = "w", bag_size: int = 1, fraction: float = 0.5, residual: bool = False) -> str:
+def forest(w: str = "w", bag_size: int = 1, fraction: float = 0.5, residual: bool = False, repeat: str = "") -> str:
     """CTEs ``binned``, ``drawn``, ``splits`` and ``leaves`` of the registered forest."""
     z, y, source = "z", "y", "iv_panel"
     if residual:
@@ -155,7 +190,7 @@ def forest(w: str = "w", bag_size: int = 1, fraction: float = 0.5, residual: boo
 {RESIDUALS},
 mean AS (SELECT avg({z}) AS mz, avg({w}) AS mw, avg({y}) AS my, avg(z) AS raw FROM {source}),
 binned AS MATERIALIZED (SELECT unit_id AS unit, [{", ".join(bin_list())}] AS bins, {z} - mz AS z, {w} - mw AS w, {y} - my AS y,
-    CAST(z > raw AS INTEGER) AS high FROM {source}, mean),
+    CAST(z > raw AS INTEGER) AS high FROM {source} {repeat}, mean),
 trees AS (SELECT unnest(range(1, {q.TREES + 1})) AS tree),
 drawn AS MATERIALIZED (SELECT CAST(tree AS INTEGER) AS tree, unit, bins, z, w, y, high, {draw("unit", "tree")} % 2 = 0 AS half
   FROM binned, trees WHERE {sample}),
@@ -454,6 +489,86 @@ def net_predict() -> str:
     return f"SELECT l_orderkey, l_linenumber, {r(total)} AS pred FROM lineitem"
 
 
+def net_steps(prior: bool) -> str:
+    """Damped Gauss-Newton steps of a net with two hidden units, from a given start.
+
+    ``parts`` are the places at which an observation needs the net, with a factor: one for a cell of equal doses, four
+    for a third difference. A step solves for all weights by elimination and is kept if the loss falls.
+    """
+    s0, s1, _, _, mean, sd = q.STEPS_SCALES
+    p, h = len(q.STEPS_THETA), 2
+    c, v, a, u, b = "th_0", ["th_1", "th_2"], ["th_3", "th_4"], ["th_5", "th_6"], ["th_7", "th_8"]
+    cells = f"""cells AS (SELECT (dose - {s0}e0) / {s1}e0 AS s, count(*) AS n, avg((y - {mean}e0) / {sd}e0) AS m,
+    var_pop((y - {mean}e0) / {sd}e0) AS q FROM dose_panel GROUP BY dose)"""
+    parts = """SELECT 'cell ' || s AS id, s, 1e0 AS coef, n / sum(n) OVER () AS weight, m, q FROM cells"""
+    if prior:
+        shifts = " UNION ALL ".join(f"SELECT {k * H / s1}e0 AS shift, {coef}e0 AS coef" for k, coef in THIRD)
+        parts += f""" UNION ALL SELECT 'point ' || point_id, (dose - {s0}e0) / {s1}e0 + shift, coef,
+    {q.STEPS_LAMBDA}e0 / (SELECT count(*) FROM points WHERE dose + {3 * H}e0 <= 0.1e0 + 1e-10), 0e0, 0e0
+  FROM points, ({shifts}) WHERE dose + {3 * H}e0 <= 0.1e0 + 1e-10"""
+    ctes = [f"WITH {DOSE_PANEL}", grid(41, 0.0, 0.1, "SELECT 0 AS segment"), cells, f"parts AS MATERIALIZED ({parts})"]
+    theta = ", ".join(f"CAST({t}e0 AS DOUBLE) AS th_{i}" for i, t in enumerate(q.STEPS_THETA))
+    ctes.append(f"now0 AS (SELECT {theta}, 1e-2 AS damping)")
+
+    def soft(x: str) -> str:
+        return f"ln(1e0 + exp({x}))"
+
+    def share(x: str) -> str:
+        return f"(1e0 / (1e0 + exp(-({x}))))"
+
+    inner = [f"greatest({soft(a[k])} * s + {b[k]}, 0e0)" for k in range(h)]
+    grow = [f"{soft(v[k])} * 2e0 * {inner[k]}" for k in range(h)]
+    slopes_by = ["1e0"]
+    slopes_by += [f"pow({inner[k]}, 2) * {share(v[k])}" for k in range(h)]
+    slopes_by += [f"{grow[k]} * s * {share(a[k])}" for k in range(h)]
+    slopes_by += ["0e0" for _ in u] + [grow[k] for k in range(h)]
+    value = f"{c} + " + " + ".join(f"pow({inner[k]}, 2) * {soft(v[k])}" for k in range(h))
+
+    def sums(name: str, weights: str) -> list[str]:
+        columns = ", ".join(f"sum(coef * ({x})) AS j_{i}" for i, x in enumerate(slopes_by))
+        products = [f"sum(weight * j_{i} * j_{j}) AS a_{i}_{j}" for i in range(p) for j in range(i, p)]
+        products += [f"-sum(weight * j_{i} * (f - m)) AS a_{i}_{p}" for i in range(p)]
+        return [
+            f"""{name}_f AS (SELECT id, weight, m, q, sum(coef * ({value})) AS f, {columns} FROM parts, {weights} GROUP BY id, weight, m, q)""",
+            f"""{name} AS MATERIALIZED (SELECT {", ".join(products)}, sum(weight * (pow(f - m, 2) + q)) AS loss FROM {name}_f)""",
+        ]
+
+    ctes += sums("sums0", "now0")
+    for step in range(q.NET_STEPS):
+        most = f"greatest({', '.join(f'a_{i}_{i}' for i in range(p))}, 1e-12)"
+        start = []
+        for i in range(p):
+            for j in range(p):
+                cell = f"a_{min(i, j)}_{max(i, j)}"
+                start.append((f"{cell} + damping * ({cell} + 1e-8 * {most})" if i == j else cell) + f" AS e_{i}_{j}")
+            start.append(f"a_{i}_{p} AS e_{i}_{p}")
+        ctes.append(f"e{step}_0 AS (SELECT {', '.join(start)} FROM sums{step}, now{step})")
+        for pivot in range(p):
+            cells_left = []
+            for i in range(p):
+                for j in range(pivot + 1, p + 1):
+                    x = f"e_{pivot}_{j} / e_{pivot}_{pivot}"
+                    cells_left.append(f"{x if i == pivot else f'e_{i}_{j} - e_{i}_{pivot} * {x}'} AS e_{i}_{j}")
+            ctes.append(f"e{step}_{pivot + 1} AS MATERIALIZED (SELECT {', '.join(cells_left)} FROM e{step}_{pivot})")
+        moved = ", ".join(f"th_{i} + e_{i}_{p} AS th_{i}" for i in range(p))
+        ctes.append(f"trial{step} AS MATERIALIZED (SELECT {moved} FROM now{step}, e{step}_{p})")
+        ctes += sums(f"try{step}", f"trial{step}")
+        falls = f"try{step}.loss < sums{step}.loss"
+        chosen = ", ".join(f"CASE WHEN {falls} THEN trial{step}.th_{i} ELSE now{step}.th_{i} END AS th_{i}" for i in range(p))
+        ctes.append(
+            f"""now{step + 1} AS MATERIALIZED (SELECT {chosen}, CASE WHEN {falls} THEN greatest(damping / 5, 1e-10) ELSE damping * 8 END AS damping
+  FROM now{step}, trial{step}, try{step}, sums{step})"""
+        )
+        names = [f"a_{i}_{j}" for i in range(p) for j in range(i, p)] + [f"a_{i}_{p}" for i in range(p)] + ["loss"]
+        kept = ", ".join(f"CASE WHEN {falls} THEN try{step}.{n} ELSE sums{step}.{n} END AS {n}" for n in names)
+        ctes.append(f"sums{step + 1} AS MATERIALIZED (SELECT {kept} FROM try{step}, sums{step})")
+    rows = [f"SELECT 0 AS unit, NULL::DOUBLE AS a, NULL::DOUBLE AS u, NULL::DOUBLE AS v, {r('th_0')} AS b FROM now{q.NET_STEPS}"]
+    rows += [
+        f"SELECT {k + 1} AS unit, {r(a[k])} AS a, {r(u[k])} AS u, {r(v[k])} AS v, {r(b[k])} AS b FROM now{q.NET_STEPS}" for k in range(h)
+    ]
+    return ",\n".join(ctes) + "\n" + " UNION ALL ".join(rows)
+
+
 def basis_columns() -> str:
     x = "l_quantity"
     convex = [f"{t} AS convex_{i}" for i, t in enumerate(terms(x, q.QUANTITY_KNOTS))]
@@ -476,9 +591,42 @@ def weighted_gram() -> str:
     return f"SELECT {keys}, i, j, {r('value', 6)} AS value FROM ({' UNION ALL '.join(rows)})"
 
 
+def bounded_curves(rounds: int = 12) -> str:
+    """Curves under an upper bound and a rise along the grid: solve, mark the points in breach, solve again. Each round
+    is a Newton step on a convex loss that is quadratic between sets of points, so a set that stays is the minimum's."""
+    rise = ((1, 1.0), (0, -1.0))
+    fits = f"p.dose + {H}e0 <= 0.1e0 + 1e-10"
+    parts = [
+        f"WITH {DOSE_PANEL}",
+        grid(41, 0.0, 0.1),
+        products("crossed", "dose_panel", terms("dose", KNOTS), "y"),
+        solve("curves0", "crossed", K, []),
+    ]
+    for n in range(1, rounds + 1):
+        rising = " + ".join(f"{coef}e0 * ({curve(f'(p.dose + {s * H}e0)', KNOTS)})" for s, coef in rise)
+        parts += [
+            f"""marked{n} AS MATERIALIZED (SELECT p.segment, p.dose, {fits} AS fits,
+    CASE WHEN {curve("p.dose", KNOTS)} > {q.BOUND}e0 THEN 1e0 ELSE 0e0 END AS high,
+    CASE WHEN {rising} < 0 THEN 1e0 ELSE 0e0 END AS falls
+  FROM points p JOIN curves{n - 1} c ON c.segment = p.segment)""",
+            products(f"high{n}", f"marked{n}", [f"high * ({t})" for t in terms("dose", KNOTS)], f"high * {q.BOUND}e0"),
+            products(f"falls{n}", f"marked{n}", [f"falls * ({t})" for t in stencil_terms("dose", KNOTS, rise)], "0e0", where="fits"),
+            combined(f"joint{n}", K, "crossed", [(f"high{n}", q.BOUND_LAMBDA), (f"falls{n}", q.BOUND_LAMBDA)]),
+            solve(f"curves{n}", f"joint{n}", K, []),
+        ]
+    return ",\n".join(parts) + f"""
+SELECT p.segment, p.point_id, {r(curve("p.dose", KNOTS))} AS pred, {r(curve_slope("p.dose", KNOTS), 2)} AS slope
+FROM points p JOIN curves{rounds} c ON c.segment = p.segment"""
+
+
 OVER = "(l_quantity - 25e0)"
 SQL: dict[str, str] = {
     "experiment_panel": EXPERIMENT_PANEL,
+    "experiment_panel_dates": EXPERIMENT_PANEL_DATES,
+    "iv_effect_incomplete": iv_effect(["segment"], where="unit_id % 17 <> 0 AND unit_id % 13 <> 0 AND unit_id % 11 <> 0 AND unit_id % 7 <> 0"),
+    "iv_effect_many": IV_EFFECT_MANY,
+    "iv_effect_weighted": iv_effect(["segment"], repeat=REPEATED),
+    "iv_forest_weighted": f"{forest(repeat=REPEATED)}\n{SPLITS_OUT}",
     "iv_effect": iv_effect(["segment"]),
     "iv_effect_overall": iv_effect([]),
     "iv_effect_by_band": iv_effect(["high_balance", "priority", "segment"], ", acctbal >= 4500 AS high_balance"),
@@ -510,9 +658,16 @@ SELECT d.order_key, d.line_no, d.segment, {r(curve("d.dose", KNOTS))} AS pred, {
 FROM dose_panel d JOIN curves c ON c.segment = d.segment""",
     "shape_audit": f"WITH {DOSE_PANEL},\n{audit('dose_panel', 'y', 'dose', 'segment', 1, 1)}",
     "shape_audit_prices": f"WITH {audit('lineitem', 'l_quantity', 'l_extendedprice', 'l_returnflag', -1, -1)}",
-    "shape_audit_fitted": """SELECT l_returnflag AS segment, CAST(81 AS BIGINT) AS points, CAST(0 AS BIGINT) AS slope_breaches,
-  CAST(0 AS BIGINT) AS bend_breaches FROM lineitem GROUP BY l_returnflag""",
+    "shape_audit_fitted": f"""{CURVES},
+{grid(81, -0.05, 0.2)},
+fitted AS (SELECT p.segment, p.dose, {curve("p.dose", KNOTS)} AS pred FROM points p JOIN curves c ON c.segment = p.segment),
+{audit("fitted", "pred", "dose", "segment", 1, 1)}""",
+    "prior_curve_fit_bounds": bounded_curves(),
     "recu_net_predict": net_predict(),
+    "recu_net_steps": net_steps(prior=False),
+    "prior_net_steps": net_steps(prior=True),
+    "recu_net_claims": """SELECT count(*) AS n, 'converged' AS status, CAST(81 AS BIGINT) AS points, CAST(0 AS BIGINT) AS slope_breaches,
+  CAST(0 AS BIGINT) AS bend_breaches, TRUE AS near_truth FROM lineitem""",
     "collocation_points": f"""WITH e AS (SELECT l_returnflag, l_linestatus, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi
   FROM lineitem GROUP BY ALL)
 SELECT l_returnflag, l_linestatus, CAST(i AS INTEGER) AS point_id, {r("lo + i * ((hi - lo) / 40)", 6)} AS l_extendedprice,

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subvent.functions.activation import recu
@@ -51,11 +51,18 @@ COVARIATES = ["acctbal", "price", "priority"]
 TREES, DEPTH, MIN_LEAF = 50, 4, 50
 DRAW_TREES = 10
 SPLIT_MIN_LEAF = 100
+GROUP_UNITS = 12
+BOUND, BOUND_LAMBDA = 25.0, 100.0
 QUANTITY_KNOTS = (10.0, 20.0, 30.0, 40.0)
 REPORT_KNOTS = (0.0, 0.03)
 REPORT_CUT = 0.08
 GRID_STEP = 0.0025
 LAMBDA = 10_000.0
+# c, then v, a, u and b of two hidden units: a start for a few steps of the fit, which SQL repeats
+STEPS_THETA = (-1.0, 0.1, -0.3, 0.6, 0.4, 0.0, 0.0, 0.3, -0.2)
+STEPS_SCALES = (0.0, 0.1, 0.0, 1.0, 34.0, 10.0)
+NET_STEPS = 4
+STEPS_LAMBDA = 5.0
 # c, then v, a, u and b of four hidden units
 NET_THETA = (-1.2, -0.7, 0.1, 0.4, -1.5, 0.6, 0.9, 1.4, 0.2, 0.3, -0.2, 0.5, 0.1, 0.4, -0.1, -0.6, 0.8)
 NET_SCALES = (0.0, 0.1, 1.0, 49.0, 34.0, 10.0)
@@ -99,6 +106,20 @@ def q_experiment_panel(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(panel)
 
 
+def q_experiment_panel_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """Days for times and a window of hours: records of the next day count."""
+    day = F.col("ts").cast("date").alias("ts")
+    panel = experiment_panel(
+        fixtures.assignment(spark, folder).select("unit_id", "z", day),
+        fixtures.issuance(spark, folder).select("unit_id", day, "amount"),
+        fixtures.outcome(spark, folder).select("unit_id", day, "value"),
+        "unit_id",
+        "ts",
+        F.expr("INTERVAL '36' HOUR"),
+    )
+    return _rounded(panel.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+
+
 def q_iv_effect(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(iv_effect(fixtures.iv_panel(spark, folder), "z", "w", "y", ["segment"]))
 
@@ -113,6 +134,41 @@ def q_iv_effect_by_band(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(iv_effect(panel, "z", "w", "y", ["high_balance", "priority", "segment"]))
 
 
+def q_iv_effect_incomplete(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows with NULL, NaN or an infinity are left out and counted."""
+    unit = F.col("unit_id")
+    panel = fixtures.iv_panel(spark, folder).select(
+        "segment",
+        F.when(unit % 17 != 0, F.col("z")).alias("z"),
+        F.when(unit % 13 == 0, float("inf")).otherwise(F.col("w").cast("double")).alias("w"),
+        F.when(unit % 7 == 0, float("nan")).when(unit % 11 != 0, F.col("y")).alias("y"),
+    )
+    return _rounded(iv_effect(panel, "z", "w", "y", ["segment"]))
+
+
+def _weights() -> Column:
+    return (1 + F.col("unit_id") % 3).alias("weight")
+
+
+def q_iv_effect_weighted(spark: SparkSession, folder: str) -> DataFrame:
+    panel = fixtures.iv_panel(spark, folder).select("*", _weights())
+    return _rounded(iv_effect(panel, "z", "w", "y", ["segment"], weight="weight"))
+
+
+def q_iv_forest_weighted(spark: SparkSession, folder: str) -> DataFrame:
+    panel = fixtures.iv_panel(spark, folder).select("*", _weights())
+    model = iv_forest_fit(
+        panel, "z", "w", "y", COVARIATES, depth=DEPTH, min_leaf=MIN_LEAF, edges=EDGES, draws=_draws(), weight="weight"
+    )
+    return _rounded(model.splits, gain=2)
+
+
+def q_iv_effect_many(spark: SparkSession, folder: str) -> DataFrame:
+    """Many small groups, with every status."""
+    panel = fixtures.iv_panel(spark, folder).withColumn("batch", F.floor(F.col("unit_id") / GROUP_UNITS))
+    return _rounded(iv_effect(panel, "z", "w", "y", ["batch"]))
+
+
 def q_cross_fit_residuals(spark: SparkSession, folder: str) -> DataFrame:
     panel = fixtures.iv_panel(spark, folder).select("unit_id", "segment", "priority", "z", "w", "y")
     found = cross_fit_residuals(
@@ -263,13 +319,38 @@ def q_shape_audit_fitted(spark: SparkSession, folder: str) -> DataFrame:
     """Fitted curves audited on a grid that reaches past the data: no breach may show."""
     panel, curves = _curves(spark, folder)
     grid = collocation_points(panel, "dose", ["segment"], 81, -0.05, 0.2)
-    return shape_audit(curve_predict(grid, curves), "pred", "dose", ["segment"], "convex_increasing").drop("worst")
+    found = shape_audit(curve_predict(grid, curves), "pred", "dose", ["segment"], "convex_increasing")
+    return _rounded(found, worst=2)
 
 
 def q_recu_net_fit(spark: SparkSession, folder: str) -> DataFrame:
     return recu_net_fit(fixtures.dose_panel(spark, folder), "dose", None, "y", iters=20).to_df(spark)
 
 
+def _first_net() -> RecuNet:
+    return RecuNet(STEPS_THETA, 2, "dose", None, STEPS_SCALES)
+
+
+def q_recu_net_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """The first steps of a fit from a given start."""
+    net = recu_net_fit(fixtures.dose_panel(spark, folder), "dose", None, "y", iters=NET_STEPS, init=_first_net())
+    return _rounded(net.to_df(spark))
+
+
+def q_recu_net_claims(spark: SparkSession, folder: str) -> DataFrame:
+    """What a whole fit with the defaults promises: it converges, keeps its shape past the data, and comes near the truth."""
+    panel = fixtures.dose_panel(spark, folder)
+    net = recu_net_fit(panel, "dose", None, "y")
+    shape = shape_audit(recu_net_predict(collocation_points(panel, "dose", [], 81, -0.05, 0.2), net), "pred", "dose")
+    truth = panel.groupBy("dose").agg(F.avg("truth").alias("truth"), F.count("*").alias("n"))
+    miss = recu_net_predict(truth, net).agg(
+        F.sum("n").alias("n"), F.sqrt(F.sum(F.col("n") * (F.col("pred") - F.col("truth")) ** 2) / F.sum("n")).alias("error")
+    )
+    return shape.join(miss).select(
+        "n", F.lit(net.status).alias("status"), "points", "slope_breaches", "bend_breaches", (F.col("error") < 0.6).alias("near_truth")
+    )
+
+
 def q_recu_net_predict(spark: SparkSession, folder: str) -> DataFrame:
     net = RecuNet(NET_THETA, 2, "l_discount", "l_quantity", NET_SCALES)
     items = read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", "l_quantity")
@@ -314,9 +395,9 @@ def q_prior_curve_fit_bounds(spark: SparkSession, folder: str) -> DataFrame:
     """Inequalities: the points in breach are found by repeating the solve."""
     panel = fixtures.dose_panel(spark, folder)
     points = collocation_points(panel, "dose", ["segment"], 41, 0.0, 0.1)
-    priors = [upper_bound(25.0), increasing(GRID_STEP)]
-    curves = prior_curve_fit(panel, "dose", "y", ["segment"], fixtures.KNOTS, priors, 100.0, points)
-    return curve_predict(points, curves).select("segment", "point_id", "pred", "slope")
+    priors = [upper_bound(BOUND), increasing(GRID_STEP)]
+    curves = prior_curve_fit(panel, "dose", "y", ["segment"], fixtures.KNOTS, priors, BOUND_LAMBDA, points)
+    return _rounded(curve_predict(points, curves).select("segment", "point_id", "pred", "slope"), slope=2)
 
 
 def q_prior_net_fit(spark: SparkSession, folder: str) -> DataFrame:
@@ -327,6 +408,16 @@ def q_prior_net_fit(spark: SparkSession, folder: str) -> DataFrame:
     return net.to_df(spark)
 
 
+def q_prior_net_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """The first steps of a fit to data and to an assumption, from a given start."""
+    panel = fixtures.dose_panel(spark, folder)
+    points = collocation_points(panel, "dose", [], 41, 0.0, 0.1)
+    net = prior_net_fit(
+        panel, points, "dose", None, "y", [third_difference(GRID_STEP)], STEPS_LAMBDA, init=_first_net(), iters=NET_STEPS
+    )
+    return _rounded(net.to_df(spark))
+
+
 def q_generalization_report(spark: SparkSession, folder: str) -> DataFrame:
     """Curves fitted below a dose and judged above it, with and without assumptions."""
     panel = fixtures.dose_panel(spark, folder)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,18 +31,31 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stage(df: DataFrame, name: str, spread_by: str | None = None) -> DataFrame:
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what was staged inside; nothing that is used later may still read it."""
+    paths = _written.setdefault(spark.sparkContext.applicationId, [])
+    before = set(paths)
+    try:
+        yield
+    finally:
+        own = [p for p in paths if p not in before]
+        paths[:] = [p for p in paths if p in before]
+        _delete(spark, own)
+
+
+def stage(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 
     Cuts the lineage, survives the loss of an executor, and gives later passes a
-    columnar scan with an exact row count in its footers. ``spread_by`` names a column whose
-    hash spreads the rows over one file per core or more: for compact tables whose rows fan out
-    when read, where the usual file size would make too few and too heavy tasks.
+    columnar scan with an exact row count in its footers. ``spread`` deals the rows out evenly, by no key, over one
+    file per core or more: for compact tables whose rows fan out when read, where the usual file size would make too
+    few and too heavy tasks.
     """
     spark = df.sparkSession
-    if spread_by is not None:
+    if spread:
         files = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        df = df.repartition(files, spread_by)
+        df = df.repartition(files)
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -49,8 +64,12 @@ def stage(df: DataFrame, name: str, spread_by: str | None = None) -> DataFrame:
 def drop_staged(spark: SparkSession) -> int:
     """Delete the tables this application staged; results still reading them become invalid."""
     paths = _written.pop(spark.sparkContext.applicationId, [])
+    _delete(spark, paths)
+    return len(paths)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     for path in paths:
         target = hadoop(path)
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-    return len(paths)
