@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subvent.llm.common import chunked, column, slices, staged, strings
+from subvent.llm.common import chunked, column, forget_kept, slices, staged, strings
 from subvent.llm.substring import _MULTIPLIERS, _mixed, _rolled, window_starts, word_hashes
 
 #: Words of a shingle, similarity of a link, tokens of a sketch.
@@ -314,6 +314,7 @@ def jaccard_classes(
     fields = [F.col(f"doc.`{id_col}`").cast("bigint").alias("id"), F.col(f"doc.`{text}`").alias("text")]
 
     def sketch(batches):
+        forget_kept()
         for batch in batches:
             texts = strings(batch, "text")
             for i, j in slices(texts):

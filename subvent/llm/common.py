@@ -21,6 +21,8 @@ from subvent.sources.staging import new_path
 CHUNK_ROWS = 4096
 #: Bytes of text that a task works on at once; a longer text is worked on alone and whole.
 SLICE_BYTES = 4 << 20
+#: The same for work with many numbers per byte.
+SMALL_SLICE = 1 << 20
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -69,6 +71,11 @@ def strings(table: pa.Table | pa.RecordBatch, name: str) -> pa.Array:
     return pc.fill_null(found, "")
 
 
+def field(structs: pa.Array, name: str) -> pa.Array:
+    """A text field of structs as one array with 64-bit offsets, NULL as empty."""
+    return pc.fill_null(pc.struct_field(structs, [name]).cast(pa.large_string()), "")
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``limit`` bytes, at least one row each."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
@@ -95,6 +102,12 @@ def kept_in_worker(key: str, make: Callable[[], object]) -> object:
     return getattr(place, key)
 
 
+def forget_kept() -> None:
+    """Give back what tasks of other operators have kept in this Python worker, and freed Arrow memory."""
+    sys.modules.pop("_subvent_worker", None)
+    pa.default_memory_pool().release_unused()
+
+
 def byte_characters() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies: itself, or the next from U+0100."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subvent.llm.common import slices, strings
+from subvent.llm.common import SMALL_SLICE, field, forget_kept, slices, strings
 
 #: Lengths of the n-grams in bytes, and hashed features of each length.
 GRAMS, FEATURE_BITS = (2, 3, 4), 14
@@ -94,10 +94,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     size = len(GRAMS) << FEATURE_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             texts = strings(batch, "text")
-            for i, j in slices(texts):
+            for i, j in slices(texts, SMALL_SLICE):
                 coded = batch.column("lang").slice(i, j - i).dictionary_encode()
                 codes, names = np.asarray(coded.indices), coded.dictionary.to_pylist()
                 for feature, counts in _grams(texts.slice(i, j - i)):
@@ -180,12 +181,13 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)  # languages times features, whatever the corpus
-    wrapped = docs.select(F.struct("*").alias("doc"), F.col(text).alias("text"))
+    wrapped = docs.select(F.struct("*").alias("doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         for batch in batches:
-            texts = strings(batch, "text")
-            for i, j in slices(texts):
+            texts = field(batch.column("doc"), text)
+            for i, j in slices(texts, SMALL_SLICE):
                 names, score, unsure = scores(shared.value, texts.slice(i, j - i))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc").slice(i, j - i), pa.array(names, pa.string()), pa.array(score), pa.array(unsure)],

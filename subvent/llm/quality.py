@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subvent.llm.common import slices, staged, strings
+from subvent.llm.common import SMALL_SLICE, field, forget_kept, slices, staged, strings
 from subvent.llm.substring import window_starts, word_hashes
 
 #: Labelled documents that the classifier is fitted on, at most: those whose ids hash lowest, whatever the input's size.
@@ -112,9 +112,10 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, text: str = "text", id_co
     found = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).filter("text IS NOT NULL").join(F.broadcast(known), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         for batch in batches:
             texts = strings(batch, "text")
-            for i, j in slices(texts):
+            for i, j in slices(texts, SMALL_SLICE):
                 x = features(texts.slice(i, j - i)).astype(np.float32)
                 ends = np.arange(0, x.size + 1, N_FEATURES, dtype=np.int32)
                 lists = pa.ListArray.from_arrays(ends, pa.array(x.ravel()))
@@ -184,20 +185,23 @@ def posterior(
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(classifier)
-    wrapped = docs.select(F.struct("*").alias("doc"), F.col(text).alias("text"), host.cast("string").alias("host"), path.cast("string").alias("path"))
+    site = [host.cast("string").alias("host"), path.cast("string").alias("path")]
+    wrapped = docs.select(F.struct("*").alias("doc"), *site)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_kept()
         for batch in batches:
-            texts = strings(batch, "text")
-            for i, j in slices(texts):
+            texts = field(batch.column("doc"), text) if "doc" in batch.schema.names else strings(batch, "_text")
+            for i, j in slices(texts, SMALL_SLICE):
                 found = pa.array(shared.value.evidence(texts.slice(i, j - i)))
                 part = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in part.schema.names if c != "text"), found], [*(c for c in part.schema.names if c != "text"), "evidence"])
+                names = [c for c in part.schema.names if c != "_text"]
+                yield pa.RecordBatch.from_arrays([*map(part.column, names), found], [*names, "evidence"])
 
     sites = T.StructType([T.StructField(c, T.StringType()) for c in ("host", "path")] + [T.StructField("evidence", T.DoubleType())])
     whole = T.StructType([T.StructField("doc", wrapped.schema["doc"].dataType), *sites.fields])
     chance = F.lit(1.0) / (1.0 + F.exp(-(F.col("evidence") + F.lit(classifier.base))))
-    seen = wrapped.select("text", "host", "path").mapInArrow(run, sites)
+    seen = docs.select(F.col(text).alias("_text"), *site).mapInArrow(run, sites)
     paths = staged(seen.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(F.round(chance, 9).cast("decimal(28,9)")).cast("double").alias("good")), "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum(F.col("good").cast("decimal(28,9)")).cast("double").alias("hgood"))
     total = hosts.agg(F.sum("hn"), F.sum(F.col("hgood").cast("decimal(28,9)"))).first()

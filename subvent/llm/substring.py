@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subvent.llm.common import chunked, column, slices, strings
+from subvent.llm.common import chunked, column, field, forget_kept, slices
 
 #: Words of a window; rows of the sketch.
 WINDOW, DEPTH = 20, 2
@@ -144,13 +144,13 @@ class _Chunk:
     """The documents of a chunk in order: by id (NULL first), then as they were read."""
 
     def __init__(self, table: pa.Table, text: str, id_col: str, size: int):
+        forget_kept()
         doc = column(table, "doc")
-        ids = pc.struct_field(doc, id_col).cast(pa.int64())
+        ids = pc.struct_field(doc, [id_col]).cast(pa.int64())
         known = np.asarray(pc.fill_null(ids, np.iinfo(np.int64).min))
         self.order = np.lexsort((column(table, "_row").to_numpy(), known))
         self.ids = known[self.order]
-        texts = strings(pa.table({text: pc.struct_field(doc, text)}), text)
-        self.texts = texts.take(pa.array(self.order))
+        self.texts = field(doc, text).take(pa.array(self.order))
         self.first, self.second, self.counts = window_hashes(self.texts, size)
         self.windows = np.maximum(self.counts - size + 1, 0)
 
