@@ -107,8 +107,9 @@ def experiment_panel(
 
     Issuance and outcome are summed per unit separately, so several records of each do not
     multiply. A unit without a record keeps 0. A unit assigned more than once counts from its
-    first assignment (``assignment_report`` counts such units, and rows without a unit or time). The scans of the records read only the span of all windows, and units that
-    hold more than an even share of those records are salted.
+    first assignment; ``assignment_report`` counts such units, and rows without a unit or time. The scans of
+    the records read only the span of all windows, and units that hold more than an even share of those
+    records are salted.
     """
     require(assignment, [unit, ts], [z])
     require(issuance, [unit, ts], [amount])
@@ -120,8 +121,9 @@ def experiment_panel(
         .agg(F.min(F.struct(F.col(ts).alias("start"), F.col(z).alias("z"))).alias("_first"))
         .select(unit, F.col("_first.start").alias("_start"), F.col("_first.z").alias(z))
     )
+    assigned = stage(assigned, "assigned")
     # records outside every window are left out by the scan itself
-    span = stage(assignment.agg(F.min(ts).alias("first"), F.max(F.col(ts) + window).alias("last")), "span")
+    span = stage(assigned.agg(F.min("_start").alias("first"), F.max(F.col("_start") + window).alias("last")), "span")
     first, last = _fixed(span, "first"), _fixed(span, "last")
     if first is not None and last is not None:
         issuance, outcome = (df.filter((F.col(ts) >= first) & (F.col(ts) < last)) for df in (issuance, outcome))
