@@ -113,8 +113,8 @@ def iv_effect(
         .when(F.col("f_stat") < WEAK_F * (1 - ROUNDING), "weak")
         .otherwise("ok")
     )
-    # both tables have one row per group; the moments are broadcast wherever they were for the second pass
-    groups = scores.join(F.broadcast(moments) if moments.count() <= broadcast_rows else moments, matched)
+    # both tables have one row per group; the scores are broadcast wherever the moments were for the second pass
+    groups = moments.join(F.broadcast(scores) if moments.count() <= broadcast_rows else scores, matched, "left")
     return (
         groups
         .withColumn("f_stat", F.when(F.col("n") >= 3, f_stat))
