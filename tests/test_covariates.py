@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from subvent.operators.causal.bins import FeatureBins, bin_features, learn_bins
+from subvent.operators.causal.bins import FeatureBins, bin_features
 from subvent.operators.causal.draws import Draws, honest_draws
 from subvent.operators.causal.residuals import cross_fit_residuals
 from subvent.sources.fixtures import DRAW_RANGE, fixture_draw
