@@ -33,8 +33,9 @@ WORDS, SIMILARITY, PLACES = 5, 0.8, 64
 RECALL, DEPTH = 0.999, 3
 #: Runs before groups are put together for the others.
 FIRST_RUNS = 3
-#: Representatives of a node that is compared by brute force, and most levels of splits. Nodes that are larger still hold
-#: sets alike in as many tokens; they become candidates whole, and all their pairs are compared exactly.
+#: Representatives of a node that is compared by brute force, and most levels of splits. A larger node that kept the
+#: similarity's share of its parent's members, or is left at the last level, becomes candidates whole: all its pairs
+#: are compared exactly, and no split would part them.
 LEAF, LEVELS = 64, 8
 #: Standard deviations by which a sketch may fall short of the similarity.
 SLACK = 4.0
@@ -263,24 +264,33 @@ def _some_runs(reps: DataFrame, runs: range, similarity: float, places: int, lea
     if not paths:
         return spark.createDataFrame([], "u bigint, v bigint")
     first = F.explode(F.array(*[F.struct(F.lit(r["node"]).alias("node"), F.lit(r["i"]).alias("i")) for r in paths]))
-    child = lambda df: df.select("rep", "label", F.xxhash64("node", "i", F.get("sketch", "i")).alias("node"))
-    level = child(reps.select("rep", "label", "sketch", first.alias("x")).select("rep", "label", "sketch", "x.*"))
+    child = lambda df: df.select("rep", "label", F.xxhash64("node", "i", F.get("sketch", "i")).alias("node"), "parent")
+    start = reps.select("rep", "label", "sketch", F.lit(None).cast("bigint").alias("parent"), first.alias("x"))
+    level = child(start.select("rep", "label", "sketch", "parent", "x.*"))
     leaves, links = None, None
     for number in range(LEVELS):
         level = staged(level, "paths")
-        sizes = level.groupBy("node").agg(F.count("*").alias("n"), F.min("label").alias("_low"), F.max("label").alias("_high"))
-        level = staged(level.join(sizes.filter("_low < _high").select("node", "n"), "node"), "nodes")
+        sizes = level.groupBy("node").agg(
+            F.count("*").alias("n"), F.min("label").alias("_low"), F.max("label").alias("_high"), F.max("parent").alias("_parent")
+        )
+        # the share of its parent's members that a child keeps is about how similar they are
+        alike = F.coalesce(F.col("n") >= similarity * F.col("_parent"), F.lit(number == LEVELS - 1)).alias("alike")
+        sizes = sizes.filter("_low < _high").select("node", "n", alike)
+        level = staged(level.drop("parent").join(sizes, "node"), "nodes")
         small = level.filter(F.col("n") <= LEAF).groupBy("node").agg(F.sort_array(F.collect_list("rep")).alias("reps")).select("reps")
         leaves = small if leaves is None else leaves.unionByName(small)
-        large = level.filter(F.col("n") > LEAF).select("rep", "node")
+        large = level.filter(F.col("n") > LEAF)
         if not large.take(1):
             break
+        whole = large if number == LEVELS - 1 else large.filter("alike")
+        first_of = whole.groupBy("node").agg(F.min("rep").alias("v"))
+        stars = whole.join(first_of, "node").filter("rep <> v").select(F.col("rep").alias("u"), "v").distinct()
+        links = stars if links is None else links.unionByName(stars)
         if number == LEVELS - 1:
-            first_of = large.groupBy("node").agg(F.min("rep").alias("v"))
-            links = large.join(first_of, "node").filter("rep <> v").select(F.col("rep").alias("u"), "v").distinct()
             break
-        split = large.join(reps, "rep").select(*reps.columns, "node", F.explode(F.filter(every, lambda i: drawn(F.col("node"), i))).alias("i"))
-        level = child(split)
+        rest = large.filter("NOT alike").select("rep", "node", F.col("n").alias("parent"))
+        sampled = F.explode(F.filter(every, lambda i: drawn(F.col("node"), i))).alias("i")
+        level = child(rest.join(reps, "rep").select("rep", "label", "sketch", "node", "parent", sampled))
     sets = staged(leaves.distinct().select(F.monotonically_increasing_id().alias("leaf"), "reps"), "leaves")
     rows = sets.agg(F.sum(F.size("reps"))).first()[0] or 0
     tasks = max(1, math.ceil(rows / TASK_ROWS))
