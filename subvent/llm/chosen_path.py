@@ -5,7 +5,8 @@
 2. A run splits all representatives recursively. A node draws places at random, 1 / similarity of them on average, and
    representatives that hold the same token there go to the same child. Similar sets share a whole path with a chance
    that dissimilar ones lose exponentially. A node of few representatives is compared by brute force, on sketches. As
-   many runs are made as the target recall asks for; after the first few, nodes of what is linked already are left out.
+   many runs are made as the target recall asks for at the depth that nodes reach; after the first few, nodes of what is
+   linked already are left out.
 3. Candidates found are linked into groups, and inside a group all pairs are compared exactly, on the shingles, in tiles of
    bounded size. Links are counted and joined to classes; pairs are never written.
 
@@ -29,7 +30,8 @@ from subvent.llm.substring import _MULTIPLIERS, _mixed, _rolled, window_starts,
 
 #: Words of a shingle, similarity of a link, tokens of a sketch.
 WORDS, SIMILARITY, PLACES = 5, 0.8, 64
-#: A pair at the least similarity is found with this chance, when its nodes are split DEPTH times before they are small.
+#: A pair at the least similarity is found with this chance. Runs are made for nodes that are split DEPTH times before they
+#: are small, and further ones where nodes were split more often.
 RECALL, DEPTH = 0.999, 3
 #: Runs before groups are put together for the others.
 FIRST_RUNS = 3
@@ -43,16 +45,31 @@ SLACK = 4.0
 TILE, TASK_SHINGLES, TASK_ROWS = 256, 2 << 20, 16384
 
 
-def runs_for(recall: float, depth: int) -> int:
+def runs_for(recall: float, depth: int, places: int | None = None, similarity: float = SIMILARITY) -> int:
     """Runs after which a pair at the least similarity has met with chance ``recall``.
 
     Its number of common children is about Poisson with mean 1, so it meets after d splits with chance
-    s(d) = 1 - exp(-s(d - 1)), s(0) = 1.
+    s(d) = 1 - exp(-s(d - 1)), s(0) = 1. With ``places`` the mean is that of k equal tokens in a sketch of so many, and
+    the chance is averaged over the k that such a pair has.
     """
-    meet = 1.0
+    if places is None:
+        shares, means = np.ones(1), np.ones(1)
+    else:
+        equal = np.arange(max(1, _least_equal(similarity, places)), places + 1)
+        shares = np.asarray([math.comb(places, k) * similarity**k * (1 - similarity) ** (places - k) for k in equal.tolist()])
+        shares, means = shares / shares.sum(), equal / (similarity * places)
+    meet = np.ones(len(means))
     for _ in range(depth):
-        meet = 1 - math.exp(-meet)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
+        meet = 1 - np.exp(-means * meet)
+    runs = 1
+    while shares @ (1 - meet) ** runs > 1 - recall:
+        runs += 1
+    return runs
+
+
+def _least_equal(similarity: float, places: int) -> int:
+    """Equal tokens of two sketches from which on their sets are compared."""
+    return math.floor(places * similarity - SLACK * math.sqrt(places * similarity * (1 - similarity)))
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -239,22 +256,30 @@ def _candidates(reps: DataFrame, similarity: float, places: int, recall: float,
 
     After the first few runs, what they have linked is put together into groups. All pairs of a group will be compared
     anyway, so the other runs leave out nodes that lie in one group: a large group of near copies, which no split makes
-    small, takes part in the first runs only.
+    small, takes part in the first runs only. Nodes of what is not yet linked may be split more than ``depth`` times; then
+    runs are added until there are as many as that depth asks for.
     """
-    runs = runs_for(recall, depth)
+    needed = lambda splits: runs_for(recall, max(depth, splits), places, similarity)
+    least = _least_equal(similarity, places)
+    runs = needed(depth)
     first = min(FIRST_RUNS, runs)
-    least = math.floor(places * similarity - SLACK * math.sqrt(places * similarity * (1 - similarity)))
-    alone = reps.withColumn("label", F.col("rep"))
-    found = staged(_some_runs(alone, range(first), similarity, places, least), "candidates")
+    links, splits = _some_runs(reps.withColumn("label", F.col("rep")), range(first), similarity, places, least)
+    found = staged(links, "candidates")
+    if first == runs:
+        runs = needed(splits)
     if first == runs:
         return found
     labels = components(found).select(F.col("node").alias("rep"), "label")
-    grouped = reps.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    return found.unionByName(_some_runs(staged(grouped, "grouped"), range(first, runs), similarity, places, least))
+    grouped = staged(reps.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "grouped")
+    done = first
+    while done < runs:
+        links, splits = _some_runs(grouped, range(done, runs), similarity, places, least)
+        found, done, runs = found.unionByName(links), runs, needed(splits)
+    return found
 
 
-def _some_runs(reps: DataFrame, runs: range, similarity: float, places: int, least: int) -> DataFrame:
-    """Links that these runs find between representatives of different ``label``."""
+def _some_runs(reps: DataFrame, runs: range, similarity: float, places: int, least: int) -> tuple[DataFrame, int]:
+    """Links that these runs find between representatives of different ``label``, and how often a node was split at most."""
     spark = reps.sparkSession
     share = 1 / (similarity * places)
     drawn = lambda node, i: F.pmod(F.xxhash64(node, i), F.lit(1 << 30)) < int(share * (1 << 30))
@@ -262,7 +287,7 @@ def _some_runs(reps: DataFrame, runs: range, similarity: float, places: int, lea
     roots = spark.range(runs.start, runs.stop).select(F.xxhash64("id").alias("node"))
     paths = roots.select("node", F.explode(every).alias("i")).filter(drawn(F.col("node"), F.col("i"))).collect()
     if not paths:
-        return spark.createDataFrame([], "u bigint, v bigint")
+        return spark.createDataFrame([], "u bigint, v bigint"), 0
     first = F.explode(F.array(*[F.struct(F.lit(r["node"]).alias("node"), F.lit(r["i"]).alias("i")) for r in paths]))
     child = lambda df: df.select("rep", "label", F.xxhash64("node", "i", F.get("sketch", "i")).alias("node"), "parent")
     start = reps.select("rep", "label", "sketch", F.lit(None).cast("bigint").alias("parent"), first.alias("x"))
@@ -289,6 +314,8 @@ def _some_runs(reps: DataFrame, runs: range, similarity: float, places: int, lea
         if number == LEVELS - 1:
             break
         rest = large.filter("NOT alike").select("rep", "node", F.col("n").alias("parent"))
+        if not rest.take(1):
+            break
         sampled = F.explode(F.filter(every, lambda i: drawn(F.col("node"), i))).alias("i")
         level = child(rest.join(reps, "rep").select("rep", "label", "sketch", "node", "parent", sampled))
     sets = staged(leaves.distinct().select(F.monotonically_increasing_id().alias("leaf"), "reps"), "leaves")
@@ -297,7 +324,7 @@ def _some_runs(reps: DataFrame, runs: range, similarity: float, places: int, lea
     spread = sets.select("leaf", F.explode("reps").alias("rep")).join(reps.select("rep", "sketch"), "rep")
     spread = spread.withColumn("_task", F.pmod(F.xxhash64("leaf"), F.lit(tasks)))
     found = spread.groupBy("_task").applyInArrow(_compare_leaves(places, least), "u bigint, v bigint").distinct()
-    return found if links is None else found.unionByName(links)
+    return found if links is None else found.unionByName(links), number + 1
 
 
 def jaccard_classes(

@@ -356,3 +356,30 @@ def test_components(spark):
     alone = {x for a, b in pairs if a == b for x in (a,) if all(a not in p for p in pairs if p[0] != p[1])}
     assert found == {k: v for k, v in label.items() if k not in alone and any(k in p and p[0] != p[1] for p in pairs)}
     assert chosen_path.components(spark.createDataFrame([], "u bigint, v bigint")).collect() == []
+
+
+def test_recall_in_families_larger_than_a_leaf(spark, monkeypatch):
+    """Members share half of a template's tokens without being alike, so nodes are split beyond ``depth``.
+
+    One pair of each family is alike, by tokens of the template alone, which no early split gives a node of its own.
+    """
+    monkeypatch.setattr(chosen_path, "LEAF", 2)
+    rng = np.random.default_rng(11)
+    families, size, places = 60, 64, chosen_path.PLACES
+    fresh = rng.integers(1 << 20, 1 << 30, (families, size, places))
+    template = rng.integers(1, 1 << 20, (families, 1, places))
+    held = rng.random((families, size, places)) < 0.5
+    held[:, :2] = rng.random((families, 1, places)).argsort(axis=2) < 52  # just above the similarity
+    tokens = np.where(held, template, fresh).reshape(-1, places)
+    reps = spark.createDataFrame([(i, row) for i, row in enumerate(tokens.tolist())], "rep bigint, sketch array<int>").repartition(4)
+    found = chosen_path._candidates(reps, 0.8, places, recall=0.95, depth=1)
+    label = {r["node"]: r["label"] for r in chosen_path.components(found).collect()}
+    met = [i in label and label[i] == label.get(i + 1) for i in range(0, families * size, size)]
+    assert np.mean(met) >= 0.95
+
+
+def test_runs_for_a_sketch_of_tokens():
+    """Tokens that are equal by chance vary, which takes a few more runs than their mean does; deeper nodes take more."""
+    sizes = [chosen_path.runs_for(0.999, d, 64) for d in range(1, 9)]
+    assert sizes == sorted(sizes) and all(n >= chosen_path.runs_for(0.999, d) for d, n in enumerate(sizes, 1))
+    assert chosen_path.runs_for(0.999, 8) == 33
