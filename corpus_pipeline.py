@@ -48,7 +48,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 1024 ids along the curve, a row per piece of a document."""
-    return packing.piece_checksums(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), length=1024, end_id=0))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.piece_checksums(packing.pack(docs, path, length=1024, end_id=0, added_tokens=True))
 
 
 STAGES = [

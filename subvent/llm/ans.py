@@ -129,7 +129,7 @@ _BLOCK = (
 _PLACE = "block int, start_in_file bigint, doc_ids array<bigint>, lengths array<bigint>"
 
 
-def _raw_blocks(docs: DataFrame, tokenizer: str, end_id: int | None, text: str, id_col: str, block_ids: int) -> DataFrame:
+def _raw_blocks(docs: DataFrame, tokenizer: str, end_id: int | None, text: str, id_col: str, block_ids: int, added_tokens: bool) -> DataFrame:
     """Documents in ascending order, encoded and gathered into blocks of uncoded ids."""
     spark = docs.sparkSession
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -141,7 +141,7 @@ def _raw_blocks(docs: DataFrame, tokenizer: str, end_id: int | None, text: str,
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = units_of(tokenizer)
+        units = units_of(tokenizer, added_tokens)
         block, start, file = 0, 0, 0
         doc_ids: list[int | None] = []
         lengths: list[int] = []
@@ -220,15 +220,17 @@ def write_token_files(
     id_col: str = "doc_id",
     block_ids: int = BLOCK_IDS,
     lanes: int = LANES,
+    added_tokens: bool = False,
 ) -> None:
     """Encode every whole text with a tokenizers file and write the ids into the new folder ``path``.
 
     Documents are in ascending order of ``id_col`` (NULL first); rows that share an id follow the order of their texts. A
-    NULL text counts as empty; ``end_id`` is appended to each document. All ids lie below ``vocabulary``. The texts are
+    NULL text counts as empty; ``end_id`` is appended to each document. All ids lie below ``vocabulary``. With
+    ``added_tokens`` the file's added tokens are found in texts, as by the tokenizers library. The texts are
     shuffled once; no group is collected: blocks close at ``block_ids``. An empty table gives an empty ``blocks``.
     """
     spark = docs.sparkSession
-    raw = staged(_raw_blocks(docs, tokenizer, end_id, text, id_col, block_ids), "token_blocks")
+    raw = staged(_raw_blocks(docs, tokenizer, end_id, text, id_col, block_ids, added_tokens), "token_blocks")
     freq = scaled_frequencies(_id_counts(raw, vocabulary))
     table = spark.createDataFrame([(i, int(f)) for i, f in enumerate(freq)], "id int, frequency bigint")
     table.coalesce(1).write.parquet(f"{path}/table")

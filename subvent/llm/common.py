@@ -125,11 +125,15 @@ class Units:
     ``encode`` takes a list of pieces and returns the ids of each. With ``spaced`` a piece keeps the space before it, as
     byte-level vocabularies do; it then cuts only before a space with a character other than white space on one of its
     sides, where no match of their split pattern can go across. Without, white space is taken to separate and vanish.
-    At most ``room`` pieces are remembered.
+    At most ``room`` pieces are remembered. A text that holds one of ``apart`` is not cut; ``whole`` encodes it.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[Sequence[int]]], spaced: bool, room: int = 400_000):
+    def __init__(
+        self, encode: Callable[[list[str]], list[Sequence[int]]], spaced: bool, room: int = 400_000,
+        apart: Sequence[str] = (), whole: Callable[[str], Sequence[int]] | None = None,
+    ):
         self.encode, self.spaced, self.room = encode, spaced, room
+        self.apart, self.whole = tuple(apart), whole
         self._clear()
 
     def _clear(self) -> None:
@@ -160,6 +164,21 @@ class Units:
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all ``texts`` (no NULL) as one array, and how many each text has."""
+        held = np.zeros(len(texts), bool)
+        for content in self.apart:
+            held |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        if not held.any():
+            return self._cut_ids(texts)
+        ids, counts = self._cut_ids(texts.filter(pa.array(~held)))
+        found = [np.asarray(self.whole(t), np.int32) for t in texts.filter(pa.array(held)).to_pylist()]
+        lengths = np.zeros(len(texts), np.int64)
+        lengths[~held], lengths[held] = counts, [len(x) for x in found]
+        starts = np.zeros(len(texts), np.int64)  # in the ids of the cut texts, followed by those of the others
+        starts[~held] = np.cumsum(counts) - counts
+        starts[held] = len(ids) + np.cumsum(lengths[held]) - lengths[held]
+        return gather(np.concatenate([ids, *found]), starts, lengths), lengths
+
+    def _cut_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         if len(self.known) > self.room:
@@ -186,9 +205,12 @@ def _latin(piece: str) -> bool:
     return piece.isascii() or max(piece) < "ɐ"
 
 
-def library_units(path: str) -> Units:
+def library_units(path: str, added_tokens: bool = False) -> Units:
     """Pieces encoded by the tokenizers library and the vocabulary file at ``path``.
 
+    With ``added_tokens`` the contents of the file's added tokens become their ids, as in the library's own call: a text that
+    holds one takes that call whole. Without, they are text like any other.
+
     For Latin pieces the two known kinds of file are split here and each part goes to the library's model, which gives
     the same ids as a call of the whole tokenizer at a quarter of the cost; all else takes that call.
     """
@@ -196,7 +218,7 @@ def library_units(path: str) -> Units:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = not added_tokens
     model, to_chars = tokenizer.model, byte_characters()
     space = to_chars[0x20]
     with open(path, encoding="utf-8") as file:
@@ -244,9 +266,13 @@ def library_units(path: str) -> Units:
                 out[at] = e.ids
         return out
 
-    return Units(encode, spaced=spaced)
+    if not added_tokens:
+        return Units(encode, spaced=spaced)
+    # a token that is sought in the normalised text may be in any text
+    apart = ["" if t["normalized"] else t["content"] for t in plan["added_tokens"]]
+    return Units(encode, spaced=spaced, apart=apart, whole=lambda text: tokenizer.encode(text, add_special_tokens=False).ids)
 
 
-def units_of(path: str) -> Units:
+def units_of(path: str, added_tokens: bool = False) -> Units:
     """The ``library_units`` of this Python worker."""
-    return kept_in_worker(f"units:{path}", lambda: library_units(path))
+    return kept_in_worker(f"units:{path}:{added_tokens}", lambda: library_units(path, added_tokens))

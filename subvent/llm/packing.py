@@ -92,7 +92,8 @@ def cut(starts: np.ndarray, counts: np.ndarray, total: int, length: int) -> tupl
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, length: int = 1024, end_id: int | None = 0, text: str = "text", id_col: str = "doc_id"
+    docs: DataFrame, tokenizer: str, length: int = 1024, end_id: int | None = 0, text: str = "text", id_col: str = "doc_id",
+    added_tokens: bool = False,
 ) -> DataFrame:
     """One row per piece: ``doc_id``, ``start``, ``length``, ``doc_tokens``, ``sequence_id``, ``offset``, ``ids`` (binary, little-endian
     unsigned 32-bit).
@@ -100,12 +101,12 @@ def pack(
     A NULL text counts as empty and has its ``end_id`` alone; without an ``end_id`` it has no piece. Rows that share an
     id, a text or both are packed each; ties on the curve go by id and row. An empty table has no pieces. Texts never
     move: their ids are written once in chunks, and only keys and places are sorted, so equal documents, however many,
-    load no task.
+    load no task. With ``added_tokens`` the file's added tokens are found in texts, as by the tokenizers library.
     """
     spark = docs.sparkSession
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = units_of(tokenizer)
+        units = units_of(tokenizer, added_tokens)
         for batch in batches:
             texts = strings(batch, "text")
             for i, j in slices(texts):

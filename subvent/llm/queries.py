@@ -17,7 +17,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token_files")
     ans.write_token_files(
-        _table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1, vocabulary=49408
+        _table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1, vocabulary=49408, added_tokens=True
     )
     return ans.read_token_files(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
@@ -74,7 +74,8 @@ def op7_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=1024, end_id=0)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), path, length=1024, end_id=0, added_tokens=True)
     return packing.piece_checksums(pieces)
 
 

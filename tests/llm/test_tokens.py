@@ -272,3 +272,32 @@ def test_equal_documents_lie_together(spark):
     packed = packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), BYTE, length=16).collect()
     order = [p["doc_id"] % 2 for p in sorted(packed, key=lambda p: (p["sequence_id"], p["offset"]))]
     assert np.count_nonzero(np.diff(order)) == 1
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_added_tokens_are_found_as_by_the_library(path):
+    whole = Tokenizer.from_file(path)
+    texts = [*TEXTS, "one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|><|endoftext|>b  c", "x <|ENDOFTEXT|> <|startoftext|>é", "plain", "<|endoftext|"]
+    for some in (texts, texts[::-1], texts[-6:-4], texts[:2]):
+        found = split_up(*common.library_units(path, added_tokens=True).ids(pa.array(some, pa.large_string())))
+        assert found == [whole.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_queries_find_added_tokens(spark, tmp_path):
+    """The registered queries against an unchanged tokenizer, and the documents after one that holds an added token."""
+    import corpus_pipeline
+    from subvent.llm import queries
+
+    texts = ["one two", "one <|endoftext|> two", "<|startoftext|> three", "", "four <|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    whole, start = Tokenizer.from_file(WORD), 0
+    found = {r["doc_id"]: r for r in queries.op1_token_files(spark, str(tmp_path)).collect()}
+    for i, t in enumerate(texts):
+        ids = [*whole.encode(t, add_special_tokens=False).ids, 1]
+        assert (found[i]["start"], found[i]["n_tokens"], found[i]["ids_crc32"]) == (start, len(ids), zlib.crc32(np.asarray(ids, "<u4").tobytes()))
+        start += len(ids)
+    whole = Tokenizer.from_file(BYTE)
+    sizes = {i: len(whole.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    for pieces in (queries.op8_curve_packing(spark, str(tmp_path)), corpus_pipeline.packed(spark, docs, str(tmp_path))):
+        assert {r["doc_id"]: r["doc_tokens"] for r in pieces.collect()} == sizes
