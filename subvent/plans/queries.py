@@ -179,7 +179,7 @@ def q_cross_fit_residuals(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_cross_fit_residuals_rf(spark: SparkSession, folder: str) -> DataFrame:
     panel = fixtures.iv_panel(spark, folder).select("unit_id", "acctbal", "price", "priority", "z", "w", "y")
-    found = cross_fit_residuals(panel, ["z", "w", "y"], COVARIATES, k=2, method="rf", trees=10, depth=4)
+    found = cross_fit_residuals(panel, ["z", "w", "y"], COVARIATES, method="rf")
     return found.select("unit_id", "fold", "z_res", "w_res", "y_res")
 
 
@@ -323,8 +323,14 @@ def q_shape_audit_fitted(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(found, worst=2)
 
 
+def _fitted(spark: SparkSession, net: RecuNet) -> DataFrame:
+    """A net's weights, with what its fit says of itself in every row."""
+    about = [F.lit(net.n).cast("bigint").alias("n"), F.lit(net.passes).alias("passes"), F.lit(net.status).alias("status")]
+    return net.to_df(spark).select("*", *about)
+
+
 def q_recu_net_fit(spark: SparkSession, folder: str) -> DataFrame:
-    return recu_net_fit(fixtures.dose_panel(spark, folder), "dose", None, "y", iters=20).to_df(spark)
+    return _fitted(spark, recu_net_fit(fixtures.dose_panel(spark, folder), "dose", None, "y"))
 
 
 def _first_net() -> RecuNet:
@@ -403,9 +409,9 @@ def q_prior_curve_fit_bounds(spark: SparkSession, folder: str) -> DataFrame:
 def q_prior_net_fit(spark: SparkSession, folder: str) -> DataFrame:
     panel = fixtures.dose_panel(spark, folder)
     points = collocation_points(panel, "dose", ["segment"], 41, 0.0, 0.1)
-    start = recu_net_fit(panel, "dose", None, "y", iters=5)
-    net = prior_net_fit(panel, points, "dose", None, "y", [third_difference(GRID_STEP)], LAMBDA, init=start, iters=10)
-    return net.to_df(spark)
+    start = recu_net_fit(panel, "dose", None, "y")
+    net = prior_net_fit(panel, points, "dose", None, "y", [third_difference(GRID_STEP)], LAMBDA, init=start)
+    return _fitted(spark, net)
 
 
 def q_prior_net_steps(spark: SparkSession, folder: str) -> DataFrame:
