@@ -68,7 +68,7 @@ def quantised(lists: pa.Array, scale: int) -> tuple[np.ndarray, np.ndarray, np.n
     with np.errstate(over="ignore"):
         weights = np.floor(flat * scale)
     if len(weights) and not np.abs(weights).max() < 2**53:
-        weights = np.asarray([math.floor(int(x * 2**40) * scale / 2**40) if abs(x) < 2**12 else math.floor(x) * scale for x in flat.tolist()], object)
+        weights = np.asarray([int(w) if math.isfinite(w) else int(x) * scale for x, w in zip(flat.tolist(), weights.tolist(), strict=True)], object)
     else:
         weights = weights.astype(np.int64)
     some = np.flatnonzero(weights)

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from subvent.llm import prefix_forest, topk
@@ -121,3 +122,14 @@ def test_forest_scales_far_vectors(spark):
     found = prefix_forest.search(prefix_forest.build_index(table), table.filter("vec_id = 0")).collect()
     assert [r["vec_id"] for r in sorted(found, key=lambda r: r["rank"])] == [1, 2, 3]
     assert np.allclose(sorted(r["score"] for r in found), [-math.sqrt(0.5), math.sqrt(0.5), 1.0])
+
+
+def test_components_are_quantised_alone():
+    """One huge component changes nothing in the others of its block."""
+    others = [5000.5, -(2.0**-41), -5000.25, 0.3, 4096.001, -7.0]
+    for huge in (2.0**45, -(2.0**60), 1.5e308):
+        rows, terms, weights = topk.quantised(pa.array([others, [huge]], pa.list_(pa.float64())), 256)
+        assert rows.tolist() == [0] * 6 + [1] and terms.tolist() == [*range(6), 0]
+        assert weights.tolist() == [1280128, -1, -1280064, 76, 1048576, -1792, int(huge) * 256]
+        alone = topk.quantised(pa.array([others], pa.list_(pa.float64())), 256)[2]
+        assert alone.tolist() == weights.tolist()[:6]
