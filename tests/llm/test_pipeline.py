@@ -37,7 +37,7 @@ def stages(spark, small, tmp_path_factory):
 
 def test_names():
     assert list(contract.queries())[-1] == "pipeline"
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.REGISTERED}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.REGISTERED}
 
 
 def test_language_keeps_what_has_letters(stages, documents):
