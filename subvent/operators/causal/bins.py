@@ -17,23 +17,31 @@ from subvent.sources.staging import scratch, stage
 
 # A text column with more values than this is one feature: its values in the order of their hashes, cut evenly.
 MAX_LEVELS = 256
-EDGES_SCHEMA = "feature int, name string, edges array<double>, level string, hashed boolean"
+EDGES_SCHEMA = "feature int, name string, edges array<double>, level string, hashed boolean, ordered int"
+# How a forest takes a text covariate: its values in the order of their effects, or a feature per value.
+ORDERED, EACH = "ordered", "each"
 
 
 @dataclass(frozen=True)
 class Feature:
-    """A numeric column with its edges, one value of a text column, or a text column by the hashes of its many values."""
+    """A numeric column with its edges, one value of a text column, a text column by the hashes of its many values, or one whose
+    values each tree puts in order, in ``ordered`` bins at most (``operators/causal/levels.py``)."""
 
     name: str
     edges: tuple[float, ...] | None = None
     level: str | None = None
     hashed: bool = False
+    ordered: int = 0
 
     def n_bins(self) -> int:
+        if self.ordered:
+            return self.ordered + 2
         return 3 if self.edges is None else len(self.edges) + 2
 
     def bin(self) -> Column:
         """0 for NULL; else 1 + the number of edges not above the value, or 2/1 for equal or not."""
+        if self.ordered:
+            return F.lit(0)  # only a tree knows
         col = F.col(self.name)
         if self.edges is None:
             found = F.when(col.cast("string") == self.level, 2).otherwise(1)
@@ -48,17 +56,21 @@ class FeatureBins:
 
     features: tuple[Feature, ...]
 
+    def ordered(self) -> dict[int, str]:
+        """Columns of the features that each tree orders by itself, by number."""
+        return {i: f.name for i, f in enumerate(self.features) if f.ordered}
+
     def packed(self) -> Column:
         return F.array(*[f.bin() for f in self.features])
 
     def possible_cells(self) -> int:
         """Upper bound on the distinct arrays of bins; the levels of a text column exclude each other."""
-        levels = Counter(f.name for f in self.features if f.edges is None)
-        sizes = [f.n_bins() for f in self.features if f.edges is not None] + [n + 1 for n in levels.values()]
+        levels = Counter(f.name for f in self.features if f.level is not None)
+        sizes = [f.n_bins() for f in self.features if f.level is None] + [n + 1 for n in levels.values()]
         return prod(sizes)
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        rows = [(i, f.name, None if f.edges is None else list(f.edges), f.level, f.hashed) for i, f in enumerate(self.features)]
+        rows = [(i, f.name, None if f.edges is None else list(f.edges), f.level, f.hashed, f.ordered) for i, f in enumerate(self.features)]
         return spark.createDataFrame(rows, EDGES_SCHEMA)
 
     @staticmethod
@@ -66,7 +78,10 @@ class FeatureBins:
         rows = sorted(df.collect(), key=lambda r: r["feature"])
         return FeatureBins(
             tuple(
-                Feature(r["name"], None if r["edges"] is None else tuple(r["edges"]), r["level"], "hashed" in r and r["hashed"])
+                Feature(
+                    r["name"], None if r["edges"] is None else tuple(r["edges"]), r["level"], "hashed" in r and r["hashed"],
+                    r["ordered"] if "ordered" in r else 0,
+                )
                 for r in rows
             )
         )
@@ -94,9 +109,17 @@ def learn_bins(
 
 
 def learn_bins_and(
-    df: DataFrame, columns: Sequence[str], n_bins: int, edges: Mapping[str, Sequence[float]] | None, also: Sequence[Column]
+    df: DataFrame,
+    columns: Sequence[str],
+    n_bins: int,
+    edges: Mapping[str, Sequence[float]] | None,
+    also: Sequence[Column],
+    values: str | None = None,
 ) -> tuple[FeatureBins, tuple]:
-    """:func:`learn_bins`, with further aggregates taken in the same pass over the rows."""
+    """:func:`learn_bins`, with further aggregates taken in the same pass over the rows.
+
+    ``values`` is ORDERED for one feature per text column that trees order, or EACH for a feature per value and no other way.
+    """
     require(df, columns)
     if n_bins < 2:
         raise ValueError("n_bins must be at least 2")
@@ -110,11 +133,16 @@ def learn_bins_and(
     for c, found in zip(learn, results):
         # the lowest quantile is the smallest value: no row lies below it
         edges[c] = sorted(set(found) - {min(found)}) if found else []
-    levels = _levels(df, text) if text else {}
+    levels = _levels(df, text) if text and values != ORDERED else {}
+    if values == EACH and len(levels) < len(text):
+        many = ", ".join(c for c in text if c not in levels)
+        raise ValueError(f"{many}: more than {MAX_LEVELS} values are too many for a feature each; use values='{ORDERED}'")
     features = []
     for c in columns:
         if c in levels:
             features += [Feature(c, level=v) for v in levels[c]]
+        elif c in text and values == ORDERED:
+            features.append(Feature(c, ordered=2 * n_bins))
         elif c in text:
             even = tuple((2 * i / n_bins - 1) * 2.0**63 for i in range(1, n_bins))
             features.append(Feature(c, edges=even, hashed=True))

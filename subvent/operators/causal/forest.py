@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subvent.functions.checks import as_double, complete, refuse, require, weighted
-from subvent.operators.causal.bins import FeatureBins, learn_bins_and
+from subvent.operators.causal.bins import EACH, ORDERED, FeatureBins, learn_bins_and
 from subvent.operators.causal.draws import Draws
+from subvent.operators.causal.levels import LEVELS_SCHEMA, in_tree, learn_levels, tree_bins
 from subvent.operators.causal.scoring import LEAF_MEANS, PackedForest, leaf_scorer
 from subvent.operators.causal.split import SUMS, best_splits, histogram, row_sums
 from subvent.sources.staging import scratch, stage
@@ -44,12 +45,16 @@ class IVForest:
     n_dropped: int
     # False after loading a forest grown with a draw formula without it: who was in which sample is not known
     draws_known: bool = True
+    # bins per tree of the values of text covariates that trees order
+    levels: DataFrame | None = None
 
     def save(self, path: str) -> None:
         spark = self.splits.sparkSession
         self.splits.write.parquet(f"{path}/splits")
         self.leaves.write.parquet(f"{path}/leaves")
         self.bins.to_df(spark).write.parquet(f"{path}/edges")
+        if self.levels is not None:
+            self.levels.write.parquet(f"{path}/levels")
         d = self.draws
         by_formula = d.formula is not None or not self.draws_known
         row = (self.depth, self.n_rows, self.n_dropped, d.trees, d.fraction, d.seed, d.bag_size, d.draw_range, by_formula)
@@ -64,15 +69,17 @@ class IVForest:
         """Read a saved forest; pass the draw ``formula`` again if it was grown with one, or it cannot score out of bag."""
         s = spark.read.parquet(f"{path}/settings").first().asDict()
         known = formula is not None or not s.get("by_formula", False)
+        bins = FeatureBins.from_df(spark.read.parquet(f"{path}/edges"))
         return IVForest(
             spark.read.parquet(f"{path}/splits"),
             spark.read.parquet(f"{path}/leaves"),
-            FeatureBins.from_df(spark.read.parquet(f"{path}/edges")),
+            bins,
             Draws(s["trees"], s["fraction"], s["seed"], s["bag_size"], formula, s["draw_range"]),
             s["depth"],
             s["n_rows"],
             s["n_dropped"],
             known,
+            spark.read.schema(LEVELS_SCHEMA).parquet(f"{path}/levels") if bins.ordered() else None,
         )
 
     def packed(self) -> PackedForest:
@@ -119,18 +126,29 @@ def _sums(binned: DataFrame) -> list[Column]:
     return row_sums(F.col("z"), F.col("w"), F.col("y"), F.col("high"), weight)
 
 
-def _expand(binned: DataFrame, draws: Draws, first: int, last: int, half: bool, raw: bool = False) -> DataFrame:
+def _array(feature: int) -> str:
+    """The column of a binned table that holds an ordered feature's bin in each tree."""
+    return f"in_trees_{feature}"
+
+
+def _tree_bins(bins: FeatureBins) -> Column:
+    """The bins of a row in the tree of column ``tree``."""
+    ordered = {i: _array(i) for i in bins.ordered()}
+    return (in_tree(len(bins.features), ordered, F.col("tree")) if ordered else F.col("bins")).alias("bins")
+
+
+def _expand(binned: DataFrame, bins: FeatureBins, draws: Draws, first: int, last: int, half: bool, raw: bool = False) -> DataFrame:
     """One row per (unit, tree) in the wanted half, for trees ``first`` to ``last``."""
     u, t = F.col("unit"), F.col("tree")
     wanted = draws.in_split_half(u, t) if half else ~draws.in_split_half(u, t)
     return (
         binned.withColumn("tree", F.explode(F.sequence(F.lit(first), F.lit(last))))
         .filter(draws.in_sample(u, t) & wanted)
-        .select("tree", "bins", *_sums(binned), *(["raw"] if raw else []))
+        .select("tree", _tree_bins(bins), *_sums(binned), *(["raw"] if raw else []))
     )
 
 
-def _merge_cells(binned: DataFrame, draws: Draws) -> DataFrame:
+def _merge_cells(binned: DataFrame, bins: FeatureBins, draws: Draws) -> DataFrame:
     """Sums per (tree, half, bins): units with equal bins always share their node."""
     u, t = F.col("unit"), F.col("tree")
     return stage(
@@ -139,7 +157,7 @@ def _merge_cells(binned: DataFrame, draws: Draws) -> DataFrame:
         .select(
             "tree",
             draws.in_split_half(u, t).alias("half"),
-            "bins",
+            _tree_bins(bins),
             *_sums(binned),
         )
         .groupBy("tree", "half", "bins")
@@ -166,9 +184,13 @@ def iv_forest_fit(
     raw_z: str | None = None,
     merge: bool | None = None,
     weight: str | None = None,
+    values: str = ORDERED,
 ) -> IVForest:
     """Grow ``trees`` honest trees of at most ``depth`` splits.
 
+    A text covariate is one feature, of any number of values: each tree puts them in the order of their effects on its split half and
+    cuts that order (``values="ordered"``), so a split parts them into two sets. With ``values="each"`` every value is a feature of its
+    own, equal or not; more than 256 values are refused. The table of a forest's values is staged until ``drop_staged``, or saved with it.
     ``raw_z`` names the instrument before centring, when ``z`` is a residual: the ``min_leaf``
     rule counts its high and low values (above or not above its mean in the node that is split). ``merge`` forces
     or forbids merging units with equal bins; by default the data decide, and an instrument of more than two values
@@ -180,6 +202,8 @@ def iv_forest_fit(
     require(panel, [unit, *x], [z, w, y, raw_z] + ([weight] if weight else []))
     if depth < 1 or min_leaf < 1:
         raise ValueError("depth and min_leaf must be at least 1")
+    if values not in (ORDERED, EACH):
+        raise ValueError(f"values must be '{ORDERED}' or '{EACH}', not {values!r}")
     draws = draws or Draws(trees, fraction, seed)
     if draws.trees * 2**depth > MOST_NODES:
         raise ValueError(f"trees * 2^depth may be at most {MOST_NODES}: the tree tables are broadcast")
@@ -193,7 +217,7 @@ def iv_forest_fit(
     )
     counts = [F.count("_m0"), F.count(F.lit(1)) - F.count("_m0")]
     ends = [F.min("_m3"), F.max("_m3")]
-    bins, about = learn_bins_and(masked, x, n_bins, edges, counts + [F.avg(f"_m{i}") for i in range(4)] + ends)
+    bins, about = learn_bins_and(masked, x, n_bins, edges, counts + [F.avg(f"_m{i}") for i in range(4)] + ends, values)
     n, n_dropped = about[:2]
     mz, mw, my, high = (m or 0.0 for m in about[2:6])
     low_z, high_z = about[6:]
@@ -220,20 +244,25 @@ def _grow(
 ) -> IVForest:
     spark = rows.sparkSession
     mz, mw, my, high, low_z, high_z = about
-    binned = stage(
-        rows.select(
-            F.col(unit).alias("unit"),
-            bins.packed().alias("bins"),
-            (as_double(rows, z) - mz).alias("z"),
-            (as_double(rows, w) - mw).alias("w"),
-            (as_double(rows, y) - my).alias("y"),
-            (as_double(rows, raw_z) > high).alias("high"),
-            as_double(rows, raw_z).alias("raw"),
-            *([as_double(rows, weight).alias("weight")] if weight else []),
-        ),
-        "forest_panel",
-        spread=True,
+    ordered = {i: f"level_{i}" for i in bins.ordered()}
+    compact = rows.select(
+        F.col(unit).alias("unit"),
+        bins.packed().alias("bins"),
+        *[F.col(bins.features[i].name).cast("string").alias(c) for i, c in ordered.items()],
+        (as_double(rows, z) - mz).alias("z"),
+        (as_double(rows, w) - mw).alias("w"),
+        (as_double(rows, y) - my).alias("y"),
+        (as_double(rows, raw_z) > high).alias("high"),
+        as_double(rows, raw_z).alias("raw"),
+        *([as_double(rows, weight).alias("weight")] if weight else []),
     )
+    levels = None
+    if ordered:
+        compact = stage(compact, "forest_rows")
+        levels = learn_levels(compact, ordered, draws, max(f.ordered for f in bins.features) // 2)
+        for i, c in ordered.items():
+            compact = tree_bins(compact, levels, i, c, _array(i)).drop(c)
+    binned = stage(compact, "forest_panel", spread=True)
     # an instrument of two values is above the mean of any node that has both, or above no mean; else nodes need their own
     two_values = n == 0 or binned.filter((F.col("raw") != low_z) & (F.col("raw") != high_z)).isEmpty()
     if not two_values:
@@ -243,13 +272,14 @@ def _grow(
     if merge is None:
         most_cells = n * draws.fraction / 2 / ROWS_PER_CELL
         merge = n > 0 and (
-            bins.possible_cells() <= most_cells or binned.agg(F.approx_count_distinct("bins")).first()[0] <= most_cells
+            bins.possible_cells() <= most_cells
+            or binned.agg(F.approx_count_distinct(F.struct("bins", *[_array(i) for i in ordered]))).first()[0] <= most_cells
         )
-    merged = _merge_cells(binned, draws) if merge else None
+    merged = _merge_cells(binned, bins, draws) if merge else None
 
     def half_rows(first: int, last: int, half: bool) -> DataFrame:
         if merged is None:
-            return _expand(binned, draws, first, last, half, not two_values and half)
+            return _expand(binned, bins, draws, first, last, half, not two_values and half)
         return merged.filter((F.col("half") == half) & F.col("tree").between(first, last)).drop("half")
 
     sums_per_node = sum(f.n_bins() for f in bins.features)
@@ -284,6 +314,7 @@ def _grow(
         depth,
         n,
         n_dropped,
+        levels=levels,
     )
 
 
@@ -302,6 +333,9 @@ def _score(df: DataFrame, model: IVForest, oob: bool, unit: str, variance: bool)
     require(df, [f.name for f in model.bins.features])
     outputs = ["effect", "std_error", "n_trees", "effect_status"] if variance else ["effect", "n_trees", "effect_status"]
     refuse(df, outputs)
+    columns = df.columns
+    for i, c in model.bins.ordered().items():
+        df = tree_bins(df, model.levels, i, c, f"_{_array(i)}")
     inputs = [model.bins.packed()]
     if oob:
         require(df, [unit])
@@ -310,8 +344,9 @@ def _score(df: DataFrame, model: IVForest, oob: bool, unit: str, variance: bool)
         trees = F.sequence(F.lit(1), F.lit(model.draws.trees))
         out = F.transform(trees, lambda t: F.coalesce(F.col(unit).isNotNull() & ~model.draws.in_sample(F.col(unit), t), F.lit(False)))
         inputs.append(out)
-    score = leaf_scorer(model.packed(), oob, variance)
-    return df.withColumn("_score", score(*inputs)).select(*df.columns, *[F.col(f"_score.{c}") for c in outputs])
+    inputs += [F.col(f"_{_array(i)}") for i in model.bins.ordered()]
+    score = leaf_scorer(model.packed(), oob, variance, tuple(model.bins.ordered()))
+    return df.withColumn("_score", score(*inputs)).select(*columns, *[F.col(f"_score.{c}") for c in outputs])
 
 
 def iv_forest_predict(df: DataFrame, model: IVForest, oob: bool = False, unit: str = "unit_id") -> DataFrame:

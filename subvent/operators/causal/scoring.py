@@ -57,14 +57,20 @@ class PackedForest:
         return node - (1 << self.depth)
 
 
-def _average(forest: PackedForest, bins: np.ndarray, allowed: np.ndarray | None):
-    """Mean of the leaf means over usable trees, and each tree's leaf and usability."""
+def _average(forest: PackedForest, bins: np.ndarray, allowed: np.ndarray | None, own: dict[int, np.ndarray]):
+    """Mean of the leaf means over usable trees, and each tree's leaf and usability.
+
+    ``own`` holds, for features whose bins each tree has for itself, the bins by row and tree.
+    """
     trees = len(forest.feature)
     leaf = np.empty((trees, len(bins)), dtype=np.int32)
     used = np.empty((trees, len(bins)), dtype=bool)
     total = np.zeros((len(bins), len(LEAF_MEANS)))
-    flat, start = np.ascontiguousarray(bins).ravel(), np.arange(len(bins)) * bins.shape[1]
+    bins = bins.copy() if own else np.ascontiguousarray(bins)
+    flat, start = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
     for t in range(trees):
+        for feature, in_trees in own.items():
+            bins[:, feature] = in_trees[:, t]
         at = forest.leaf(t, flat, start)
         leaf[t] = at
         used[t] = forest.filled[t].take(at)
@@ -104,17 +110,18 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
 
 
-def leaf_scorer(forest: PackedForest, oob: bool, variance: bool):
-    """An Arrow function of the packed bins (and the allowed trees) giving a struct per row."""
+def leaf_scorer(forest: PackedForest, oob: bool, variance: bool, ordered: tuple[int, ...] = ()):
+    """An Arrow function of the packed bins (the allowed trees, and the ``ordered`` features' bins per tree) giving a struct per row."""
     fields = ["effect double", *(["std_error double"] if variance else []), "n_trees int", "effect_status string"]
 
-    def score(bins: pa.Array, allowed: pa.Array | None) -> pa.Array:
+    def score(bins: pa.Array, allowed: pa.Array | None, arrays: tuple[pa.Array, ...]) -> pa.Array:
         if len(bins) == 0:
             width = 1
         else:
             width = len(bins.flatten()) // len(bins)
         usable = None if allowed is None else _matrix(allowed, len(forest.feature)).astype(bool)
-        mean, count, leaf, used = _average(forest, _matrix(bins, width), usable)
+        own = {i: _matrix(a, len(forest.feature)) for i, a in zip(ordered, arrays, strict=True)}
+        mean, count, leaf, used = _average(forest, _matrix(bins, width), usable, own)
         mz, mw, my, mzy, mzw = mean.T
         spread = mzw - mz * mw
         real = (count > 0) & (np.abs(spread) > CANCELLED * (np.abs(mzw) + np.abs(mz * mw)))
@@ -132,13 +139,13 @@ def leaf_scorer(forest: PackedForest, oob: bool, variance: bool):
     if oob:
 
         @F.arrow_udf(", ".join(fields))
-        def scorer(bins: pa.Array, allowed: pa.Array) -> pa.Array:
-            return score(bins, allowed)
+        def scorer(bins: pa.Array, allowed: pa.Array, *arrays: pa.Array) -> pa.Array:
+            return score(bins, allowed, arrays)
 
     else:
 
         @F.arrow_udf(", ".join(fields))
-        def scorer(bins: pa.Array) -> pa.Array:
-            return score(bins, None)
+        def scorer(bins: pa.Array, *arrays: pa.Array) -> pa.Array:
+            return score(bins, None, arrays)
 
     return scorer

@@ -11,7 +11,7 @@ SUMS = ("n", "high", "sz", "sw", "sy", "szy", "szw")
 
 IV_PANEL = """iv_raw AS MATERIALIZED (
   SELECT o_orderkey AS unit_id, c_mktsegment AS segment, c_acctbal AS acctbal, o_totalprice AS price,
-    o_orderpriority AS priority,
+    o_orderpriority AS priority, CAST(o_custkey AS VARCHAR) AS customer,
     ((o_orderkey * 7919) % 1009) / 1009e0 AS u1, ((o_orderkey * 104729) % 997) / 997e0 AS u2,
     ((o_orderkey * 1299709) % 991) / 991e0 AS u3,
     CASE WHEN c_acctbal >= 4500 THEN 30e0 ELSE 10e0 END AS tau
@@ -141,9 +141,9 @@ def bin_list() -> list[str]:
     return [f"CAST({b} AS INTEGER)" for b in bins]
 
 
-def best_split(name: str, rows: str, min_leaf: int) -> str:
+def best_split(name: str, rows: str, min_leaf: int, features: int | None = None) -> str:
     """CTEs ending in ``name``: the winning split per (tree, node) of ``rows``."""
-    features = len(bin_list())
+    features = features or len(bin_list())
     half = f"{min_leaf / 2}e0"
     total = ", ".join(f"sum({c}) OVER n AS t_{c}" for c in SUMS)
     left = ", ".join(f"sum({c}) OVER u AS l_{c}" for c in SUMS)
@@ -197,13 +197,19 @@ drawn AS MATERIALIZED (SELECT CAST(tree AS INTEGER) AS tree, unit, bins, z, w, y
 split0 AS MATERIALIZED (SELECT *, CAST(1 AS BIGINT) AS node FROM drawn WHERE half)""",
         best_split("best0", "split0", q.MIN_LEAF),
     ]
+    return ",\n".join([*parts, *grown()])
+
+
+def grown(features: int | None = None) -> list[str]:
+    """CTEs ``splits`` and ``leaves`` from the CTEs ``drawn`` and ``best0``."""
+    parts = []
     for level in range(1, q.DEPTH):
         parts.append(
             f"""split{level} AS MATERIALIZED (SELECT s.* EXCLUDE (node),
     2 * s.node + CAST(s.bins[b.feature + 1] > b.bin AS BIGINT) AS node
   FROM split{level - 1} s JOIN best{level - 1} b ON s.tree = b.tree AND s.node = b.node)"""
         )
-        parts.append(best_split(f"best{level}", f"split{level}", q.MIN_LEAF))
+        parts.append(best_split(f"best{level}", f"split{level}", q.MIN_LEAF, features))
     union = " UNION ALL ".join(f"SELECT * FROM best{level}" for level in range(q.DEPTH))
     parts.append(f"splits AS MATERIALIZED ({union})")
     parts.append(walk("leafrow", "SELECT * FROM drawn WHERE NOT half"))
@@ -211,7 +217,37 @@ split0 AS MATERIALIZED (SELECT *, CAST(1 AS BIGINT) AS node FROM drawn WHERE hal
         """leaves AS MATERIALIZED (SELECT tree, node, count(*) AS n, avg(z) AS mz, avg(w) AS mw, avg(y) AS my,
     avg(z * y) AS mzy, avg(z * w) AS mzw FROM leafrow GROUP BY ALL)"""
     )
-    return ",\n".join(parts)
+    return parts
+
+
+def forest_ordered() -> str:
+    """CTEs of a forest on price and customer, whose values each tree puts in the order of their effects on its split half.
+
+    ``every`` has the bins of all units in all trees.
+    """
+    n = q.ORDERED_BINS
+    price = f"CAST({edge_count('price', q.PRICE_EDGES)} AS INTEGER)"
+    return f"""WITH {IV_PANEL},
+mean AS (SELECT avg(z) AS mz, avg(w) AS mw, avg(y) AS my FROM iv_panel),
+trees AS (SELECT CAST(unnest(range(1, {q.TREES + 1})) AS INTEGER) AS tree),
+base AS MATERIALIZED (SELECT tree, unit_id AS unit, {price} AS price_bin, customer, z - mz AS z, w - mw AS w, y - my AS y,
+    CAST(z > mz AS INTEGER) AS high, {draw("unit_id", "tree")} AS draw FROM iv_panel, mean, trees),
+value_sums AS (SELECT tree, customer, count(*) AS n, sum(z) AS sz, sum(w) AS sw, sum(y) AS sy, sum(z * y) AS szy, sum(z * w) AS szw
+  FROM base WHERE draw < 32768 AND draw % 2 = 0 GROUP BY ALL),
+whole AS (SELECT tree, sum(n) AS t_n, sum(sz) / sum(n) AS mz, sum(sw) / sum(n) AS mw, sum(sy) / sum(n) AS my,
+    (sum(szy) - sum(sz) * sum(sy) / sum(n)) / (sum(szw) - sum(sz) * sum(sw) / sum(n)) AS tau FROM value_sums GROUP BY tree),
+judged AS MATERIALIZED (SELECT v.tree, customer, n, t_n,
+    (szy - mz * sy - my * sz + n * mz * my - tau * (szw - mz * sw - mw * sz + n * mz * mw)) / n AS effect
+  FROM value_sums v JOIN whole USING (tree)),
+placed AS (SELECT *, sum(n) OVER (PARTITION BY tree ORDER BY effect, customer ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS until FROM judged),
+value_bins AS MATERIALIZED (SELECT tree, customer, CAST(1 + ({n} * (2 * until - n)) // t_n AS INTEGER) AS bin FROM placed),
+unseen AS (SELECT tree, CAST(1 + ({n} * 2 * coalesce(sum(n) FILTER (effect <= 0), 0)) // max(t_n) AS INTEGER) AS bin FROM judged GROUP BY tree),
+every AS MATERIALIZED (SELECT b.* EXCLUDE (price_bin, customer), [price_bin, coalesce(v.bin, u.bin)] AS bins
+  FROM base b LEFT JOIN value_bins v ON b.tree = v.tree AND b.customer = v.customer JOIN unseen u ON b.tree = u.tree),
+drawn AS MATERIALIZED (SELECT *, draw % 2 = 0 AS half FROM every WHERE draw < 32768),
+split0 AS MATERIALIZED (SELECT *, CAST(1 AS BIGINT) AS node FROM drawn WHERE half),
+{best_split("best0", "split0", q.MIN_LEAF, 2)},
+""" + ",\n".join(grown(2))
 
 
 def walk(name: str, rows: str) -> str:
@@ -227,8 +263,7 @@ def walk(name: str, rows: str) -> str:
     return ",\n".join(parts)
 
 
-def scored(oob: bool = False) -> str:
-    rows = "SELECT CAST(tree AS INTEGER) AS tree, unit, bins FROM binned, trees"
+def scored(oob: bool = False, rows: str = "SELECT CAST(tree AS INTEGER) AS tree, unit, bins FROM binned, trees") -> str:
     if oob:
         rows += f" WHERE {draw('unit', 'tree')} >= 32768"
     return f"""{walk("ended", rows)},
@@ -246,6 +281,12 @@ SELECT b.unit AS unit_id, {r("e.effect")} AS effect, CAST(coalesce(e.trees, 0) A
 FROM binned b LEFT JOIN effects e ON b.unit = e.unit"""
 
 
+PREDICT_ORDERED = f"""{forest_ordered()},
+{scored(rows="SELECT tree, unit, bins FROM every")}
+SELECT b.unit_id, {r("e.effect")} AS effect, CAST(coalesce(e.trees, 0) AS INTEGER) AS n_trees,
+  CASE WHEN e.unit IS NULL THEN 'no_tree' WHEN e.effect IS NULL THEN 'no_first_stage' ELSE 'ok' END AS effect_status
+FROM iv_panel b LEFT JOIN effects e ON b.unit_id = e.unit"""
+
 VARIANCE = f"""{forest(bag_size=2, fraction=0.25)},
 {scored()},
 scores AS (SELECT u.unit, (u.tree - 1) // 2 AS bag,
@@ -639,6 +680,8 @@ SQL: dict[str, str] = {
     "iv_forest_predict": predict(),
     "iv_forest_predict_oob": predict(oob=True),
     "iv_forest_centred": predict(oob=True, residual=True),
+    "iv_forest_ordered": f"{forest_ordered()}\n{SPLITS_OUT}",
+    "iv_forest_ordered_predict": PREDICT_ORDERED,
     "causal_forest_fit": f"{forest(w='z')}\n{SPLITS_OUT}",
     "iv_forest_variance": VARIANCE,
     "recu": f"""SELECT l_orderkey, l_linenumber, {r(relu(OVER))} AS recu_2,

@@ -50,6 +50,7 @@ EDGES = {"acctbal": ACCTBAL_EDGES, "price": PRICE_EDGES}
 COVARIATES = ["acctbal", "price", "priority"]
 TREES, DEPTH, MIN_LEAF = 50, 4, 50
 DRAW_TREES = 10
+ORDERED_BINS = 32
 SPLIT_MIN_LEAF = 100
 GROUP_UNITS = 12
 BOUND, BOUND_LAMBDA = 25.0, 100.0
@@ -85,7 +86,7 @@ def _draws(bag_size: int = 1, fraction: float = 0.5) -> Draws:
 
 def _forest(panel: DataFrame, bag_size: int = 1, fraction: float = 0.5) -> IVForest:
     return iv_forest_fit(
-        panel, "z", "w", "y", COVARIATES, depth=DEPTH, min_leaf=MIN_LEAF, edges=EDGES, draws=_draws(bag_size, fraction)
+        panel, "z", "w", "y", COVARIATES, depth=DEPTH, min_leaf=MIN_LEAF, edges=EDGES, draws=_draws(bag_size, fraction), values="each"
     )
 
 
@@ -158,7 +159,7 @@ def q_iv_effect_weighted(spark: SparkSession, folder: str) -> DataFrame:
 def q_iv_forest_weighted(spark: SparkSession, folder: str) -> DataFrame:
     panel = fixtures.iv_panel(spark, folder).select("*", _weights())
     model = iv_forest_fit(
-        panel, "z", "w", "y", COVARIATES, depth=DEPTH, min_leaf=MIN_LEAF, edges=EDGES, draws=_draws(), weight="weight"
+        panel, "z", "w", "y", COVARIATES, depth=DEPTH, min_leaf=MIN_LEAF, edges=EDGES, draws=_draws(), weight="weight", values="each"
     )
     return _rounded(model.splits, gain=2)
 
@@ -229,7 +230,7 @@ def q_iv_forest_centred(spark: SparkSession, folder: str) -> DataFrame:
         fixtures.iv_panel(spark, folder), ["z", "w", "y"], ["segment", "priority"], k=5, fold=F.col("unit_id") % 5
     )
     model = iv_forest_fit(
-        panel, "z_res", "w_res", "y_res", COVARIATES, depth=DEPTH, min_leaf=MIN_LEAF, edges=EDGES, draws=_draws(), raw_z="z"
+        panel, "z_res", "w_res", "y_res", COVARIATES, depth=DEPTH, min_leaf=MIN_LEAF, edges=EDGES, draws=_draws(), raw_z="z", values="each"
     )
     scored = iv_forest_predict(panel, model, oob=True)
     return _rounded(scored.select("unit_id", "effect", "n_trees", "effect_status"))
@@ -242,9 +243,26 @@ def q_iv_forest_learned(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("unit_id", "tau", "effect", "n_trees", "effect_status")
 
 
+def _ordered_forest(panel: DataFrame) -> IVForest:
+    """Customers, of which there are thousands, as a text covariate."""
+    return iv_forest_fit(
+        panel, "z", "w", "y", ["price", "customer"], depth=DEPTH, min_leaf=MIN_LEAF, edges=EDGES, draws=_draws(), n_bins=ORDERED_BINS
+    )
+
+
+def q_iv_forest_ordered(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(_ordered_forest(fixtures.iv_panel(spark, folder)).splits, gain=2)
+
+
+def q_iv_forest_ordered_predict(spark: SparkSession, folder: str) -> DataFrame:
+    panel = fixtures.iv_panel(spark, folder)
+    scored = iv_forest_predict(panel, _ordered_forest(panel))
+    return _rounded(scored.select("unit_id", "effect", "n_trees", "effect_status"))
+
+
 def q_causal_forest_fit(spark: SparkSession, folder: str) -> DataFrame:
     model = causal_forest_fit(
-        fixtures.iv_panel(spark, folder), "z", "y", COVARIATES, depth=DEPTH, min_leaf=MIN_LEAF, edges=EDGES, draws=_draws()
+        fixtures.iv_panel(spark, folder), "z", "y", COVARIATES, depth=DEPTH, min_leaf=MIN_LEAF, edges=EDGES, draws=_draws(), values="each"
     )
     return _rounded(model.splits, gain=2)
 

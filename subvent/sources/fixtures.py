@@ -28,6 +28,7 @@ def iv_panel(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_acctbal").alias("acctbal"),
         F.col("o_totalprice").alias("price"),
         F.col("o_orderpriority").alias("priority"),
+        F.col("o_custkey").cast("string").alias("customer"),
         F.col("o_orderdate").alias("assign_ts"),
         _unit_share(key, 7919, 1009).alias("u1"),
         _unit_share(key, 104729, 997).alias("u2"),

@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _written: dict[str, list[str]] = {}
+_kept: set[str] = set()  # paths that outlive the scratch they are written in
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,6 +32,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def kept_path(spark: SparkSession, name: str) -> str:
+    """A :func:`new_path` for a table that a result goes on reading: leaving ``scratch`` does not delete it."""
+    path = new_path(spark, name)
+    _kept.add(path)
+    return path
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete on leaving what was staged inside; nothing that is used later may still read it."""
@@ -39,8 +47,8 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        own = [p for p in paths if p not in before]
-        paths[:] = [p for p in paths if p in before]
+        own = [p for p in paths if p not in before and p not in _kept]
+        paths[:] = [p for p in paths if p not in own]
         _delete(spark, own)
 
 
@@ -64,6 +72,7 @@ def stage(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
 def drop_staged(spark: SparkSession) -> int:
     """Delete the tables this application staged; results still reading them become invalid."""
     paths = _written.pop(spark.sparkContext.applicationId, [])
+    _kept.difference_update(paths)
     _delete(spark, paths)
     return len(paths)
 
