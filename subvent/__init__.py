@@ -30,9 +30,10 @@ from subvent.operators.shape.basis import CurveBasis, recu_basis  # noqa: E402
 from subvent.operators.shape.curve import ShapeCurves, curve_predict, shape_curve_fit  # noqa: E402
 from subvent.operators.shape.gram import gram  # noqa: E402
 from subvent.operators.shape.net import RecuNet, recu_net_fit, recu_net_predict  # noqa: E402
+from subvent.operators.shape.nets import RecuNets  # noqa: E402
 
 __all__ = [
-    "CurveBasis", "Draws", "IVForest", "Prior", "RecuNet", "ShapeCurves", "bin_features", "causal_forest_fit",
+    "CurveBasis", "Draws", "IVForest", "Prior", "RecuNet", "RecuNets", "ShapeCurves", "bin_features", "causal_forest_fit",
     "collocation_points", "cross_fit_residuals", "curve_predict", "experiment_panel", "generalization_report",
     "gram", "honest_draws", "iv_effect", "iv_forest_fit", "iv_forest_predict", "iv_forest_variance", "iv_split",
     "prior_curve_fit", "prior_net_fit", "prior_residuals", "recu", "recu_basis", "recu_net_fit", "recu_net_predict",

@@ -190,7 +190,7 @@ def iv_forest_fit(
 
     A text covariate is one feature, of any number of values: each tree puts them in the order of their effects on its split half and
     cuts that order (``values="ordered"``), so a split parts them into two sets. With ``values="each"`` every value is a feature of its
-    own, equal or not; more than 256 values are refused. The table of a forest's values is staged until ``drop_staged``, or saved with it.
+    own, equal or not; more than 256 values are refused. A large table of a forest's values stays staged until ``drop_staged``; ``save`` keeps it.
     ``raw_z`` names the instrument before centring, when ``z`` is a residual: the ``min_leaf``
     rule counts its high and low values (above or not above its mean in the node that is split). ``merge`` forces
     or forbids merging units with equal bins; by default the data decide, and an instrument of more than two values

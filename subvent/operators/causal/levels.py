@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 from subvent.operators.causal.draws import Draws
 from subvent.operators.causal.split import CANCELLED, SUMS, row_sums
 from subvent.plans.lookup import attach
-from subvent.sources.staging import scratch, stage
+from subvent.sources.staging import kept_path, release, scratch, stage
 
 LEVELS_SCHEMA = "feature int, level string, rows double, bins array<smallint>, unseen boolean"
 # Bins (values times trees) of a broadcast level table, a few tens of MB.
 BROADCAST_BINS = 4_000_000
+# Those of a table that a forest holds as local data, like its trees, and not as a staged table.
+LOCAL_BINS = 200_000
 
 
 def learn_levels(rows: DataFrame, columns: Mapping[int, str], draws: Draws, n_bins: int) -> DataFrame:
@@ -87,18 +89,20 @@ def learn_levels(rows: DataFrame, columns: Mapping[int, str], draws: Draws, n_bi
         missing = {r["feature"]: r["rows"] for r in nulls}
         other = [(i, None, missing.get(i, 0.0), [0] * draws.trees, False) for i in columns]
         other += [(i, None, 0.0, bins, True) for i, bins in unseen.items()]
-        # written before what it is made of goes
-        kept = found.unionByName(spark.createDataFrame(other, LEVELS_SCHEMA))
-        return _outlive(kept)
-
-
-def _outlive(df: DataFrame) -> DataFrame:
-    """``df`` staged so that the scratch it is made in leaves it alone."""
-    from subvent.sources import staging
-
-    path = staging.kept_path(df.sparkSession, "levels")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(LEVELS_SCHEMA).parquet(path)
+        return _written(found.unionByName(spark.createDataFrame(other, LEVELS_SCHEMA)), draws.trees)
+
+
+def _written(table: DataFrame, trees: int) -> DataFrame:
+    """``table`` as local data if it is small, else staged so that the scratch it is made in leaves it alone."""
+    spark = table.sparkSession
+    path = kept_path(spark, "levels")
+    table.write.parquet(path)
+    table = spark.read.schema(LEVELS_SCHEMA).parquet(path)
+    if table.count() * trees > LOCAL_BINS:
+        return table
+    rows = [tuple(r) for r in table.collect()]
+    release(path)
+    return spark.createDataFrame(rows, LEVELS_SCHEMA)
 
 
 def tree_bins(rows: DataFrame, levels: DataFrame, feature: int, column: str, output: str, broadcast_bins: int = BROADCAST_BINS) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from subvent.functions.checks import require
 from subvent.operators.prior.priors import Prior, check_priors
 from subvent.operators.shape.net import RecuNet, Stencils, descend, first_weights, scaled_rows
+from subvent.operators.shape.nets import RecuNets, fit_segments
 from subvent.sources.staging import stage
 
 
@@ -54,23 +55,28 @@ def prior_net_fit(
     y: str,
     priors: Sequence[Prior],
     lam: float,
-    init: RecuNet | None = None,
+    init: RecuNet | RecuNets | None = None,
     hidden: int = 8,
     power: float = 2,
     iters: int = 30,
     seed: int = 0,
-) -> RecuNet:
+    by: Sequence[str] = (),
+    weight: str | None = None,
+) -> RecuNet | RecuNets:
     """Mean squared error plus ``lam`` times the mean squared residual of each prior.
 
     ``points`` are unlabelled (see ``collocation_points``) and carry ``lo`` and ``hi``. ``init`` is the
     existing model; its weights, power and scales are kept as the start. Data and points are
-    summed in the same pass.
+    summed in the same pass. With ``by``, which the points carry too, there is a net per segment (see ``recu_net_fit``), and a prior's mean
+    is over its segment's points. A row with a ``weight`` counts as that many rows.
     """
     check_priors(priors)
     require(points, [], [x_shape, *([x_free] if x_free else []), "lo", "hi"])
     if lam < 0:
         raise ValueError("lam must not be negative")
-    rows, scales, n, dropped = scaled_rows(df, x_shape, x_free, y, init)
+    if by:
+        return fit_segments(df, x_shape, x_free, y, by, hidden, power, iters, init, seed, weight, points, priors, lam)
+    rows, scales, n, dropped = scaled_rows(df, x_shape, x_free, y, init, weight)
     power = init.power if init else float(power)
     at_points, stencils = _scaled_points(points, priors, x_shape, x_free, scales, lam)
     theta = np.asarray(init.theta) if init else first_weights(hidden, seed, x_free is not None)

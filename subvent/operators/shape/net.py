@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pandas as pd
@@ -17,12 +18,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subvent.functions.activation import check_power, recu
-from subvent.functions.checks import as_double, complete, refuse, require
+from subvent.functions.checks import as_double, complete, refuse, require, weighted
 from subvent.sources.staging import stage
 
+if TYPE_CHECKING:
+    from subvent.operators.shape.nets import RecuNets
+
 WEIGHTS_SCHEMA = "unit int, a double, u double, v double, b double"
 # Equal inputs are merged when that leaves at least this many rows per distinct input.
 ROWS_PER_INPUT = 4
+FIRST_DAMPING = 1e-2
 
 
 def softplus(x):
@@ -187,6 +192,17 @@ def sum_equations(rows: DataFrame, theta: np.ndarray, power: float, stencils: St
     return jj, entries[len(upper[0]) : -1], float(entries[-1])
 
 
+def advance_damping(damping, before, now, first):
+    """The damping after a trial whose loss is ``now``, and whether the fit has converged; ``first``: nothing to compare it with.
+
+    Plain numbers or arrays of many fits.
+    """
+    falls = now < before
+    settled = falls & (before - now <= 1e-10 * np.maximum(before, 1e-12))
+    after = np.where(first, damping, np.where(falls, np.maximum(damping / 5, 1e-10), damping * 8))
+    return after, np.logical_not(first) & (settled | (np.logical_not(falls) & (after > 1e10)))
+
+
 def descend(rows: DataFrame, theta: np.ndarray, power: float, iters: int, stencils: Stencils = Stencils()):
     """Damped Gauss-Newton steps; a step that raises the loss is taken back and damped more.
 
@@ -194,24 +210,18 @@ def descend(rows: DataFrame, theta: np.ndarray, power: float, iters: int, stenci
     no step gains anything; ``not_converged`` after ``iters`` steps.
     """
     jj, jr, loss = sum_equations(rows, theta, power, stencils)
-    damping, passes, status = 1e-2, 1, "not_converged"
+    damping, passes, status = FIRST_DAMPING, 1, "not_converged"
     for _ in range(iters):
         scale = np.diag(jj) + 1e-8 * max(np.diag(jj).max(), 1e-12)
         step = np.linalg.solve(jj + damping * np.diag(scale), -jr)
         trial = sum_equations(rows, theta + step, power, stencils)
         passes += 1
+        damping, done = advance_damping(damping, loss, trial[2], False)
         if trial[2] < loss:
-            gain = loss - trial[2]
             theta, (jj, jr, loss) = theta + step, trial
-            damping = max(damping / 5, 1e-10)
-            if gain <= 1e-10 * max(loss, 1e-12):
-                status = "converged"
-                break
-        else:
-            damping *= 8
-            if damping > 1e10:
-                status = "converged"
-                break
+        if done:
+            status = "converged"
+            break
     return theta, loss, passes, status
 
 
@@ -225,15 +235,16 @@ def first_weights(hidden: int, seed: int, has_free: bool) -> np.ndarray:
 
 
 def scaled_rows(
-    df: DataFrame, x_shape: str, x_free: str | None, y: str, init: RecuNet | None
+    df: DataFrame, x_shape: str, x_free: str | None, y: str, init: RecuNet | None, weight: str | None = None
 ) -> tuple[DataFrame, tuple[float, ...], int, int]:
     """Staged rows for :func:`sum_equations`, the scales used, and the rows used and left out.
 
     Equal inputs are merged into one weighted cell when the data repeat them; weights sum to 1.
     """
     inputs = [x_shape] + ([x_free] if x_free else [])
-    require(df, [], [*inputs, y])
-    ok = complete([*inputs, y])
+    require(df, [], [*inputs, y] + ([weight] if weight else []))
+    ok = complete([*inputs, y]) & weighted(weight)
+    size = as_double(df, weight) if weight else F.lit(1.0)
     s, yy = as_double(df, x_shape), as_double(df, y)
     t = as_double(df, x_free) if x_free else F.lit(0.0)
     about = df.agg(
@@ -241,24 +252,36 @@ def scaled_rows(
         F.count(F.when(ok, 1)).alias("n"),
         *[f(F.when(ok, c)).alias(a) for c, a, f in (
             (s, "s_low", F.min), (s, "s_high", F.max), (t, "t_low", F.min), (t, "t_high", F.max),
-            (yy, "y_mean", F.avg), (yy, "y_sd", F.stddev_pop),
+            (yy, "y_mean", F.avg), (yy, "y_sd", F.stddev_pop), (size, "size", F.sum),
         )],
+        (F.sum(F.when(ok, size * yy)) / F.sum(F.when(ok, size))).alias("y_weighted"),
         F.approx_count_distinct(F.when(ok, F.struct(s, t))).alias("inputs"),
     ).first()
     if not about["n"]:
         raise ValueError("no row has all of " + ", ".join([*inputs, y]))
+    mean, sd = about["y_mean"], about["y_sd"]
+    if weight and not init:
+        mean = about["y_weighted"]
+        sd = df.filter(ok).agg(F.sqrt(F.sum(size * (yy - mean) ** 2) / F.sum(size))).first()[0]
     scales = init.scales if init else (
         about["s_low"], (about["s_high"] - about["s_low"]) or 1.0,
         about["t_low"], (about["t_high"] - about["t_low"]) or 1.0,
-        about["y_mean"], about["y_sd"] or 1.0,
+        mean, sd or 1.0,
     )
     rows = df.filter(ok).select(
         ((s - scales[0]) / scales[1]).alias("s"),
         ((t - scales[2]) / scales[3]).alias("t"),
         ((yy - scales[4]) / scales[5]).alias("y"),
+        (size / about["size"]).alias("weight"),
     )
     share = 1.0 / about["n"]
-    if about["n"] >= ROWS_PER_INPUT * about["inputs"]:
+    if weight and about["n"] >= ROWS_PER_INPUT * about["inputs"]:
+        w, y = F.col("weight"), F.col("y")
+        rows = rows.groupBy("s", "t").agg(F.sum(w).alias("weight"), (F.sum(w * y) / F.sum(w)).alias("m"), (F.sum(w * y * y) / F.sum(w)).alias("q"))
+        rows = rows.withColumn("q", F.greatest(F.col("q") - F.col("m") * F.col("m"), F.lit(0.0)))
+    elif weight:
+        rows = rows.select("s", "t", "weight", F.col("y").alias("m"), F.lit(0.0).alias("q"))
+    elif about["n"] >= ROWS_PER_INPUT * about["inputs"]:
         rows = rows.groupBy("s", "t").agg(
             (F.count(F.lit(1)) * share).alias("weight"), F.avg("y").alias("m"), F.var_pop("y").alias("q")
         )
@@ -276,15 +299,23 @@ def recu_net_fit(
     hidden: int = 8,
     power: float = 2,
     iters: int = 30,
-    init: RecuNet | None = None,
+    init: RecuNet | RecuNets | None = None,
     seed: int = 0,
-) -> RecuNet:
+    by: Sequence[str] = (),
+    weight: str | None = None,
+) -> RecuNet | RecuNets:
     """Fit the net by least squares; ``init`` continues from existing weights and keeps their scales.
 
-    The net is also convex in ``x_free``; where that is wrong, fit one net per segment instead.
+    The net is also convex in ``x_free``; where that is wrong, fit one net per segment: with ``by`` all segments are fitted together and
+    the result is a table of nets, each as a fit of its rows alone. ``init`` may then be one net for all or such a table. A row with a
+    ``weight`` counts as that many rows; one without a positive weight is left out.
     """
     check_power(power)
-    rows, scales, n, dropped = scaled_rows(df, x_shape, x_free, y, init)
+    if by:
+        from subvent.operators.shape.nets import fit_segments
+
+        return fit_segments(df, x_shape, x_free, y, by, hidden, power, iters, init, seed, weight)
+    rows, scales, n, dropped = scaled_rows(df, x_shape, x_free, y, init, weight)
     theta = np.asarray(init.theta) if init else first_weights(hidden, seed, x_free is not None)
     theta, loss, passes, status = descend(rows, theta, init.power if init else power, iters)
     return RecuNet(
@@ -293,8 +324,12 @@ def recu_net_fit(
     )
 
 
-def recu_net_predict(df: DataFrame, net: RecuNet, pred: str = "pred") -> DataFrame:
-    """``df`` with the net's value; NULL where an input is NULL."""
+def recu_net_predict(df: DataFrame, net: RecuNet | RecuNets, pred: str = "pred") -> DataFrame:
+    """``df`` with the net's value, or that of its segment's net; NULL where an input is NULL or the segment has none."""
+    if not isinstance(net, RecuNet):
+        from subvent.operators.shape.nets import predict_segments
+
+        return predict_segments(df, net, pred)
     inputs = [net.x_shape] + ([net.x_free] if net.x_free else [])
     require(df, [], inputs)
     refuse(df, [pred])

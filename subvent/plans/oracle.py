@@ -530,7 +530,7 @@ def net_predict() -> str:
     return f"SELECT l_orderkey, l_linenumber, {r(total)} AS pred FROM lineitem"
 
 
-def net_steps(prior: bool) -> str:
+def net_steps(prior: bool, where: str = "TRUE", weight: str = "1") -> str:
     """Damped Gauss-Newton steps of a net with two hidden units, from a given start.
 
     ``parts`` are the places at which an observation needs the net, with a factor: one for a cell of equal doses, four
@@ -539,8 +539,8 @@ def net_steps(prior: bool) -> str:
     s0, s1, _, _, mean, sd = q.STEPS_SCALES
     p, h = len(q.STEPS_THETA), 2
     c, v, a, u, b = "th_0", ["th_1", "th_2"], ["th_3", "th_4"], ["th_5", "th_6"], ["th_7", "th_8"]
-    cells = f"""cells AS (SELECT (dose - {s0}e0) / {s1}e0 AS s, count(*) AS n, avg((y - {mean}e0) / {sd}e0) AS m,
-    var_pop((y - {mean}e0) / {sd}e0) AS q FROM dose_panel GROUP BY dose)"""
+    times = f"(SELECT *, (y - {mean}e0) / {sd}e0 AS v, unnest(range({weight})) FROM dose_panel WHERE {where})"
+    cells = f"""cells AS (SELECT (dose - {s0}e0) / {s1}e0 AS s, count(*) AS n, avg(v) AS m, var_pop(v) AS q FROM {times} GROUP BY dose)"""
     parts = """SELECT 'cell ' || s AS id, s, 1e0 AS coef, n / sum(n) OVER () AS weight, m, q FROM cells"""
     if prior:
         shifts = " UNION ALL ".join(f"SELECT {k * H / s1}e0 AS shift, {coef}e0 AS coef" for k, coef in THIRD)
@@ -661,6 +661,14 @@ FROM points p JOIN curves{rounds} c ON c.segment = p.segment"""
 
 
 OVER = "(l_quantity - 25e0)"
+def net_steps_by(prior: bool) -> str:
+    parts = [f"SELECT '{k}' AS segment, * FROM ({net_steps(prior, f"segment = '{k}'")})" for k in ("A", "N", "R")]
+    return " UNION ALL ".join(parts)
+
+
+NET_CLAIMS = """SELECT l_returnflag AS segment, count(*) AS n, CAST(0 AS BIGINT) AS n_dropped, TRUE AS ended, CAST(81 AS BIGINT) AS points,
+  CAST(0 AS BIGINT) AS slope_breaches, CAST(0 AS BIGINT) AS bend_breaches, TRUE AS near_truth FROM lineitem GROUP BY l_returnflag"""
+
 SQL: dict[str, str] = {
     "experiment_panel": EXPERIMENT_PANEL,
     "experiment_panel_dates": EXPERIMENT_PANEL_DATES,
@@ -709,6 +717,11 @@ fitted AS (SELECT p.segment, p.dose, {curve("p.dose", KNOTS)} AS pred FROM point
     "recu_net_predict": net_predict(),
     "recu_net_steps": net_steps(prior=False),
     "prior_net_steps": net_steps(prior=True),
+    "recu_net_steps_by": net_steps_by(prior=False),
+    "recu_net_steps_weighted": net_steps(prior=False, weight="line_no"),
+    "recu_net_claims_by": NET_CLAIMS,
+    "prior_net_steps_by": net_steps_by(prior=True),
+    "prior_net_claims_by": NET_CLAIMS,
     "recu_net_claims": """SELECT count(*) AS n, 'converged' AS status, CAST(81 AS BIGINT) AS points, CAST(0 AS BIGINT) AS slope_breaches,
   CAST(0 AS BIGINT) AS bend_breaches, TRUE AS near_truth FROM lineitem""",
     "collocation_points": f"""WITH e AS (SELECT l_returnflag, l_linestatus, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi

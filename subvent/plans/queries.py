@@ -40,6 +40,7 @@ from subvent.operators.shape.basis import CurveBasis, recu_basis
 from subvent.operators.shape.curve import ShapeCurves, curve_predict, shape_curve_fit
 from subvent.operators.shape.gram import gram
 from subvent.operators.shape.net import RecuNet, recu_net_fit, recu_net_predict
+from subvent.operators.shape.nets import RecuNets
 from subvent.sources import fixtures
 from subvent.sources.tables import read_table
 
@@ -361,6 +362,37 @@ def q_recu_net_steps(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(net.to_df(spark))
 
 
+def q_recu_net_steps_by(spark: SparkSession, folder: str) -> DataFrame:
+    """The same steps of a net per segment, all segments together."""
+    panel = fixtures.dose_panel(spark, folder)
+    nets = recu_net_fit(panel, "dose", None, "y", iters=NET_STEPS, init=_first_net(), by=["segment"])
+    return _rounded(nets.weights())
+
+
+def q_recu_net_steps_weighted(spark: SparkSession, folder: str) -> DataFrame:
+    """A line of an order counts as often as its number says."""
+    panel = fixtures.dose_panel(spark, folder)
+    net = recu_net_fit(panel, "dose", None, "y", iters=NET_STEPS, init=_first_net(), weight="line_no")
+    return _rounded(net.to_df(spark))
+
+
+def _near_truth(panel: DataFrame, nets: RecuNets) -> DataFrame:
+    """Per segment: how its net ended, breaches of its shape on a grid past the data, and whether it comes near the truth."""
+    grid = collocation_points(panel, "dose", ["segment"], 81, -0.05, 0.2)
+    shape = shape_audit(recu_net_predict(grid, nets), "pred", "dose", ["segment"])
+    truth = panel.groupBy("segment", "dose").agg(F.avg("truth").alias("truth"), F.count("*").alias("cell"))
+    squares = F.sum(F.col("cell") * (F.col("pred") - F.col("truth")) ** 2) / F.sum("cell")
+    miss = recu_net_predict(truth, nets).groupBy("segment").agg((F.sqrt(squares) < 0.6).alias("near_truth"))
+    ended = nets.table.select("segment", "n", "n_dropped", F.col("status").isin("converged", "not_converged").alias("ended"))
+    return ended.join(shape, "segment").join(miss, "segment").drop("worst")
+
+
+def q_recu_net_claims_by(spark: SparkSession, folder: str) -> DataFrame:
+    """What whole fits with the defaults promise, per segment."""
+    panel = fixtures.dose_panel(spark, folder)
+    return _near_truth(panel, recu_net_fit(panel, "dose", None, "y", by=["segment"]))
+
+
 def q_recu_net_claims(spark: SparkSession, folder: str) -> DataFrame:
     """What a whole fit with the defaults promises: it converges, keeps its shape past the data, and comes near the truth."""
     panel = fixtures.dose_panel(spark, folder)
@@ -442,6 +474,24 @@ def q_prior_net_steps(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(net.to_df(spark))
 
 
+def q_prior_net_steps_by(spark: SparkSession, folder: str) -> DataFrame:
+    """The same steps per segment, each with the points of its own."""
+    panel = fixtures.dose_panel(spark, folder)
+    points = collocation_points(panel, "dose", ["segment"], 41, 0.0, 0.1)
+    nets = prior_net_fit(
+        panel, points, "dose", None, "y", [third_difference(GRID_STEP)], STEPS_LAMBDA, init=_first_net(), iters=NET_STEPS, by=["segment"]
+    )
+    return _rounded(nets.weights())
+
+
+def q_prior_net_claims_by(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole fits with a true assumption, started from fits without it: near the truth in every segment, and of the same shape."""
+    panel = fixtures.dose_panel(spark, folder)
+    points = collocation_points(panel, "dose", ["segment"], 41, 0.0, 0.1)
+    start = recu_net_fit(panel, "dose", None, "y", by=["segment"])
+    return _near_truth(panel, prior_net_fit(panel, points, "dose", None, "y", [third_difference(GRID_STEP)], 1.0, init=start, by=["segment"]))
+
+
 def q_generalization_report(spark: SparkSession, folder: str) -> DataFrame:
     """Curves fitted below a dose and judged above it, with and without assumptions."""
     panel = fixtures.dose_panel(spark, folder)

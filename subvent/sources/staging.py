@@ -39,6 +39,11 @@ def kept_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def release(path: str) -> None:
+    """Let ``scratch`` delete a kept path after all."""
+    _kept.discard(path)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete on leaving what was staged inside; nothing that is used later may still read it."""
