@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,3 +94,31 @@ def test_salted_groups_give_the_same_result(iv_panel):
     for g, row in expected.items():
         assert found[g]["n"] == row["n"] and found[g]["status"] == row["status"]
         assert found[g]["std_error"] == pytest.approx(row["std_error"], rel=1e-9)
+
+
+def test_moments_about_a_far_centre_are_summed_again(spark):
+    """Groups far from each other, of exact and of noisy fits: the same as about the groups' own means."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for g, (offset, noise) in enumerate([(0.0, 1.0), (1e3, 1.0), (1e7, 1.0), (-1e9, 10.0), (5.0, 0.0)]):
+        z = rng.integers(0, 2, 80)
+        w = np.where(rng.random(80) < 0.8, z, 1 - z)
+        y = offset + 3 * w + noise * rng.random(80)
+        rows += [(g, float(a) + offset / 7, float(b) - offset / 3, float(c)) for a, b, c in zip(z, w, y, strict=True)]
+    found = {r["g"]: r for r in iv_effect(spark.createDataFrame(rows, "g int, z double, w double, y double"), "z", "w", "y", ["g"]).collect()}
+    for g in range(5):
+        own = np.asarray([r[1:] for r in rows if r[0] == g])
+        z, w, y = (own - own.mean(axis=0)).T
+        residual = y - (z @ y) / (z @ w) * w
+        expected = np.sqrt(((z * residual) ** 2).sum()) / abs(z @ w)
+        assert found[g]["std_error"] == pytest.approx(expected, rel=1e-5, abs=1e-6)
+
+
+def test_one_pass_without_a_row_shuffle(spark, iv_panel, monkeypatch):
+    from subvent.operators.causal import effect
+
+    def refuse(*args):
+        raise AssertionError("rows were read again")
+
+    monkeypatch.setattr(effect, "_summed_again", refuse)
+    assert iv_effect(iv_panel.withColumn("g", F.floor(F.col("unit_id") / 40)), "z", "w", "y", ["g"], broadcast_rows=1).count() > 300
