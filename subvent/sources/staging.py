@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _written: dict[str, list[str]] = {}
+_tables: dict[str, str] = {}  # names in the catalog, by path
 _kept: set[str] = set()  # paths that outlive the scratch they are written in
 
 
@@ -39,6 +40,25 @@ def kept_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def named_table(path: str, table: str) -> None:
+    """The table at ``path`` has a name in the catalog, which goes when its files go."""
+    _tables[path] = table
+
+
+def written_paths(spark: SparkSession) -> list[str]:
+    """What this application has staged and not yet deleted."""
+    return list(_written.get(spark.sparkContext.applicationId, []))
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete some of the staged tables."""
+    held = _written.get(spark.sparkContext.applicationId, [])
+    own = [p for p in paths if p in held]
+    held[:] = [p for p in held if p not in own]
+    _kept.difference_update(own)
+    _delete(spark, own)
+
+
 def release(path: str) -> None:
     """Let ``scratch`` delete a kept path after all."""
     _kept.discard(path)
@@ -85,5 +105,7 @@ def drop_staged(spark: SparkSession) -> int:
 def _delete(spark: SparkSession, paths: list[str]) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     for path in paths:
+        if path in _tables:
+            spark.sql(f"DROP TABLE IF EXISTS {_tables.pop(path)}")
         target = hadoop(path)
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
