@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import pickle
 import re
 import sys
 import types
@@ -12,10 +13,11 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subvent.sources.staging import new_path
+from subvent.sources.staging import named_table, new_path
 
 #: Rows of one chunk of a chunked table, a power of two.
 CHUNK_ROWS = 4096
@@ -42,20 +44,30 @@ def chunked(df: DataFrame, name: str, rows: int = CHUNK_ROWS) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     buckets = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
     shift = rows.bit_length() - 1
-    table = f"{name}_{uuid.uuid4().hex}"
+    table, path = f"{name}_{uuid.uuid4().hex}", new_path(spark, name)
     (
         df.withColumn("_row", F.monotonically_increasing_id())
         .withColumn("_chunk", F.shiftright("_row", shift))
         .write.format("parquet")
-        .option("path", new_path(spark, name))
+        .option("path", path)
         .option("compression", "zstd")
         .bucketBy(buckets, "_chunk")
         .sortBy("_chunk")
         .saveAsTable(table)
     )
+    named_table(path, table)
     return spark.table(table)
 
 
+def shared(spark: SparkSession, value: object) -> Callable[[], object]:
+    """A broadcast ``value`` of bounded size, as a function that tasks call for it.
+
+    A plain broadcast names the classes of what it holds, which a worker without this package does not know; here they travel along.
+    """
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
+
+
 def column(table: pa.Table | pa.RecordBatch, name: str) -> pa.Array:
     """A column as one array."""
     found = table.column(name)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subvent.llm.common import SMALL_SLICE, field, forget_kept, slices, strings
+from subvent.llm.common import SMALL_SLICE, field, forget_kept, shared, slices, strings
 
 #: Lengths of the n-grams in bytes, and hashed features of each length.
 GRAMS, FEATURE_BITS = (2, 3, 4), 14
@@ -180,15 +180,16 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     learned. Only the text decides. The row is kept in a struct, so its columns may have any names. No row moves.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # languages times features, whatever the corpus
+    held = shared(spark, model)  # languages times features, whatever the corpus
     wrapped = docs.select(F.struct("*").alias("doc"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_kept()
+        own = held()
         for batch in batches:
             texts = field(batch.column("doc"), text)
             for i, j in slices(texts, SMALL_SLICE):
-                names, score, unsure = scores(shared.value, texts.slice(i, j - i))
+                names, score, unsure = scores(own, texts.slice(i, j - i))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc").slice(i, j - i), pa.array(names, pa.string()), pa.array(score), pa.array(unsure)],
                     ["doc", "lang_pred", "score", "ambiguous"],

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subvent.llm.common import SMALL_SLICE, field, forget_kept, slices, staged, strings
+from subvent.llm.common import SMALL_SLICE, field, forget_kept, shared, slices, staged, strings
 from subvent.llm.substring import window_starts, word_hashes
 
 #: Labelled documents that the classifier is fitted on, at most: those whose ids hash lowest, whatever the input's size.
@@ -184,16 +184,17 @@ def posterior(
     in a join whose right side is one row per site; if it is too large to be broadcast, Spark splits a large site's rows.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(classifier)
+    held = shared(spark, classifier)
     site = [host.cast("string").alias("host"), path.cast("string").alias("path")]
     wrapped = docs.select(F.struct("*").alias("doc"), *site)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_kept()
+        own = held()
         for batch in batches:
             texts = field(batch.column("doc"), text) if "doc" in batch.schema.names else strings(batch, "_text")
             for i, j in slices(texts, SMALL_SLICE):
-                found = pa.array(shared.value.evidence(texts.slice(i, j - i)))
+                found = pa.array(own.evidence(texts.slice(i, j - i)))
                 part = batch.slice(i, j - i)
                 names = [c for c in part.schema.names if c != "_text"]
                 yield pa.RecordBatch.from_arrays([*map(part.column, names), found], [*names, "evidence"])
