@@ -41,8 +41,8 @@ FIRST_RUNS = 3
 LEAF, LEVELS = 64, 8
 #: Standard deviations by which a sketch may fall short of the similarity.
 SLACK = 4.0
-#: Representatives of a block of a group; a tile compares two blocks. Shingles and rows that a task takes at once.
-TILE, TASK_SHINGLES, TASK_ROWS = 256, 2 << 20, 16384
+#: Representatives and shingles of a block of a group, about; a tile compares two blocks. Shingles and rows that a task takes at once.
+TILE, TILE_SHINGLES, TASK_SHINGLES, TASK_ROWS = 1024, 1 << 20, 2 << 20, 16384
 
 
 def runs_for(recall: float, depth: int, places: int | None = None, similarity: float = SIMILARITY) -> int:
@@ -257,29 +257,36 @@ def _candidates(reps: DataFrame, similarity: float, places: int, recall: float,
     After the first few runs, what they have linked is put together into groups. All pairs of a group will be compared
     anyway, so the other runs leave out nodes that lie in one group: a large group of near copies, which no split makes
     small, takes part in the first runs only. Nodes of what is not yet linked may be split more than ``depth`` times; then
-    runs are added until there are as many as that depth asks for.
+    runs are added, for the representatives that were in such nodes alone, until there are as many as that depth asks for: all
+    others have met whom they are like at fewer splits.
     """
     needed = lambda splits: runs_for(recall, max(depth, splits), places, similarity)
     least = _least_equal(similarity, places)
     runs = needed(depth)
     first = min(FIRST_RUNS, runs)
-    links, splits = _some_runs(reps.withColumn("label", F.col("rep")), range(first), similarity, places, least)
+    links, splits, deep = _some_runs(reps.withColumn("label", F.col("rep")), range(first), similarity, places, least, depth)
     found = staged(links, "candidates")
-    if first == runs:
-        runs = needed(splits)
-    if first == runs:
+    if first == runs and needed(splits) == runs:
         return found
     labels = components(found).select(F.col("node").alias("rep"), "label")
     grouped = staged(reps.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "grouped")
     done = first
-    while done < runs:
-        links, splits = _some_runs(grouped, range(done, runs), similarity, places, least)
-        found, done, runs = found.unionByName(links), runs, needed(splits)
+    if done < runs:
+        links, more, others = _some_runs(grouped, range(done, runs), similarity, places, least, depth)
+        found, done, splits, deep = found.unionByName(links), runs, max(splits, more), deep.unionByName(others)
+    while done < needed(splits):
+        grouped = staged(grouped.join(deep.distinct(), "rep", "left_semi"), "grouped")
+        runs = needed(splits)
+        links, more, deep = _some_runs(grouped, range(done, runs), similarity, places, least, depth)
+        found, done, splits = found.unionByName(links), runs, max(splits, more)
     return found
 
 
-def _some_runs(reps: DataFrame, runs: range, similarity: float, places: int, least: int) -> tuple[DataFrame, int]:
-    """Links that these runs find between representatives of different ``label``, and how often a node was split at most."""
+def _some_runs(
+    reps: DataFrame, runs: range, similarity: float, places: int, least: int, depth: int
+) -> tuple[DataFrame, int, DataFrame]:
+    """Links that these runs find between representatives of different ``label``, how often a node was split at most, and the
+    representatives (``rep``) in nodes that come of more than ``depth`` splits."""
     spark = reps.sparkSession
     share = 1 / (similarity * places)
     drawn = lambda node, i: F.pmod(F.xxhash64(node, i), F.lit(1 << 30)) < int(share * (1 << 30))
@@ -287,12 +294,12 @@ def _some_runs(reps: DataFrame, runs: range, similarity: float, places: int, lea
     roots = spark.range(runs.start, runs.stop).select(F.xxhash64("id").alias("node"))
     paths = roots.select("node", F.explode(every).alias("i")).filter(drawn(F.col("node"), F.col("i"))).collect()
     if not paths:
-        return spark.createDataFrame([], "u bigint, v bigint"), 0
+        return spark.createDataFrame([], "u bigint, v bigint"), 0, spark.createDataFrame([], "rep bigint")
     first = F.explode(F.array(*[F.struct(F.lit(r["node"]).alias("node"), F.lit(r["i"]).alias("i")) for r in paths]))
     child = lambda df: df.select("rep", "label", F.xxhash64("node", "i", F.get("sketch", "i")).alias("node"), "parent")
     start = reps.select("rep", "label", "sketch", F.lit(None).cast("bigint").alias("parent"), first.alias("x"))
     level = child(start.select("rep", "label", "sketch", "parent", "x.*"))
-    leaves, links = None, None
+    leaves, links, deep = None, None, spark.createDataFrame([], "rep bigint")
     for number in range(LEVELS):
         level = staged(level, "paths")
         sizes = level.groupBy("node").agg(
@@ -302,6 +309,8 @@ def _some_runs(reps: DataFrame, runs: range, similarity: float, places: int, lea
         alike = F.coalesce(F.col("n") >= similarity * F.col("_parent"), F.lit(number == LEVELS - 1)).alias("alike")
         sizes = sizes.filter("_low < _high").select("node", "n", alike)
         level = staged(level.drop("parent").join(sizes, "node"), "nodes")
+        if number == depth:  # what is deeper was here
+            deep = level.select("rep")
         small = level.filter(F.col("n") <= LEAF).groupBy("node").agg(F.sort_array(F.collect_list("rep")).alias("reps")).select("reps")
         leaves = small if leaves is None else leaves.unionByName(small)
         large = level.filter(F.col("n") > LEAF)
@@ -324,7 +333,7 @@ def _some_runs(reps: DataFrame, runs: range, similarity: float, places: int, lea
     spread = sets.select("leaf", F.explode("reps").alias("rep")).join(reps.select("rep", "sketch"), "rep")
     spread = spread.withColumn("_task", F.pmod(F.xxhash64("leaf"), F.lit(tasks)))
     found = spread.groupBy("_task").applyInArrow(_compare_leaves(places, least), "u bigint, v bigint").distinct()
-    return found if links is None else found.unionByName(links), number + 1
+    return found if links is None else found.unionByName(links), number + 1, deep
 
 
 def jaccard_classes(
@@ -376,9 +385,10 @@ def jaccard_classes(
         with_words.select(F.col("_row").alias("rep"), "sketch").join(sets.select("rep"), "rep", "left_semi"), "representatives"
     )
     groups = components(_candidates(reps, similarity, places, recall, depth))
-    sizes = groups.groupBy("label").agg(F.count("*").alias("_size"))
+    sized = groups.join(sets.select(F.col("rep").alias("node"), F.col("n").alias("_n")), "node")
+    sizes = sized.groupBy("label").agg(F.greatest(F.count("*") / TILE, F.sum("_n") / TILE_SHINGLES).alias("_size"))
     members = groups.join(sizes, "label").select(
-        F.col("node").alias("rep"), "label", F.ceil(F.col("_size") / TILE).cast("int").alias("blocks"), F.shiftright("node", 12).alias("_chunk")
+        F.col("node").alias("rep"), "label", F.ceil("_size").cast("int").alias("blocks"), F.shiftright("node", 12).alias("_chunk")
     )
 
     def cut(part: pa.Table, heard: pa.Table) -> pa.Table:
