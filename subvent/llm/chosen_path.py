@@ -38,7 +38,7 @@ FIRST_RUNS = 3
 #: Representatives of a node that is compared by brute force, and most levels of splits. A larger node that kept the
 #: similarity's share of its parent's members, or is left at the last level, becomes candidates whole: all its pairs
 #: are compared exactly, and no split would part them.
-LEAF, LEVELS = 64, 8
+LEAF, LEVELS = 256, 8
 #: Standard deviations by which a sketch may fall short of the similarity.
 SLACK = 4.0
 #: Representatives and shingles of a block of a group, about; a tile compares two blocks. Shingles and rows that a task takes at once.
