@@ -6,11 +6,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subvent.functions.checks import require
+from subvent.functions.checks import require, weighted
 from subvent.operators.prior.priors import Prior, _per_prior, check_priors
 from subvent.operators.shape.basis import CurveBasis
 from subvent.operators.shape.curve import ShapeCurves, solve_curves
@@ -51,6 +51,13 @@ def combined_gram(
     return data_gram.unionByName(priors).groupBy(*by, "i", "j").agg(F.sum("value").alias("value"))
 
 
+def _weighted_means(sums: DataFrame, by: list[str]) -> DataFrame:
+    """A Gram table with its products divided by the sum of the weights: that of the first term, which is 1, with itself."""
+    size = F.max(F.when((F.col("i") == 0) & (F.col("j") == 0), F.col("value"))).over(Window.partitionBy(*by))
+    mean = F.when(F.col("i") == COUNTS, F.col("value")).otherwise(F.coalesce(F.try_divide(F.col("value"), size), F.lit(0.0)))
+    return sums.withColumn("value", mean)
+
+
 def prior_curve_fit(
     df: DataFrame,
     x: str,
@@ -62,9 +69,12 @@ def prior_curve_fit(
     points: DataFrame,
     power: float = 2,
     shape: str = "free",
+    weight: str | None = None,
 ) -> ShapeCurves:
     """Minimise mean squared error plus ``lam`` times the mean squared residual of each prior.
 
+    A row with a ``weight`` counts as that many rows of the mean; one without a positive weight is left out.
+
     The data are read once, into a Gram table. Each segment is then solved on its own from its sums and points: once
     with equalities alone, over the set of points in breach with inequalities. A segment whose set does not settle has
     the status ``not_converged`` and the best curve found; the others do not notice.
@@ -73,12 +83,13 @@ def prior_curve_fit(
     if not by:
         raise ValueError("give at least one segment column; add a constant one for a single curve")
     check_priors(priors)
-    require(df, by, [x, y])
+    require(df, by, [x, y] + ([weight] if weight else []))
     require(points, [*by, "point_id"], [x, "lo", "hi"])
     if lam < 0:
         raise ValueError("lam must not be negative")
     basis = CurveBasis(tuple(float(t) for t in knots), power, shape)
-    data = gram(df, basis.terms(F.col(x).cast("double")), y, by, per_row=True)
+    at = basis.terms(F.col(x).cast("double"))
+    data = _weighted_means(gram(df, at, y, by, F.when(weighted(weight), F.col(weight))), by) if weight else gram(df, at, y, by, per_row=True)
     rows = prior_rows(points.select(*by, "point_id", x, "lo", "hi"), x, basis, priors)
     if all(p.relation == "=" for p in priors):
         return _solve(combined_gram(data, rows, by, basis, lam), by, basis, x)

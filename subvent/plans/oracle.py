@@ -445,14 +445,21 @@ def combined(name: str, k: int, data: str, priors: list[tuple[str, float]]) -> s
 
 
 K = 2 + len(KNOTS)
-SOFT = f"""WITH {DOSE_PANEL},
+
+
+def soft(source: str = "dose_panel") -> str:
+    return f"""WITH {DOSE_PANEL},
 {grid(41, 0.0, 0.1)},
-{products("crossed", "dose_panel", terms("dose", KNOTS), "y")},
+{products("crossed", source, terms("dose", KNOTS), "y")},
 {third_prior(KNOTS)},
 {combined("joint", K, "crossed", [("prior3", q.LAMBDA)])},
 {solve("curves", "joint", K, [])}"""
 
 
+SOFT_POINTS = f"""SELECT p.segment, p.point_id, {r(curve("p.dose", KNOTS))} AS pred, {r(curve_slope("p.dose", KNOTS), 2)} AS slope
+FROM points p JOIN curves c ON c.segment = p.segment"""
+
+
 def prior_gram() -> str:
     bound = products("prior_hi", "points", terms("dose", KNOTS), "25e0")
     return f"""WITH {DOSE_PANEL},
@@ -490,7 +497,7 @@ SELECT segment, point_id, prior, {r("value")} AS value, {r(f'''CASE relation WHE
   WHEN '>=' THEN least({miss}, 0e0) ELSE greatest({miss}, 0e0) END''')} AS residual FROM found"""
 
 
-def report() -> str:
+def report(repeated: str = "") -> str:
     knots, k = q.REPORT_KNOTS, 2 + len(q.REPORT_KNOTS)
     parts = [
         f"WITH {DOSE_PANEL}",
@@ -503,7 +510,7 @@ def report() -> str:
         solve("soft", "joint", k, []),
     ]
     errors = " UNION ALL ".join(
-        f"""SELECT '{m}' AS model, d.segment, d.dose BETWEEN {q.REPORT_CUT}e0 AND 1e0 AS held, {curve("d.dose", knots)} - d.truth AS e
+        f"""SELECT '{m}' AS model, d.segment, d.dose BETWEEN {q.REPORT_CUT}e0 AND 1e0 AS held, {curve("d.dose", knots)} - d.truth AS e{repeated}
   FROM dose_panel d JOIN {m} c ON c.segment = d.segment"""
         for m in ("free", "shape", "soft")
     )
@@ -730,8 +737,8 @@ SELECT l_returnflag, l_linestatus, CAST(i AS INTEGER) AS point_id, {r("lo + i *
   {r("lo", 6)} AS lo, {r("hi", 6)} AS hi FROM e, (SELECT unnest(range(41)) AS i)""",
     "prior_residuals": prior_residuals(),
     "prior_gram": prior_gram(),
-    "prior_curve_fit": f"""{SOFT}
-SELECT p.segment, p.point_id, {r(curve("p.dose", KNOTS))} AS pred, {r(curve_slope("p.dose", KNOTS), 2)} AS slope
-FROM points p JOIN curves c ON c.segment = p.segment""",
+    "prior_curve_fit": f"{soft()}\n{SOFT_POINTS}",
+    "prior_curve_fit_weighted": f"{soft('(SELECT *, unnest(range(line_no)) FROM dose_panel)')}\n{SOFT_POINTS}",
+    "generalization_report_weighted": report(", unnest(range(line_no)) AS time"),
     "generalization_report": report(),
 }

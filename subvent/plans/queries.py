@@ -447,6 +447,15 @@ def q_prior_curve_fit(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(curve_predict(points, curves).select("segment", "point_id", "pred", "slope"), slope=2)
 
 
+def q_prior_curve_fit_weighted(spark: SparkSession, folder: str) -> DataFrame:
+    """A line of an order counts as often as its number says."""
+    panel = fixtures.dose_panel(spark, folder)
+    points = collocation_points(panel, "dose", ["segment"], 41, 0.0, 0.1)
+    priors = [third_difference(GRID_STEP)]
+    curves = prior_curve_fit(panel, "dose", "y", ["segment"], fixtures.KNOTS, priors, LAMBDA, points, weight="line_no")
+    return _rounded(curve_predict(points, curves).select("segment", "point_id", "pred", "slope"), slope=2)
+
+
 def q_prior_curve_fit_bounds(spark: SparkSession, folder: str) -> DataFrame:
     """Inequalities: the points in breach are found by repeating the solve."""
     panel = fixtures.dose_panel(spark, folder)
@@ -492,8 +501,7 @@ def q_prior_net_claims_by(spark: SparkSession, folder: str) -> DataFrame:
     return _near_truth(panel, prior_net_fit(panel, points, "dose", None, "y", [third_difference(GRID_STEP)], 1.0, init=start, by=["segment"]))
 
 
-def q_generalization_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Curves fitted below a dose and judged above it, with and without assumptions."""
+def _reported(spark: SparkSession, folder: str, weight: str | None) -> DataFrame:
     panel = fixtures.dose_panel(spark, folder)
     beyond = holdout_range("dose", REPORT_CUT, 1.0)
     train = panel.filter(~beyond)
@@ -506,10 +514,20 @@ def q_generalization_report(spark: SparkSession, folder: str) -> DataFrame:
     )
     scored = curve_predict(scored, soft, pred="soft")
     return _rounded(
-        generalization_report(scored, {m: m for m in ("free", "shape", "soft")}, "truth", beyond, ["segment"])
+        generalization_report(scored, {m: m for m in ("free", "shape", "soft")}, "truth", beyond, ["segment"], weight)
     )
 
 
+def q_generalization_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Curves fitted below a dose and judged above it, with and without assumptions."""
+    return _reported(spark, folder, None)
+
+
+def q_generalization_report_weighted(spark: SparkSession, folder: str) -> DataFrame:
+    """The same judged with weights: a line of an order counts as often as its number says."""
+    return _reported(spark, folder, "line_no")
+
+
 REGISTERED: dict[str, Query] = {
     name.removeprefix("q_"): value for name, value in list(globals().items()) if name.startswith("q_")
 }
