@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from subvent.llm.common import chunked, column, forget_kept, slices, staged, strings
 from subvent.llm.substring import _MULTIPLIERS, _mixed, _rolled, window_starts, word_hashes
+from subvent.sources.staging import drop_paths, written_paths
 
 #: Words of a shingle, similarity of a link, tokens of a sketch.
 WORDS, SIMILARITY, PLACES = 5, 0.8, 64
@@ -301,7 +302,7 @@ def _some_runs(
     level = child(start.select("rep", "label", "sketch", "parent", "x.*"))
     leaves, links, deep = None, None, spark.createDataFrame([], "rep bigint")
     for number in range(LEVELS):
-        level = staged(level, "paths")
+        level, path = staged(level, "paths"), written_paths(spark)[-1]
         sizes = level.groupBy("node").agg(
             F.count("*").alias("n"), F.min("label").alias("_low"), F.max("label").alias("_high"), F.max("parent").alias("_parent")
         )
@@ -309,6 +310,7 @@ def _some_runs(
         alike = F.coalesce(F.col("n") >= similarity * F.col("_parent"), F.lit(number == LEVELS - 1)).alias("alike")
         sizes = sizes.filter("_low < _high").select("node", "n", alike)
         level = staged(level.drop("parent").join(sizes, "node"), "nodes")
+        drop_paths(spark, [path])  # what goes on is in the nodes
         if number == depth:  # what is deeper was here
             deep = level.select("rep")
         small = level.filter(F.col("n") <= LEAF).groupBy("node").agg(F.sort_array(F.collect_list("rep")).alias("reps")).select("reps")
