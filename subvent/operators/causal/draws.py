@@ -5,11 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subvent.functions.checks import require
 
+# Trees whose bits are packed in one number.
+WORD = 64
+
+
+def bits_of(words: np.ndarray, tree: int) -> np.ndarray:
+    """Whether each row's packed bits hold that of ``tree``, counted from 0; ``words`` has a row of words per row."""
+    return (words[:, tree // WORD] >> (tree % WORD)) & 1 != 0
+
 
 @dataclass(frozen=True)
 class Draws:
@@ -51,6 +60,22 @@ class Draws:
     def in_split_half(self, unit: Column, tree: Column) -> Column:
         return self.draw(unit, tree) % 2 == 0
 
+    def packed(self, unit: Column, inside: bool = True) -> Column:
+        """An array of words with a bit per tree: is the unit in its sample, or outside of it; NULL is neither."""
+        known = unit.isNotNull()
+
+        def with_bit(word: Column, tree: Column) -> Column:
+            there = self.in_sample(unit, tree)
+            there = F.coalesce(known & (there if inside else ~there), F.lit(False))
+            return word.bitwiseOR(F.call_function("shiftleft", there.cast("bigint"), F.pmod(tree - 1, F.lit(WORD))))
+
+        def word(first: Column) -> Column:
+            own = F.sequence(first, F.least(first + (WORD - 1), F.lit(self.trees)))
+            return F.aggregate(own, F.lit(0).cast("bigint"), with_bit)
+
+        # a loop of the plan, not a plan per tree: hundreds of expressions take longer to compile than most tables to score
+        return F.transform(F.sequence(F.lit(1), F.lit(self.trees), F.lit(WORD)), word)
+
 
 def honest_draws(
     panel: DataFrame,

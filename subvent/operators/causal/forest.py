@@ -341,9 +341,7 @@ def _score(df: DataFrame, model: IVForest, oob: bool, unit: str, variance: bool)
         require(df, [unit])
         if not model.draws_known:
             raise ValueError("the forest was grown with a draw formula; pass it to IVForest.load to score out of bag")
-        trees = F.sequence(F.lit(1), F.lit(model.draws.trees))
-        out = F.transform(trees, lambda t: F.coalesce(F.col(unit).isNotNull() & ~model.draws.in_sample(F.col(unit), t), F.lit(False)))
-        inputs.append(out)
+        inputs.append(model.draws.packed(F.col(unit), inside=False))
     inputs += [F.col(f"_{_array(i)}") for i in model.bins.ordered()]
     score = leaf_scorer(model.packed(), oob, variance, tuple(model.bins.ordered()))
     return df.withColumn("_score", score(*inputs)).select(*columns, *[F.col(f"_score.{c}") for c in outputs])

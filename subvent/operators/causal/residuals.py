@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subvent.functions.checks import as_double, complete, refuse, require, weighted
-from subvent.operators.causal.bins import bin_features
+from subvent.operators.causal.bins import learn_bins_and
+from subvent.operators.causal.draws import Draws
+from subvent.operators.causal.regression import grow
 from subvent.plans.lookup import BROADCAST_ROWS, attach
-from subvent.sources.staging import stage
+from subvent.sources.staging import scratch, stage
 
 
 def cross_fit_residuals(
@@ -28,12 +29,17 @@ def cross_fit_residuals(
     depth: int = 5,
     broadcast_rows: int = BROADCAST_ROWS,
     weight: str | None = None,
+    edges: Mapping[str, Sequence[float]] | None = None,
+    draws: Draws | None = None,
+    min_leaf: int = 1,
 ) -> DataFrame:
     """``panel`` with ``fold`` and one ``<col>_res`` per column.
 
-    ``cell_mean`` predicts by the mean of the other folds in the same covariate cell; ``rf``
-    by a random forest trained on the other folds. A row without a unit, or with a NULL, NaN or infinity
-    in ``cols``, takes part in no mean and gets NULL, as does a row whose cell has no row in another fold. A row with
+    ``cell_mean`` predicts by the mean of the other folds in the same covariate cell; ``rf`` by the mean of ``trees`` regression trees per
+    fold, grown on the other folds. A tree sees the units it drew (half of them, or as ``draws`` say), predicts all ``cols``, and splits where their
+    variances, each as a share of the column's own, fall most, with ``min_leaf`` rows on either side. A row without a unit, or with a NULL, NaN or infinity
+    in ``cols``, takes part in no mean and gets NULL, as does a row whose cell (for ``rf``: whose fold's
+    trees) has no row in another fold, and one of a fold that is not 0 to ``k`` - 1 for ``rf``. A row with
     a ``weight`` counts as that many rows; one without a positive weight takes no part.
     """
     if k < 2:
@@ -46,7 +52,7 @@ def cross_fit_residuals(
     if method == "cell_mean":
         return _cell_means(rows, list(cols), list(x), broadcast_rows, weight)
     if method == "rf":
-        return _forests(rows, list(cols), list(x), k, seed, n_bins, trees, depth, weight)
+        return _forests(rows, list(cols), list(x), k, n_bins, edges, draws or Draws(trees, seed=seed), depth, min_leaf, unit, weight)
     raise ValueError(f"method must be 'cell_mean' or 'rf', not '{method}'")
 
 
@@ -74,33 +80,40 @@ def _cell_means(rows: DataFrame, cols: list[str], x: list[str], broadcast_rows:
 
 
 def _forests(
-    rows: DataFrame, cols: list[str], x: list[str], k: int, seed: int, n_bins: int, trees: int, depth: int, weight: str | None
+    rows: DataFrame,
+    cols: list[str],
+    x: list[str],
+    k: int,
+    n_bins: int,
+    edges: Mapping[str, Sequence[float]] | None,
+    draws: Draws,
+    depth: int,
+    min_leaf: int,
+    unit: str,
+    weight: str | None,
 ) -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.regression import RandomForestRegressor
-
-    binned, _ = bin_features(rows, x, n_bins, output="_bins")
-    binned = stage(binned, "rf_panel")
-    vectors = binned.withColumn("_features", array_to_vector(F.col("_bins").cast("array<double>")))
+    if depth < 1 or min_leaf < 1 or not x:
+        raise ValueError("forests need a covariate, and depth and min_leaf of at least 1")
     ok = complete(cols) & F.col("fold").isNotNull() & weighted(weight)
     own = F.lit(1.0) if weight is None else as_double(rows, weight)
-    parts = []
-    for i in range(k + 1):  # the last part holds the rows without a fold
-        part = vectors.filter(F.col("fold") == i if i < k else F.col("fold").isNull())
-        train = vectors.filter((F.col("fold") != i) & ok)
-        enough = i < k and not train.isEmpty()
-        for c in cols:
-            if not enough:
-                part = part.withColumn(f"{c}_res", F.lit(None).cast("double"))
-                continue
-            forest = RandomForestRegressor(
-                featuresCol="_features", labelCol="_label", predictionCol="_guess",
-                numTrees=trees, maxDepth=depth, maxBins=max(n_bins + 1, 3), seed=seed,
-            )
-            if weight:
-                forest.setWeightCol("_weight")
-            model = forest.fit(train.select("_features", as_double(rows, c).alias("_label"), own.alias("_weight")))
-            residual = F.when(ok, as_double(rows, c) - F.col("_guess"))
-            part = model.transform(part).withColumn(f"{c}_res", residual).drop("_guess")
-        parts.append(part.select(*rows.columns, *[f"{c}_res" for c in cols]))
-    return reduce(DataFrame.unionByName, parts)
+    sums = [F.sum(F.when(ok, own)), *[F.sum(F.when(ok, as_double(rows, c) * own)) for c in cols]]
+    bins, (n, *totals) = learn_bins_and(rows, x, n_bins, edges, sums)
+    means = [total / n if n else 0.0 for total in totals]
+    with scratch(rows.sparkSession):
+        compact = stage(
+            rows.filter(ok).select(
+                bins.packed().alias("bins"),
+                draws.packed(F.col(unit)).alias("words"),
+                "fold",
+                own.alias("weight"),
+                F.array(*[as_double(rows, c) - m for c, m in zip(cols, means)]).alias("values"),
+            ),
+            "rf_rows",
+            spread=True,
+        )
+        squares = [F.sum(F.col("weight") * F.get("values", F.lit(i)) ** 2) for i in range(len(cols))]
+        variances = [(s or 0.0) / (n or 1.0) for s in compact.agg(*[s.alias(f"s{i}") for i, s in enumerate(squares)]).first()]
+        forest = grow(compact, [f.n_bins() for f in bins.features], variances, k, draws.trees, depth, min_leaf)
+    guessed = rows.withColumn("_guess", forest.predictor()(bins.packed(), F.col("fold")))
+    guess = [F.get("_guess", F.lit(i)) + m for i, m in enumerate(means)]
+    return guessed.select(*rows.columns, *[F.when(ok, as_double(rows, c) - g).alias(f"{c}_res") for c, g in zip(cols, guess)])

@@ -13,6 +13,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from subvent.operators.causal.draws import WORD, bits_of
+
 LEAF_MEANS = ("mz", "mw", "my", "mzy", "mzw")
 # fixed value: a first stage that cancels to below this share of its parts counts as zero
 CANCELLED = 1e-10
@@ -60,7 +62,7 @@ class PackedForest:
 def _average(forest: PackedForest, bins: np.ndarray, allowed: np.ndarray | None, own: dict[int, np.ndarray]):
     """Mean of the leaf means over usable trees, and each tree's leaf and usability.
 
-    ``own`` holds, for features whose bins each tree has for itself, the bins by row and tree.
+    ``allowed`` holds each row's packed bits of the trees it may use, ``own``, for features whose bins each tree has for itself, the bins by row and tree.
     """
     trees = len(forest.feature)
     leaf = np.empty((trees, len(bins)), dtype=np.int32)
@@ -75,7 +77,7 @@ def _average(forest: PackedForest, bins: np.ndarray, allowed: np.ndarray | None,
         leaf[t] = at
         used[t] = forest.filled[t].take(at)
         if allowed is not None:
-            used[t] &= allowed[:, t]
+            used[t] &= bits_of(allowed, t)
         found = forest.means[t].take(at, axis=0)
         # means of an empty leaf are 0, so only trees that are not allowed need masking
         total += found if allowed is None else found * used[t][:, None]
@@ -111,7 +113,7 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def leaf_scorer(forest: PackedForest, oob: bool, variance: bool, ordered: tuple[int, ...] = ()):
-    """An Arrow function of the packed bins (the allowed trees, and the ``ordered`` features' bins per tree) giving a struct per row."""
+    """An Arrow function of the packed bins (the packed bits of the allowed trees, and the ``ordered`` features' bins per tree) giving a struct per row."""
     fields = ["effect double", *(["std_error double"] if variance else []), "n_trees int", "effect_status string"]
 
     def score(bins: pa.Array, allowed: pa.Array | None, arrays: tuple[pa.Array, ...]) -> pa.Array:
@@ -119,7 +121,7 @@ def leaf_scorer(forest: PackedForest, oob: bool, variance: bool, ordered: tuple[
             width = 1
         else:
             width = len(bins.flatten()) // len(bins)
-        usable = None if allowed is None else _matrix(allowed, len(forest.feature)).astype(bool)
+        usable = None if allowed is None else _matrix(allowed, -(-len(forest.feature) // WORD))
         own = {i: _matrix(a, len(forest.feature)) for i, a in zip(ordered, arrays, strict=True)}
         mean, count, leaf, used = _average(forest, _matrix(bins, width), usable, own)
         mz, mw, my, mzy, mzw = mean.T

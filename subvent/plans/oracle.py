@@ -175,6 +175,49 @@ ready AS MATERIALIZED (SELECT r.tree, CAST(r.node AS BIGINT) AS node, bins, CAST
 SELECT tree, node, feature, bin, {r("gain", 2)} AS gain, CAST(n AS BIGINT) AS n, CAST(n_left AS BIGINT) AS n_left FROM best"""
 
 
+def residual_trees() -> str:
+    """Residuals from trees per fold, grown on the rows of the other folds that a tree drew; leaf means are sums of the drawn rows."""
+    targets = ("z", "w", "y")
+    sums = ", ".join(f"sum(s{c}) OVER n AS t_{c}, sum(s{c}) OVER u AS l_{c}" for c in targets)
+    fall = " + ".join(
+        f"(l_{c} * l_{c} / l_n + (t_{c} - l_{c}) * (t_{c} - l_{c}) / (t_n - l_n) - t_{c} * t_{c} / t_n) / v{c}" for c in targets
+    )
+    parts = [
+        f"""WITH {IV_PANEL},
+mean AS (SELECT {", ".join(f"avg({c}) AS m{c}, var_pop({c}) AS v{c}" for c in targets)} FROM iv_panel),
+rows_ AS MATERIALIZED (SELECT unit_id AS unit, CAST(unit_id % {q.RESIDUAL_FOLDS} AS INTEGER) AS fold, [{", ".join(bin_list())}] AS bins,
+    {", ".join(f"{c} - m{c} AS {c}" for c in targets)} FROM iv_panel, mean),
+trees AS (SELECT unnest(range(1, {q.RESIDUAL_TREES + 1})) AS tree),
+folds AS (SELECT CAST(unnest(range({q.RESIDUAL_FOLDS})) AS INTEGER) AS own),
+node0 AS MATERIALIZED (SELECT own, tree, bins, z, w, y, 1 AS node FROM rows_, trees, folds
+  WHERE fold <> own AND {draw("unit", "tree")} < 32768)"""
+    ]
+    for level in range(q.RESIDUAL_DEPTH):
+        parts.append(
+            f"""hist{level} AS (SELECT own, tree, node, feature, bins[feature + 1] AS bin, count(*) AS n, {", ".join(f"sum({c}) AS s{c}" for c in targets)}
+  FROM node{level}, (SELECT unnest(range({len(bin_list())})) AS feature) GROUP BY ALL),
+side{level} AS (SELECT own, tree, node, feature, bin, sum(n) OVER n AS t_n, sum(n) OVER u AS l_n, {sums} FROM hist{level}
+  WINDOW n AS (PARTITION BY own, tree, node, feature),
+    u AS (PARTITION BY own, tree, node, feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+best{level} AS MATERIALIZED (SELECT own, tree, node, feature, bin FROM (SELECT *, {fall} AS gain FROM side{level}, mean
+    WHERE l_n >= {q.MIN_LEAF} AND t_n - l_n >= {q.MIN_LEAF}) WHERE gain > 1e-9 * t_n
+  QUALIFY row_number() OVER (PARTITION BY own, tree, node ORDER BY CAST(gain AS FLOAT) DESC, feature, bin) = 1),
+node{level + 1} AS MATERIALIZED (SELECT d.* EXCLUDE (node),
+    CASE WHEN b.node IS NULL THEN d.node ELSE 2 * d.node + CAST(d.bins[b.feature + 1] > b.bin AS INTEGER) END AS node
+  FROM node{level} d LEFT JOIN best{level} b ON d.own = b.own AND d.tree = b.tree AND d.node = b.node),
+at{level} AS MATERIALIZED (SELECT r.* EXCLUDE (node),
+    CASE WHEN b.node IS NULL THEN r.node ELSE 2 * r.node + CAST(r.bins[b.feature + 1] > b.bin AS INTEGER) END AS node
+  FROM {"(SELECT rows_.*, tree, 1 AS node FROM rows_, trees)" if level == 0 else f"at{level - 1}"} r
+  LEFT JOIN best{level} b ON r.fold = b.own AND r.tree = b.tree AND r.node = b.node)"""
+        )
+    last = q.RESIDUAL_DEPTH
+    parts.append(f"leaf AS (SELECT own, tree, node, {', '.join(f'avg({c}) AS g{c}' for c in targets)} FROM node{last} GROUP BY ALL)")
+    outputs = ", ".join(f"{r(f'any_value(a.{c}) - avg(g{c})')} AS {c}_res" for c in targets)
+    return ",\n".join(parts) + f"""
+SELECT unit AS unit_id, fold, {outputs} FROM at{last - 1} a JOIN leaf l ON a.fold = l.own AND a.tree = l.tree AND a.node = l.node
+GROUP BY unit, fold"""
+
+
 def forest(w: str = "w", bag_size: int = 1, fraction: float = 0.5, residual: bool = False, repeat: str = "") -> str:
     """CTEs ``binned``, ``drawn``, ``splits`` and ``leaves`` of the registered forest."""
     z, y, source = "z", "y", "iv_panel"
@@ -687,6 +730,7 @@ SQL: dict[str, str] = {
     "iv_effect_overall": iv_effect([]),
     "iv_effect_by_band": iv_effect(["high_balance", "priority", "segment"], ", acctbal >= 4500 AS high_balance"),
     "cross_fit_residuals": CROSS_FIT,
+    "cross_fit_residuals_trees": residual_trees(),
     "honest_draws": HONEST_DRAWS,
     "bin_features": BIN_FEATURES,
     "iv_split": IV_SPLIT,

@@ -51,6 +51,7 @@ EDGES = {"acctbal": ACCTBAL_EDGES, "price": PRICE_EDGES}
 COVARIATES = ["acctbal", "price", "priority"]
 TREES, DEPTH, MIN_LEAF = 50, 4, 50
 DRAW_TREES = 10
+RESIDUAL_FOLDS, RESIDUAL_TREES, RESIDUAL_DEPTH = 3, 4, 3
 ORDERED_BINS = 32
 SPLIT_MIN_LEAF = 100
 GROUP_UNITS = 12
@@ -185,6 +186,16 @@ def q_cross_fit_residuals_rf(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("unit_id", "fold", "z_res", "w_res", "y_res")
 
 
+def q_cross_fit_residuals_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """Trees per fold with given folds, edges and draws: the residuals that SQL grows again."""
+    draws = Draws(RESIDUAL_TREES, formula=fixtures.fixture_draw, draw_range=fixtures.DRAW_RANGE)
+    found = cross_fit_residuals(
+        fixtures.iv_panel(spark, folder), ["z", "w", "y"], COVARIATES, k=RESIDUAL_FOLDS, method="rf",
+        fold=F.col("unit_id") % RESIDUAL_FOLDS, depth=RESIDUAL_DEPTH, edges=EDGES, draws=draws, min_leaf=MIN_LEAF,
+    )
+    return _rounded(found.select("unit_id", "fold", "z_res", "w_res", "y_res"))
+
+
 def q_honest_draws(spark: SparkSession, folder: str) -> DataFrame:
     draws = Draws(DRAW_TREES, formula=fixtures.fixture_draw, draw_range=fixtures.DRAW_RANGE)
     return honest_draws(fixtures.iv_panel(spark, folder), "unit_id", DRAW_TREES, draws=draws)
