@@ -18,16 +18,18 @@ from subvent.functions.checks import as_double, complete, refuse, require, weigh
 from subvent.operators.causal.bins import EACH, ORDERED, FeatureBins, learn_bins_and
 from subvent.operators.causal.draws import Draws
 from subvent.operators.causal.levels import LEVELS_SCHEMA, in_tree, learn_levels, tree_bins
-from subvent.operators.causal.scoring import LEAF_MEANS, PackedForest, leaf_scorer
+from subvent.operators.causal.scoring import LEAF_MEANS, PackedForest, bag_summer, leaf_scorer, leaf_summer, summed_scorer
 from subvent.operators.causal.split import SUMS, best_splits, histogram, row_sums
-from subvent.sources.staging import scratch, stage
+from subvent.sources.staging import drop_paths, kept_path, new_path, scratch, stage
 
 SPLITS_SCHEMA = "tree int, node bigint, feature int, bin int, gain double"
 LEAVES_SCHEMA = "tree int, node bigint, n bigint, mz double, mw double, my double, mzy double, mzw double"
 # Partial sums a task may hold at a time; more trees than fit are grown in further passes.
 GROUPS_PER_PASS = 4_000_000
-# Bound on the broadcast tree tables, some 20 MB.
+# Bound on the broadcast tree tables, some 20 MB; a forest of more nodes is grown in groups of trees.
 MOST_NODES = 1_000_000
+# Nodes that a Python worker holds when it scores, some 200 MB; a forest of more is scored in passes over groups of trees.
+MOST_SCORED = 4_000_000
 # Units are merged into cells of equal bins when that leaves at least this many rows per cell.
 ROWS_PER_CELL = 8
 
@@ -82,11 +84,19 @@ class IVForest:
             spark.read.schema(LEVELS_SCHEMA).parquet(f"{path}/levels") if bins.ordered() else None,
         )
 
-    def packed(self) -> PackedForest:
-        """Both tables as arrays for scoring: trees x 2^depth entries."""
-        return PackedForest.build(
-            self.splits.toPandas(), self.leaves.toPandas(), self.draws.trees, self.depth, self.draws.bag_size
-        )
+    def packed(self, first: int = 1, last: int | None = None) -> PackedForest:
+        """Both tables as arrays for scoring by trees ``first`` to ``last``: 2^depth entries per tree."""
+        last = last or self.draws.trees
+        splits, leaves = self.splits, self.leaves
+        if (first, last) != (1, self.draws.trees):
+            splits, leaves = (t.filter(F.col("tree").between(first, last)) for t in (splits, leaves))
+        return PackedForest.build(splits.toPandas(), leaves.toPandas(), last - first + 1, self.depth, self.draws.bag_size, first)
+
+    def in_passes(self) -> list[tuple[int, int]]:
+        """First and last trees of groups whose nodes a worker can hold; bags stay whole, and a forest within the bound is one group."""
+        bag = self.draws.bag_size
+        size = max(1, MOST_SCORED // (2**self.depth * bag)) * bag
+        return [(a, min(a + size - 1, self.draws.trees)) for a in range(1, self.draws.trees + 1, size)]
 
 
 def _slot(node: str, tree: str, trees: int) -> Column:
@@ -197,6 +207,8 @@ def iv_forest_fit(
     forbids it. A row without a unit, or with a NULL, NaN or infinity in z, w, y or ``raw_z``, is left out and counted
     in ``n_dropped``. A row with a ``weight`` counts as that many rows of its unit, also for ``min_leaf``; one without a
     positive weight is left out. Learned edges, and the shift of z, w and y, take each row once. Tables written on the way are deleted before the forest is returned.
+    A forest of more than ``MOST_NODES`` nodes is grown in groups of trees, by the same rules; its own tables then stay staged until
+    ``drop_staged``, and ``save`` keeps them. A single tree has at most that many, so ``depth`` is at most 19.
     """
     raw_z = raw_z or z
     require(panel, [unit, *x], [z, w, y, raw_z] + ([weight] if weight else []))
@@ -205,8 +217,8 @@ def iv_forest_fit(
     if values not in (ORDERED, EACH):
         raise ValueError(f"values must be '{ORDERED}' or '{EACH}', not {values!r}")
     draws = draws or Draws(trees, fraction, seed)
-    if draws.trees * 2**depth > MOST_NODES:
-        raise ValueError(f"trees * 2^depth may be at most {MOST_NODES}: the tree tables are broadcast")
+    if 2**depth > MOST_NODES:
+        raise ValueError(f"2^depth may be at most {MOST_NODES}: a tree's table is broadcast")
     spark = panel.sparkSession
     ok = complete([z, w, y, raw_z]) & F.col(unit).isNotNull() & weighted(weight)
     rows = panel.filter(ok)
@@ -283,39 +295,47 @@ def _grow(
         return merged.filter((F.col("half") == half) & F.col("tree").between(first, last)).drop("half")
 
     sums_per_node = sum(f.n_bins() for f in bins.features)
-    found: list[tuple] = []
-    for level in range(depth):
-        per_pass = max(1, GROUPS_PER_PASS // (2**level * max(sums_per_node, 1)))
+
+    def grown(first: int, last: int) -> tuple[DataFrame, DataFrame]:
+        """Splits, as local data, and leaves of some trees whose nodes are few enough to broadcast."""
+        found: list[tuple] = []
+        for level in range(depth):
+            per_pass = max(1, GROUPS_PER_PASS // (2**level * max(sums_per_node, 1)))
+            splits = _small_table(spark, sorted(found), SPLITS_SCHEMA)
+            new = []
+            for a in range(first, last + 1, per_pass):
+                b = min(a + per_pass - 1, last)
+                at_level = _descend(half_rows(a, b, True), splits, draws.trees, level, stay=False)
+                if not two_values:
+                    at_level = _above_own_mean(at_level, draws.trees)
+                new += [
+                    (r["tree"], r["node"], r["feature"], r["bin"], r["gain"])
+                    for r in best_splits(histogram(at_level), min_leaf).collect()
+                ]
+            found += new
+            if not new:
+                break
         splits = _small_table(spark, sorted(found), SPLITS_SCHEMA)
-        new = []
-        for first in range(1, draws.trees + 1, per_pass):
-            last = min(first + per_pass - 1, draws.trees)
-            at_level = _descend(half_rows(first, last, True), splits, draws.trees, level, stay=False)
-            if not two_values:
-                at_level = _above_own_mean(at_level, draws.trees)
-            new += [
-                (r["tree"], r["node"], r["feature"], r["bin"], r["gain"])
-                for r in best_splits(histogram(at_level), min_leaf).collect()
-            ]
-        found += new
-        if not new:
-            break
-    splits = _small_table(spark, sorted(found), SPLITS_SCHEMA)
-    in_leaf = _descend(half_rows(1, draws.trees, False), splits, draws.trees, depth, stay=True)
-    leaves = in_leaf.groupBy("tree", "node").agg(
-        F.round(F.sum("n")).cast("bigint").alias("n"),
-        *[(F.sum(s) / F.sum("n")).alias(m) for s, m in zip(("sz", "sw", "sy", "szy", "szw"), LEAF_MEANS)],
-    )
-    return IVForest(
-        splits,
-        _small_table(spark, sorted(tuple(r) for r in leaves.collect()), LEAVES_SCHEMA),
-        bins,
-        draws,
-        depth,
-        n,
-        n_dropped,
-        levels=levels,
-    )
+        in_leaf = _descend(half_rows(first, last, False), splits, draws.trees, depth, stay=True)
+        leaves = in_leaf.groupBy("tree", "node").agg(
+            F.round(F.sum("n")).cast("bigint").alias("n"),
+            *[(F.sum(s) / F.sum("n")).alias(m) for s, m in zip(("sz", "sw", "sy", "szy", "szw"), LEAF_MEANS)],
+        )
+        return splits, leaves
+
+    at_once = MOST_NODES // 2**depth
+    if draws.trees <= at_once:
+        splits, leaves = grown(1, draws.trees)
+        leaves = _small_table(spark, sorted(tuple(r) for r in leaves.collect()), LEAVES_SCHEMA)
+    else:
+        split_path, leaf_path = kept_path(spark, "forest_splits"), kept_path(spark, "forest_leaves")
+        for first in range(1, draws.trees + 1, at_once):
+            splits, leaves = grown(first, min(first + at_once - 1, draws.trees))
+            splits.write.parquet(split_path, mode="append")
+            leaves.write.parquet(leaf_path, mode="append")
+        splits = spark.read.schema(SPLITS_SCHEMA).parquet(split_path)
+        leaves = spark.read.schema(LEAVES_SCHEMA).parquet(leaf_path)
+    return IVForest(splits, leaves, bins, draws, depth, n, n_dropped, levels=levels)
 
 
 def _small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -343,10 +363,45 @@ def _score(df: DataFrame, model: IVForest, oob: bool, unit: str, variance: bool)
             raise ValueError("the forest was grown with a draw formula; pass it to IVForest.load to score out of bag")
         inputs.append(model.draws.packed(F.col(unit), inside=False))
     inputs += [F.col(f"_{_array(i)}") for i in model.bins.ordered()]
+    passes = model.in_passes()
+    if len(passes) > 1:
+        return _score_in_passes(df, columns, inputs, model, passes, oob, variance, outputs)
     score = leaf_scorer(model.packed(), oob, variance, tuple(model.bins.ordered()))
     return df.withColumn("_score", score(*inputs)).select(*columns, *[F.col(f"_score.{c}") for c in outputs])
 
 
+def _score_in_passes(
+    df: DataFrame, columns: list[str], inputs: list[Column], model: IVForest, passes: list[tuple[int, int]], oob: bool, variance: bool, outputs: list[str]
+) -> DataFrame:
+    """Scores by a forest that no worker holds whole: sums per row are written after each group of trees and go on with the next.
+
+    Rows stay in their places; the last pass's table is staged until ``drop_staged``.
+    """
+    spark, ordered = df.sparkSession, tuple(model.bins.ordered())
+    given = [f"in{i}" for i in range(len(inputs))]
+    rows = df.select(F.struct(*columns).alias("row"), *[c.alias(g) for c, g in zip(inputs, given)])
+    written: list[str] = []
+
+    def add(name: str, summer: Callable, *more: str) -> None:
+        """Write the rows with sums ``name`` of all groups so far, in place of those before."""
+        nonlocal rows
+        for first, last in passes:
+            if name not in rows.columns:
+                rows = rows.withColumn(name, F.lit(None).cast("array<double>"))
+            found = summer(model.packed(first, last), first - 1, oob, ordered)(*more, name, *given)
+            path = new_path(spark, "forest_scores")
+            rows.withColumn(name, found).write.parquet(path)
+            rows = spark.read.schema(rows.schema).parquet(path)
+            drop_paths(spark, written)
+            written[:] = [path]
+
+    add("sums", leaf_summer)
+    if variance:
+        add("bags", bag_summer, "sums")
+    score = summed_scorer(model.draws.bag_size, variance)(*(["sums", "bags"] if variance else ["sums"]))
+    return rows.withColumn("score", score).select(*[F.col(f"row.`{c}`").alias(c) for c in columns], *[F.col(f"score.{c}") for c in outputs])
+
+
 def iv_forest_predict(df: DataFrame, model: IVForest, oob: bool = False, unit: str = "unit_id") -> DataFrame:
     """``df`` with ``effect``, ``n_trees`` and ``effect_status`` per row.
 

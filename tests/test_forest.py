@@ -178,3 +178,47 @@ def test_variance_matches_the_spread_over_refits(spark, iv_panel):
 def test_variance_needs_bags(iv_panel, forest):
     with pytest.raises(ValueError, match="bag"):
         iv_forest_variance(iv_panel, forest)
+
+
+def test_groups_of_trees_equal_one_forest(spark, iv_panel, monkeypatch, tmp_path):
+    """Trees grown and scored in groups, as large forests are, are those of one go, with their effects and errors to the last digit."""
+    from subvent.operators.causal import forest as module
+
+    x = ["acctbal", "price", "kind"]
+    panel = iv_panel.withColumn("kind", F.concat(F.lit("k"), F.col("unit_id") % 300))
+    kwargs = dict(depth=2, edges=EDGES, merge=False, draws=Draws(6, 0.4, seed=3, bag_size=2))
+
+    def scores(model):
+        found = [iv_forest_predict(panel, model), iv_forest_variance(panel, model, oob=True)]
+        return [f.toPandas().sort_values("unit_id", ignore_index=True) for f in found]
+
+    whole = iv_forest_fit(panel, "z", "w", "y", x, **kwargs)
+    want = scores(whole)
+    monkeypatch.setattr(module, "MOST_NODES", 12)
+    monkeypatch.setattr(module, "MOST_SCORED", 16)
+    parts = iv_forest_fit(panel, "z", "w", "y", x, **kwargs)
+    assert parts.in_passes() == [(1, 4), (5, 6)]
+    columns = ["tree", "node", "feature", "bin"]
+    assert sorted(map(tuple, parts.splits.select(columns).collect())) == sorted(map(tuple, whole.splits.select(columns).collect()))
+    a, b = (f.leaves.toPandas().sort_values(["tree", "node"], ignore_index=True) for f in (whole, parts))
+    assert np.allclose(a, b, rtol=1e-12)
+    for one, two in zip(want, scores(parts)):
+        assert list(one.columns) == list(two.columns)
+        assert (one["n_trees"] == two["n_trees"]).all() and (one["effect_status"] == two["effect_status"]).all()
+        for c in {"effect", "std_error"} & set(one.columns):
+            assert np.allclose(one[c], two[c], rtol=1e-9, equal_nan=True)
+    parts.save(str(tmp_path / "large"))
+    again = IVForest.load(spark, str(tmp_path / "large"))
+    assert again.leaves.count() == parts.leaves.count()
+    with pytest.raises(ValueError, match="depth"):
+        iv_forest_fit(panel, "z", "w", "y", x, trees=1, depth=4)
+
+
+def test_passes_on_no_rows(iv_panel, monkeypatch):
+    from subvent.operators.causal import forest as module
+
+    monkeypatch.setattr(module, "MOST_SCORED", 4)
+    model = iv_forest_fit(iv_panel, "z", "w", "y", ["acctbal"], trees=3, depth=2, edges=EDGES)
+    assert len(model.in_passes()) == 3
+    scored = iv_forest_predict(iv_panel.limit(0), model)
+    assert scored.count() == 0 and scored.columns[-3:] == ["effect", "n_trees", "effect_status"]
