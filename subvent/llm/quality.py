@@ -3,8 +3,10 @@
 A logistic classifier over shapes of text gives each document a likelihood ratio of good against bad. Sums of the
 expected good documents of each path and host are shrunk towards the host and towards the corpus: a path with few
 documents takes its host's share of good ones, a host with few that of all. How strongly is itself estimated, from how
-much hosts, and paths within hosts, differ beyond chance. A document's probability is its site's share, updated by
-its own likelihood ratio.
+much hosts, and paths within hosts, differ beyond chance. A document's probability is the share of the others of its
+site, updated by its own likelihood ratio, which so counts once.
+
+Harm is told by words: those that labelled documents show to be surely commoner in harmful ones than in others.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ TRAIN_ROWS = 20_000
 RIDGE, STEPS, MOST_EVIDENCE = 1e-4, 30, 8.0
 #: Documents good with at least this probability are kept.
 KEEP = 0.5
+#: Documents harmful with at least this probability are not kept; a word counts for what its log ratio is beyond so many standard errors.
+HARMFUL, SURE = 0.5, 3.0
 #: Bounds of the strength of a prior, in documents.
 WEAKEST, STRONGEST = 1.0, 1e6
 
@@ -107,9 +111,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, text: str = "text", id_co
     A document with several labels counts with their mean; those with a NULL id, text or label are left out. Without
     labels of both kinds there is no evidence: all likelihood ratios are 1.
     """
-    known = labels.select(F.col(id_col).alias("id"), F.col(label).cast("double").alias("good")).filter("id IS NOT NULL AND good IS NOT NULL")
-    known = known.groupBy("id").agg(F.avg("good").alias("good")).orderBy(F.xxhash64("id"), "id").limit(rows)
-    found = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).filter("text IS NOT NULL").join(F.broadcast(known), "id")
+    found = _labelled(docs, labels, text, id_col, label, rows).withColumnRenamed("mean", "good")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_kept()
@@ -130,6 +132,70 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, text: str = "text", id_co
     return _fitted(x, order.column("good").to_numpy())
 
 
+def _labelled(docs: DataFrame, labels: DataFrame, text: str, id_col: str, label: str, rows: int) -> DataFrame:
+    """``id``, ``text`` and the ``mean`` of the labels of at most ``rows`` labelled documents."""
+    known = labels.select(F.col(id_col).alias("id"), F.col(label).cast("double").alias("mean")).filter("id IS NOT NULL AND mean IS NOT NULL")
+    known = known.groupBy("id").agg(F.avg("mean").alias("mean")).orderBy(F.xxhash64("id"), "id").limit(rows)
+    return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).filter("text IS NOT NULL").join(F.broadcast(known), "id")
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Runs of letters in lower case, empty ones included, and the text of each."""
+    lists = pc.split_pattern_regex(pc.utf8_lower(texts), r"[^\pL]+")
+    counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    return lists.flatten(), np.repeat(np.arange(len(texts)), counts)
+
+
+@dataclass(frozen=True)
+class WordEvidence:
+    """Words of harmful documents, their log likelihood ratios less ``SURE`` standard errors, and the log odds of harm."""
+
+    words: tuple[str, ...]
+    weights: np.ndarray
+    base: float
+
+    def probability(self, texts: pa.Array) -> np.ndarray:
+        """Of harm, by the distinct known words of each text; 0 for a text that has none, whatever the share of harmful ones."""
+        if not self.words:
+            return np.zeros(len(texts))
+        flat, row = _words(texts)
+        at = pc.index_in(flat, value_set=pa.array(self.words, pa.large_string()))
+        known = at.is_valid().to_numpy(zero_copy_only=False)
+        pairs = np.unique(row[known] * len(self.words) + at.drop_null().to_numpy())
+        odds = self.base + np.bincount(pairs // len(self.words), self.weights[pairs % len(self.words)], minlength=len(texts))
+        some = np.bincount(row[known], minlength=len(texts)) > 0
+        return np.where(some, 1 / (1 + np.exp(-np.clip(odds, -30, 30))), 0.0)
+
+
+def fit_words(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label: str = "toxic", rows: int = TRAIN_ROWS) -> WordEvidence:
+    """Words that tell harm, from at most ``rows`` labelled documents, chosen as by :func:`fit_classifier`.
+
+    Equal texts count once, as harmful if half of their labels or more say so. Without documents of both kinds no word tells anything.
+    """
+    found = staged(_labelled(docs, labels, text, id_col, label, rows).groupBy("text").agg((F.avg("mean") >= 0.5).alias("bad")), "harm_texts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, bad = strings(batch, "text"), batch.column("bad")
+            for i, j in slices(texts, SMALL_SLICE):
+                flat, row = _words(texts.slice(i, j - i))
+                coded = flat.dictionary_encode()
+                size = max(1, len(coded.dictionary))
+                pairs = np.unique(row * size + np.asarray(coded.indices))
+                words = coded.dictionary.take(pa.array(pairs % size))
+                yield pa.RecordBatch.from_arrays([words.cast(pa.string()), bad.slice(i, j - i).take(pa.array(pairs // size))], ["word", "bad"])
+
+    n, n_bad = found.agg(F.count("*"), F.count_if("bad")).first()
+    if not 0 < n_bad < n:
+        return WordEvidence((), np.zeros(0), 0.0)
+    n_good = n - n_bad
+    counts = found.mapInArrow(run, "word string, bad boolean").filter("word != ''").groupBy("word").agg(F.count_if("bad").alias("a"), F.count_if(~F.col("bad")).alias("b"))
+    a, b = F.col("a") + 0.5, F.col("b") + 0.5
+    ratio = F.log(a / (n_bad + 1)) - F.log(b / (n_good + 1)) - SURE * F.sqrt(1 / a + 1 / b)
+    told = counts.select("word", ratio.alias("weight")).filter("weight > 0").orderBy("word").collect()  # of the sample's words
+    return WordEvidence(tuple(r["word"] for r in told), np.array([r["weight"] for r in told]), float(np.log(n_bad / n_good)))
+
+
 def _fitted(x: np.ndarray, good: np.ndarray) -> Classifier:
     share = float(good.mean())
     if not 0 < share < 1:
@@ -173,8 +239,13 @@ def posterior(
     path: Column,
     text: str = "text",
     keep: float = KEEP,
+    harm: WordEvidence | None = None,
 ) -> DataFrame:
-    """Per row: ``doc`` (a struct of the row, as it was), ``evidence``, ``host_good``, ``path_good``, ``p_good``, ``keep``.
+    """Per row: ``doc`` (a struct of the row, as it was), ``evidence``, ``host_good``, ``path_good``, ``p_good``, ``p_harm``, ``keep``.
+
+    Shares of host and path are those of their other rows: a row's own evidence is in ``p_good`` once. A path or host of one row takes
+    the share above it, and a table of one row that of the labels. ``keep`` asks for ``p_good`` of ``keep`` and ``p_harm`` below ``HARMFUL``;
+    without ``harm``, ``p_harm`` is 0.
 
     ``host`` and ``path`` are expressions over ``docs``; a path belongs to its host. NULL is a host, or a path of a host, like any
     other. A NULL or empty text is no evidence: its probability is its path's. Rows with the same id count each. The row
@@ -184,41 +255,51 @@ def posterior(
     in a join whose right side is one row per site; if it is too large to be broadcast, Spark splits a large site's rows.
     """
     spark = docs.sparkSession
-    held = shared(spark, classifier)
+    held = shared(spark, (classifier, harm or WordEvidence((), np.zeros(0), 0.0)))
     site = [host.cast("string").alias("host"), path.cast("string").alias("path")]
     wrapped = docs.select(F.struct("*").alias("doc"), *site)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_kept()
-        own = held()
+        own, words = held()
         for batch in batches:
             texts = field(batch.column("doc"), text) if "doc" in batch.schema.names else strings(batch, "_text")
             for i, j in slices(texts, SMALL_SLICE):
-                found = pa.array(own.evidence(texts.slice(i, j - i)))
-                part = batch.slice(i, j - i)
+                some, part = texts.slice(i, j - i), batch.slice(i, j - i)
+                found = {"evidence": pa.array(own.evidence(some))}
+                if "doc" in part.schema.names:
+                    found["p_harm"] = pa.array(words.probability(some))
                 names = [c for c in part.schema.names if c != "_text"]
-                yield pa.RecordBatch.from_arrays([*map(part.column, names), found], [*names, "evidence"])
+                yield pa.RecordBatch.from_arrays([*map(part.column, names), *found.values()], [*names, *found])
 
     sites = T.StructType([T.StructField(c, T.StringType()) for c in ("host", "path")] + [T.StructField("evidence", T.DoubleType())])
-    whole = T.StructType([T.StructField("doc", wrapped.schema["doc"].dataType), *sites.fields])
+    whole = T.StructType([T.StructField("doc", wrapped.schema["doc"].dataType), *sites.fields, T.StructField("p_harm", T.DoubleType())])
     chance = F.lit(1.0) / (1.0 + F.exp(-(F.col("evidence") + F.lit(classifier.base))))
+    own = F.round(chance, 9).cast("decimal(28,9)")  # a decimal: sums do not depend on the order of rows
     seen = docs.select(F.col(text).alias("_text"), *site).mapInArrow(run, sites)
-    paths = staged(seen.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(F.round(chance, 9).cast("decimal(28,9)")).cast("double").alias("good")), "paths")
+    paths = staged(seen.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(own).cast("double").alias("good")), "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum(F.col("good").cast("decimal(28,9)")).cast("double").alias("hgood"))
     total = hosts.agg(F.sum("hn"), F.sum(F.col("hgood").cast("decimal(28,9)"))).first()
-    overall = min(1 - 1e-6, max(1e-6, float(total[1]) / total[0])) if total[0] else 0.5
+    n, good = (total[0], float(total[1])) if total[0] else (0, 0.0)
+    overall = min(1 - 1e-6, max(1e-6, good / n)) if n else 0.5
     of_host = strength(hosts, "hn", "hgood", F.lit(overall))
-    hosts = hosts.withColumn("host_good", (F.col("hgood") + of_host * overall) / (F.col("hn") + of_host)).select("host", "host_good")
-    named = hosts.select(F.col("host").alias("of"), "host_good")
-    paths = staged(paths.join(named, F.col("host").eqNullSafe(F.col("of"))).drop("of"), "paths")
-    of_path = strength(paths, "n", "good", F.col("host_good"))
-    priors = paths.select(
-        F.col("host").alias("_host"), F.col("path").alias("_path"), "host_good", ((F.col("good") + of_path * F.col("host_good")) / (F.col("n") + of_path)).alias("path_good")
-    )
-    scored = wrapped.mapInArrow(run, whole)
+    named = hosts.select(F.col("host").alias("of"), "hn", "hgood")
+    shrunk = (F.col("hgood") + of_host * overall) / (F.col("hn") + of_host)
+    paths = staged(paths.join(named, F.col("host").eqNullSafe(F.col("of"))).drop("of").withColumn("prior", shrunk), "paths")
+    of_path = strength(paths, "n", "good", F.col("prior"))
+    priors = paths.select(F.col("host").alias("_host"), F.col("path").alias("_path"), "n", "good", "hn", "hgood")
+    inside = lambda share: F.least(F.greatest(share, F.lit(1e-6)), F.lit(1 - 1e-6))
+    mine = own.cast("double")
+    others = inside((F.lit(good) - mine) / (n - 1)) if n > 1 else F.lit(float(1 / (1 + np.exp(-classifier.base))))
+    host_good = inside((F.col("hgood") - mine + of_host * others) / (F.col("hn") - 1 + of_host))
+    path_good = inside((F.col("good") - mine + of_path * F.col("host_good")) / (F.col("n") - 1 + of_path))
     odds = F.log(F.col("path_good") / (1 - F.col("path_good"))) + F.col("evidence")
+    kept = (F.col("p_good") >= keep) & (F.col("p_harm") < HARMFUL)
     return (
-        scored.join(priors, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path")), "left")
+        wrapped.mapInArrow(run, whole)
+        .join(priors, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path")), "left")
+        .withColumn("host_good", host_good)
+        .withColumn("path_good", path_good)
         .withColumn("p_good", 1.0 / (1.0 + F.exp(-odds)))
-        .select("doc", "evidence", "host_good", "path_good", "p_good", (F.col("p_good") >= keep).alias("keep"))
+        .select("doc", "evidence", "host_good", "path_good", "p_good", "p_harm", kept.alias("keep"))
     )

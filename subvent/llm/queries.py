@@ -47,9 +47,10 @@ def op2_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    classifier = quality.fit_classifier(docs, _table(spark, sf_dir, "labels"))
-    found = quality.posterior(docs, classifier, host=F.col("source"), path=F.col("lang"))
-    return found.select("doc.doc_id", "evidence", "host_good", "path_good", "p_good", "keep")
+    labels = _table(spark, sf_dir, "labels")
+    classifier, harm = quality.fit_classifier(docs, labels), quality.fit_words(docs, labels)
+    found = quality.posterior(docs, classifier, host=F.col("source"), path=F.col("lang"), harm=harm)
+    return found.select("doc.doc_id", "evidence", "host_good", "path_good", "p_good", "p_harm", "keep")
 
 
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

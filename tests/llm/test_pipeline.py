@@ -46,10 +46,10 @@ def test_language_keeps_what_has_letters(stages, documents):
 
 
 def test_quality_keeps_the_good(stages, small):
-    labels = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{small}/labels.parquet'").fetchall())
+    labels = duckdb.sql(f"SELECT doc_id, quality, toxic FROM '{small}/labels.parquet'").fetchall()
     kept = {r["doc_id"] for r in stages["quality"].collect()}
-    good = [i for i, q in labels.items() if q == 1]
-    bad = [i for i, q in labels.items() if q == 0]
+    good = [i for i, q, toxic in labels if q == 1 and not toxic]
+    bad = [i for i, q, _ in labels if q == 0]
     assert all(i in kept for i in good)
     assert sum(i in kept for i in bad) <= 0.3 * len(bad)
 

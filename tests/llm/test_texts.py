@@ -144,19 +144,51 @@ def test_posterior_by_hand(graded, spark):
         seen, by_chance, more = (n * (good / n - prior) ** 2).sum(), spread.sum(), ((n - 1) * spread).sum()
         return quality.STRONGEST if seen <= by_chance else min(quality.STRONGEST, max(quality.WEAKEST, more / (seen - by_chance) - 1))
 
-    s = strength([(len(x), sum(x), overall) for x in hosts.values()])
-    host = {h: (sum(x) + s * overall) / (len(x) + s) for h, x in hosts.items()}
+    s_host = strength([(len(x), sum(x), overall) for x in hosts.values()])
+    host = {h: (sum(x) + s_host * overall) / (len(x) + s_host) for h, x in hosts.items()}
     s = strength([(len(x), sum(x), host[h]) for (h, _), x in paths.items()])
-    path = {k: (sum(x) + s * host[k[0]]) / (len(x) + s) for k, x in paths.items()}
-    for r, e in zip(found, evidence, strict=True):
-        own = path[r["doc"]["source"], r["doc"]["lang"]]
+    for r, e, c in zip(found, evidence, chance, strict=True):  # sites without the document itself
+        here, there = paths[r["doc"]["source"], r["doc"]["lang"]], hosts[r["doc"]["source"]]
+        others = (chance.sum() - c) / (len(chance) - 1)
+        of_host = (sum(there) - c + s_host * others) / (len(there) - 1 + s_host)
+        own = (sum(here) - c + s * of_host) / (len(here) - 1 + s)
         p = 1 / (1 + np.exp(-(np.log(own / (1 - own)) + e)))
-        assert (r["host_good"], r["path_good"], r["p_good"]) == pytest.approx((host[r["doc"]["source"]], own, p), rel=1e-5)
-        assert r["keep"] == (r["p_good"] >= 0.5)
+        assert (r["host_good"], r["path_good"], r["p_good"]) == pytest.approx((of_host, own, p), rel=1e-5)
+        assert r["p_harm"] == 0 and r["keep"] == (r["p_good"] >= 0.5)
         if r["doc"]["text"]:
             assert r["keep"] == (not r["doc"]["text"].isupper())
 
 
+def test_words_tell_harm(spark):
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(300):
+        text = sentence(rng, LANGUAGES["aa"], 30)
+        bad = i % 2 == 0
+        rows.append((i, text + (f" You {rng.choice(['Scum', 'LOSER'])}!" if bad else " You friend!"), "h", "en"))
+        labels.append((i, 1, int(bad)) if i < 200 else (i, 1, None))
+    rows += [(900, None, None, None), (901, "", "h", "en"), (902, "scum " * 400_000, "h", "en"), (903, "scumbag", "h", "en")] + rows[:2]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    graded = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    harm = quality.fit_words(docs, graded)
+    assert {"scum", "loser"} <= set(harm.words) and "you" not in harm.words and "friend" not in harm.words
+    n_bad, n_good = 100, 100
+    bad = [r[1].lower() for r in rows[:200] if r[0] % 2 == 0]
+    a, b = sum("scum" in t for t in bad) + 0.5, 0.5  # by hand
+    want = np.log(a / (n_bad + 1)) - np.log(b / (n_good + 1)) - quality.SURE * np.sqrt(1 / a + 1 / b)
+    assert harm.weights[harm.words.index("scum")] == pytest.approx(want)
+    assert harm.base == pytest.approx(np.log(n_bad / n_good))
+    blind = quality.Classifier(np.zeros(quality.N_FEATURES), 0.0)
+    found = quality.posterior(docs, blind, docs["source"], docs["lang"], harm=harm).collect()
+    assert len(found) == len(rows)
+    caught = sorted(r["doc"]["doc_id"] for r in found if r["p_harm"] >= quality.HARMFUL)
+    assert caught == sorted(r[0] for r in rows if r[0] == 902 or r[0] < 300 and r[0] % 2 == 0)
+    assert all(r["p_harm"] < quality.HARMFUL or not r["keep"] for r in found)
+    for none in (graded.filter("toxic = 0"), graded.filter("false")):
+        assert quality.fit_words(docs, none).words == ()
+    assert quality.fit_words(docs.filter("false"), graded).words == ()
+
+
 def test_sparse_sites_shrink(spark):
     rows = [("a", 1000, 900.0, 0.5), ("b", 1000, 300.0, 0.5), ("c", 1000, 500.0, 0.5)]
     groups = spark.createDataFrame(rows, "g string, n bigint, good double, p double")
