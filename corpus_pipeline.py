@@ -52,10 +52,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_cleared
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that are more likely good than bad, by their text, source and language."""
+    """Keeps documents that are more likely good than bad, by their text, source and language, and not toxic by their words."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    classifier = quality.fit_classifier(docs, labels)
-    found = quality.posterior(docs, classifier, host=F.col("source"), path=F.col("lang"))
+    classifier, harm = quality.fit_classifier(docs, labels), quality.fit_words(docs, labels)
+    found = quality.posterior(docs, classifier, host=F.col("source"), path=F.col("lang"), harm=harm)
     return found.filter("keep").select("doc.*")
 
 
