@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import json
 import pickle
 import re
@@ -9,6 +10,7 @@ import sys
 import types
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -88,6 +90,11 @@ def field(structs: pa.Array, name: str) -> pa.Array:
     return pc.fill_null(pc.struct_field(structs, [name]).cast(pa.large_string()), "")
 
 
+def listed(texts: pa.Array) -> list[str]:
+    """The ``texts`` (no NULL) as Python strings, made at once and not value by value."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``limit`` bytes, at least one row each."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
@@ -159,7 +166,7 @@ class Units:
         if new:
             found = self.encode(new)
             lengths = np.fromiter(map(len, found), np.int64, len(found))
-            ids = np.fromiter((i for x in found for i in x), np.int32, int(lengths.sum()))
+            ids = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
             self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
@@ -200,11 +207,11 @@ class Units:
         flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
         offsets = offsets - offsets[0]
         coded = flat.dictionary_encode()
-        pieces = coded.dictionary.to_pylist()
+        pieces = listed(coded.dictionary)
         if self.spaced:
             first = flat.take(pa.array(offsets[:-1])).dictionary_encode()
             entries = self._look_up([" " + p for p in pieces])[np.asarray(coded.indices)]
-            entries[offsets[:-1]] = self._look_up(first.dictionary.to_pylist())[np.asarray(first.indices)]
+            entries[offsets[:-1]] = self._look_up(listed(first.dictionary))[np.asarray(first.indices)]
         else:
             entries = self._look_up(pieces)[np.asarray(coded.indices)] if pieces else np.zeros(0, np.int64)
         lengths = self.lengths[entries]
@@ -231,24 +238,14 @@ def library_units(path: str, added_tokens: bool = False) -> Units:
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = not added_tokens
-    model, to_chars = tokenizer.model, byte_characters()
-    space = to_chars[0x20]
+    tokenize, shown = tokenizer.model.tokenize, "".join(byte_characters())
     with open(path, encoding="utf-8") as file:
         plan = json.load(file)
-    known: dict[str, list[int]] = {}
+    short: dict[str, list[int]] = {}
     spaced = plan["normalizer"] is None  # one letter run, after a space or not, is one match of either pattern
 
     def part(text: str) -> list[int]:
-        found = known.get(text)
-        if found is None:
-            if text.isascii() and text.isprintable():  # such bytes stand for themselves, but for the space
-                shown = text.replace(" ", space)
-            else:
-                shown = "".join([to_chars[b] for b in text.encode()])
-            found = [t.id for t in model.tokenize(shown)]
-            if len(text) <= 3:
-                known[text] = found
-        return found
+        return [t.id for t in tokenize(codecs.charmap_decode(text.encode(), "strict", shown)[0])]
 
     split, lower = None, False
     cutter, normal = plan["pre_tokenizer"] or {}, plan["normalizer"]
@@ -264,13 +261,25 @@ def library_units(path: str, added_tokens: bool = False) -> Units:
 
     def encode(pieces: list[str]) -> list[list[int]]:
         out: list[list[int] | None] = []
+        seen: dict[str, list[int]] = {}  # parts of these pieces; only short ones are kept for the next
+
+        def ids_of(text: str) -> list[int]:
+            found = short.get(text) or seen.get(text)
+            if found is None:
+                found = part(text)
+                (short if len(text) <= 3 else seen)[text] = found
+            return found
+
         for p in pieces:
             if split is None or not _latin(p):
                 out.append(None)
                 continue
             low = p.lower() if lower else p
-            parts = [low] if low[spaced:].isalpha() and (not spaced or low[0] == " ") else split(low)
-            out.append(part(parts[0]) if len(parts) == 1 else [i for x in parts for i in part(x)])
+            if low[spaced:].isalpha() and (not spaced or low[0] == " "):
+                out.append(ids_of(low))
+            else:
+                parts = split(low)
+                out.append(ids_of(parts[0]) if len(parts) == 1 else [i for x in parts for i in ids_of(x)])
         rest = [k for k, x in enumerate(out) if x is None]
         for k in range(0, len(rest), 1024):
             some = rest[k : k + 1024]
