@@ -26,6 +26,18 @@ def recu(col: Column, power: float = 2) -> Column:
     return F.when(col > 0, _raise(col, power)).when(col.isNotNull(), F.lit(0.0))
 
 
+def recu_growth(col: Column, step: Column, power: float = 2) -> Column:
+    """``recu(col + step) - recu(col)``, exact to the last digits also where the two are large and close."""
+    power = check_power(power)
+    col, step = col.cast("double"), step.cast("double")
+    to = col + step
+    if power == 2:
+        both = step * (col + to)
+    else:
+        both = F.pow(col, F.lit(power)) * F.expm1(F.lit(power) * F.log1p(step / col))
+    return F.when((col > 0) & (to > 0), both).when((col > 0) & (to <= 0), -recu(col, power)).otherwise(recu(to, power))
+
+
 def recu_slope(col: Column, power: float = 2) -> Column:
     """Derivative of :func:`recu` in its argument."""
     power = check_power(power)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subvent.functions.activation import check_power, recu
+from subvent.functions.activation import check_power, recu, recu_growth
 from subvent.functions.checks import as_double, complete, refuse, require, weighted
 from subvent.sources.staging import stage
 
@@ -65,16 +65,21 @@ class RecuNet:
         return theta[0], *(theta[1 + i * h : 1 + (i + 1) * h] for i in range(4))
 
     def value(self, s: Column, t: Column | None = None) -> Column:
-        """The net as a column in raw units: plain arithmetic, no worker."""
+        """The net as a column in raw units: plain arithmetic, no worker.
+
+        It is the value where s is lowest, and what each unit adds from there: these have one sign, so digits that the
+        units lose against c are lost there alone, and the rounding along s is that of the result.
+        """
         s_low, s_width, t_low, t_width, y_mean, y_sd = self.scales
         c, v, a, u, b = self.parts()
         s = (s.cast("double") - s_low) / s_width
         t = F.lit(0.0) if t is None else (t.cast("double") - t_low) / t_width
-        total = F.lit(float(c))
+        lowest, added = F.lit(float(c)), F.lit(0.0)
         for k in range(self.hidden):
-            inner = F.lit(float(softplus(a[k]))) * s + F.lit(float(u[k])) * t + F.lit(float(b[k]))
-            total = total + F.lit(float(softplus(v[k]))) * recu(inner, self.power)
-        return total * F.lit(float(y_sd)) + F.lit(float(y_mean))
+            inner, size = F.lit(float(u[k])) * t + F.lit(float(b[k])), F.lit(float(softplus(v[k])))
+            lowest = lowest + size * recu(inner, self.power)
+            added = added + size * recu_growth(inner, F.lit(float(softplus(a[k]))) * s, self.power)
+        return (lowest * F.lit(float(y_sd)) + F.lit(float(y_mean))) + added * F.lit(float(y_sd))
 
     def to_df(self, spark: SparkSession) -> DataFrame:
         """The hidden units as a table; unit 0 carries c in ``b``."""

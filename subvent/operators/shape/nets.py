@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subvent.functions.activation import recu
+from subvent.functions.activation import recu, recu_growth
 from subvent.functions.checks import as_double, complete, refuse, require, weighted
 from subvent.operators.shape.net import FIRST_DAMPING, RecuNet, advance_damping, first_weights, forward
 from subvent.plans.lookup import BROADCAST_ROWS, attach
@@ -63,17 +63,18 @@ class RecuNets:
         return attach(df, self.table.select(*self.by, "theta", "scales", "n"), list(self.by), "n", broadcast_rows)
 
     def value(self, s: Column, t: Column | None = None) -> Column:
-        """The net of the row's own ``theta`` and ``scales`` as a column in raw units."""
+        """The net of the row's own ``theta`` and ``scales`` as a column in raw units, summed up as that of :class:`RecuNet`."""
         get = lambda i: F.get("theta", F.lit(i))
         scale = lambda i: F.get("scales", F.lit(i))
         soft = lambda x: F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x)))
         s = (s.cast("double") - scale(0)) / scale(1)
         t = F.lit(0.0) if t is None else (t.cast("double") - scale(2)) / scale(3)
-        total, h = get(0), self.hidden
+        lowest, added, h = get(0), F.lit(0.0), self.hidden
         for k in range(1, h + 1):
-            inner = soft(get(h + k)) * s + get(2 * h + k) * t + get(3 * h + k)
-            total = total + soft(get(k)) * recu(inner, self.power)
-        return total * scale(5) + scale(4)
+            inner, size = get(2 * h + k) * t + get(3 * h + k), soft(get(k))
+            lowest = lowest + size * recu(inner, self.power)
+            added = added + size * recu_growth(inner, soft(get(h + k)) * s, self.power)
+        return (lowest * scale(5) + scale(4)) + added * scale(5)
 
     def save(self, path: str) -> None:
         self.table.write.parquet(f"{path}/nets")

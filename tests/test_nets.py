@@ -4,9 +4,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from subvent import RecuNets, collocation_points, prior_net_fit, recu_net_fit, recu_net_predict, shape_audit
+from subvent import RecuNet, RecuNets, collocation_points, prior_net_fit, recu_net_fit, recu_net_predict, shape_audit
+from subvent.functions.activation import recu_growth
 from subvent.operators.prior.priors import third_difference, upper_bound
 from subvent.operators.shape import nets
+from subvent.operators.shape.net import forward
 from subvent.sources.staging import stage
 
 
@@ -111,3 +113,44 @@ def test_a_weight_is_that_many_rows(spark, dose_panel, by, merged):
         a, b = ({r["segment"]: r for r in x.table.collect()} for x in (one, two))
         for k in b:
             assert same(a[k]["theta"], b[k]["theta"]) and a[k]["loss"] == pytest.approx(b[k]["loss"])
+
+
+#: A fit of the doses of sf0.001: c and the units cancel to a tenth of a percent at low doses.
+CANCELLING = [
+    -17.894277434517946, -0.5755299236929164, -6.040301401258782, -2.765432776055934, -3.04916064848415, 2.6199649155311198,
+    0.3368700198365565, -5.074979961917795, 3.404891301685469, -18.32869418042536, -5.630972393377268, 0.8744719757025567,
+    1.2278556855245633, 0.3864746985645857, 1.4618493215139001, -0.45173146459399327, 0.023624204143896432, 0.0, 0.0, 0.0, 0.0, 0.0,
+    0.0, 0.0, 0.0, 6.10955754937653, -3.45139766548162, -1.6053122783689648, -2.953335114402911, -0.9596359059991277,
+    0.2496017061456638, -1.1251576279123623, -1.3331533287984179,
+]
+CANCELLING_SCALES = [0.0, 0.1, 0.0, 1.0, 38.61979059009179, 15.412168337599535]
+
+
+@pytest.mark.parametrize("power", [2.0, 2.5])
+def test_predictions_keep_their_shape_to_the_last_digits(spark, power):
+    grid = spark.range(2001).select(F.lit("A").alias("segment"), (F.col("id") / 8000 - 0.05).alias("dose"))
+    table = spark.createDataFrame(
+        [("A", CANCELLING, CANCELLING_SCALES, 1)], "segment string, theta array<double>, scales array<double>, n bigint"
+    )
+    for net in (
+        RecuNet(tuple(CANCELLING), power, "dose", None, tuple(CANCELLING_SCALES)),
+        nets.RecuNets(table, ("segment",), power, "dose", None, 8),
+    ):
+        scored = recu_net_predict(grid, net)
+        audit = shape_audit(scored, "pred", "dose").first()
+        assert (audit["points"], audit["slope_breaches"], audit["bend_breaches"]) == (2001, 0, 0)
+        rows = scored.orderBy("dose").collect()
+        x = np.asarray([r["dose"] for r in rows])
+        plain, _ = forward(np.asarray(CANCELLING), power, x / 0.1, np.zeros(len(x)))
+        assert np.allclose([r["pred"] for r in rows], plain * CANCELLING_SCALES[5] + CANCELLING_SCALES[4], rtol=1e-11)
+
+
+def test_growth_of_the_activation(spark):
+    rows = [(2.0, 1e-9), (2.0, -3.0), (-1.0, 3.0), (-2.0, 1.0), (2.0, None), (1.5, -0.5)]
+    df = spark.createDataFrame(rows, "z double, d double")
+    for power in (2.0, 3.0):
+        found = [r[0] for r in df.select(recu_growth(F.col("z"), F.col("d"), power)).collect()]
+        slope = power * 2.0 ** (power - 1) * 1e-9
+        assert found[0] == pytest.approx(slope, rel=1e-8) and found[4] is None
+        plain = [max(z + d, 0.0) ** power - max(z, 0.0) ** power for z, d in (rows[1], rows[2], rows[3], rows[5])]
+        assert [found[1], found[2], found[3], found[5]] == pytest.approx(plain)
