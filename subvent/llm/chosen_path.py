@@ -256,8 +256,8 @@ def _candidates(reps: DataFrame, similarity: float, places: int, recall: float,
     """Links ``u``, ``v`` between representatives that some run found alike on their sketches.
 
     After the first few runs, what they have linked is put together into groups. All pairs of a group will be compared
-    anyway, so the other runs leave out nodes that lie in one group: a large group of near copies, which no split makes
-    small, takes part in the first runs only. Nodes of what is not yet linked may be split more than ``depth`` times; then
+    anyway, so the other runs leave out nodes that lie in one group, and settle those that do but for a few members: a large
+    group of near copies, which no split makes small, is split in the first runs only. Nodes of what is not yet linked may be split more than ``depth`` times; then
     runs are added, for the representatives that were in such nodes alone, until there are as many as that depth asks for: all
     others have met whom they are like at fewer splits.
     """
@@ -273,21 +273,43 @@ def _candidates(reps: DataFrame, similarity: float, places: int, recall: float,
     grouped = staged(reps.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep")), "grouped")
     done = first
     if done < runs:
-        links, more, others = _some_runs(grouped, range(done, runs), similarity, places, least, depth)
+        links, more, others = _some_runs(grouped, range(done, runs), similarity, places, least, depth, grouped=True)
         found, done, splits, deep = found.unionByName(links), runs, max(splits, more), deep.unionByName(others)
     while done < needed(splits):
         grouped = staged(grouped.join(deep.distinct(), "rep", "left_semi"), "grouped")
         runs = needed(splits)
-        links, more, deep = _some_runs(grouped, range(done, runs), similarity, places, least, depth)
+        links, more, deep = _some_runs(grouped, range(done, runs), similarity, places, least, depth, grouped=True)
         found, done, splits = found.unionByName(links), runs, max(splits, more)
     return found
 
 
+def _mostly_one_group(large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the ``large`` nodes that are split on, and of the others ``leaf`` and ``rep``, to be compared by brute force.
+
+    Pairs inside a group need no comparison. A node that one group fills but for a few is settled at once, in leaves of a block of
+    the group and all the others: about twice its rows in all, where splits would carry the group along for the others' sake.
+    """
+    own = large.groupBy("node", "label").agg(F.count("*").alias("_own"), F.first("n").alias("n"))
+    main = own.groupBy("node").agg(F.max(F.struct("_own", "label")).alias("_main"), F.first("n").alias("n"))
+    others = F.col("n") - F.col("_main._own")
+    main = main.filter(others <= LEAF // 2).select(
+        "node", F.col("_main.label").alias("_main"), F.ceil(F.col("_main._own") / (LEAF - others)).cast("int").alias("_blocks")
+    )
+    main = staged(main, "main_groups")  # a row per node
+    some, inside = large.join(main, "node"), F.col("label") == F.col("_main")
+    block = F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    rows = some.filter(inside).select("node", "rep", block.alias("block")).unionByName(
+        some.filter(~inside).select("node", "rep", every.alias("block"))
+    )
+    return large.join(main, "node", "left_anti"), rows.select(F.xxhash64("node", "block").alias("leaf"), "rep")
+
+
 def _some_runs(
-    reps: DataFrame, runs: range, similarity: float, places: int, least: int, depth: int
+    reps: DataFrame, runs: range, similarity: float, places: int, least: int, depth: int, grouped: bool = False
 ) -> tuple[DataFrame, int, DataFrame]:
     """Links that these runs find between representatives of different ``label``, how often a node was split at most, and the
-    representatives (``rep``) in nodes that come of more than ``depth`` splits."""
+    representatives (``rep``) in nodes that come of more than ``depth`` splits. With ``grouped``, ``label`` is a group found before."""
     spark = reps.sparkSession
     share = 1 / (similarity * places)
     drawn = lambda node, i: F.pmod(F.xxhash64(node, i), F.lit(1 << 30)) < int(share * (1 << 30))
@@ -300,7 +322,7 @@ def _some_runs(
     child = lambda df: df.select("rep", "label", F.xxhash64("node", "i", F.get("sketch", "i")).alias("node"), "parent")
     start = reps.select("rep", "label", "sketch", F.lit(None).cast("bigint").alias("parent"), first.alias("x"))
     level = child(start.select("rep", "label", "sketch", "parent", "x.*"))
-    leaves, links, deep = None, None, spark.createDataFrame([], "rep bigint")
+    leaves, links, blocks, deep = None, None, None, spark.createDataFrame([], "rep bigint")
     for number in range(LEVELS):
         level, path = staged(level, "paths"), written_paths(spark)[-1]
         sizes = level.groupBy("node").agg(
@@ -318,6 +340,9 @@ def _some_runs(
         large = level.filter(F.col("n") > LEAF)
         if not large.take(1):
             break
+        if grouped:
+            large, mixed = _mostly_one_group(large)
+            blocks = mixed if blocks is None else blocks.unionByName(mixed)
         whole = large if number == LEVELS - 1 else large.filter("alike")
         first_of = whole.groupBy("node").agg(F.min("rep").alias("v"))
         stars = whole.join(first_of, "node").filter("rep <> v").select(F.col("rep").alias("u"), "v").distinct()
@@ -331,8 +356,11 @@ def _some_runs(
         level = child(rest.join(reps, "rep").select("rep", "label", "sketch", "node", "parent", sampled))
     sets = staged(leaves.distinct().select(F.monotonically_increasing_id().alias("leaf"), "reps"), "leaves")
     rows = sets.agg(F.sum(F.size("reps"))).first()[0] or 0
+    spread = sets.select("leaf", F.explode("reps").alias("rep"))
+    if blocks is not None:
+        rows, spread = rows + blocks.count(), spread.unionByName(blocks)
     tasks = max(1, math.ceil(rows / TASK_ROWS))
-    spread = sets.select("leaf", F.explode("reps").alias("rep")).join(reps.select("rep", "sketch"), "rep")
+    spread = spread.join(reps.select("rep", "sketch"), "rep")
     spread = spread.withColumn("_task", F.pmod(F.xxhash64("leaf"), F.lit(tasks)))
     found = spread.groupBy("_task").applyInArrow(_compare_leaves(places, least), "u bigint, v bigint").distinct()
     return found if links is None else found.unionByName(links), number + 1, deep

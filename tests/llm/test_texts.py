@@ -415,3 +415,35 @@ def test_runs_for_a_sketch_of_tokens():
     sizes = [chosen_path.runs_for(0.999, d, 64) for d in range(1, 9)]
     assert sizes == sorted(sizes) and all(n >= chosen_path.runs_for(0.999, d) for d, n in enumerate(sizes, 1))
     assert chosen_path.runs_for(0.999, 8) == 33
+
+
+def test_a_large_group_is_not_split_for_a_few_others(spark, monkeypatch):
+    """A family of near copies and a few that share half of its tokens: once the family is known, its nodes are settled at once."""
+    monkeypatch.setattr(chosen_path, "LEAF", 64)
+    rng = np.random.default_rng(12)
+    family, others, places = 600, 24, chosen_path.PLACES
+    template = rng.integers(1, 1 << 20, places)
+    fresh = rng.integers(1 << 20, 1 << 30, (family + others, places))
+    held = rng.random((family + others, places)) < np.where(np.arange(family + others) < family, 0.93, 0.5)[:, None]
+    tokens = np.where(held, template, fresh)
+    tokens[family + 1 :: 2] = np.where(rng.random((others // 2, places)) < 0.9, tokens[family::2], fresh[family + 1 :: 2])  # pairs
+    reps = spark.createDataFrame([(i, row) for i, row in enumerate(tokens.tolist())], "rep bigint, sketch array<int>").repartition(4)
+    written, real, some = [], chosen_path.staged, chosen_path._some_runs
+
+    def staged(df, name):
+        found = real(df, name)
+        if name == "paths":
+            written[-1].append(found.count())
+        return found
+
+    def some_runs(*args, **named):
+        written.append([])
+        return some(*args, **named)
+
+    monkeypatch.setattr(chosen_path, "staged", staged)
+    monkeypatch.setattr(chosen_path, "_some_runs", some_runs)
+    found = chosen_path._candidates(reps, 0.8, places, 0.999, 3)
+    label = {r["node"]: r["label"] for r in chosen_path.components(found).collect()}
+    assert len(written) > 1 and sum(n for runs in written[1:] for n in runs[1:]) < family
+    assert len({label[i] for i in range(family)}) == 1
+    assert all(label[i] == label[i + 1] for i in range(family, family + others, 2))
