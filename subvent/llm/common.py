@@ -27,6 +27,8 @@ CHUNK_ROWS = 4096
 SLICE_BYTES = 4 << 20
 #: The same for work with many numbers per byte.
 SMALL_SLICE = 1 << 20
+#: Parts of pieces whose ids a worker remembers, about; some tens of MB.
+PARTS_KEPT = 200_000
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -241,7 +243,7 @@ def library_units(path: str, added_tokens: bool = False) -> Units:
     tokenize, shown = tokenizer.model.tokenize, "".join(byte_characters())
     with open(path, encoding="utf-8") as file:
         plan = json.load(file)
-    short: dict[str, list[int]] = {}
+    parts_known: dict[str, list[int]] = {}  # of this slice's pieces and, at most PARTS_KEPT, of those before
     spaced = plan["normalizer"] is None  # one letter run, after a space or not, is one match of either pattern
 
     def part(text: str) -> list[int]:
@@ -261,25 +263,30 @@ def library_units(path: str, added_tokens: bool = False) -> Units:
 
     def encode(pieces: list[str]) -> list[list[int]]:
         out: list[list[int] | None] = []
-        seen: dict[str, list[int]] = {}  # parts of these pieces; only short ones are kept for the next
+        if len(parts_known) > PARTS_KEPT:
+            parts_known.clear()
+        known = parts_known.get
 
         def ids_of(text: str) -> list[int]:
-            found = short.get(text) or seen.get(text)
-            if found is None:
-                found = part(text)
-                (short if len(text) <= 3 else seen)[text] = found
+            found = parts_known[text] = part(text)
             return found
 
         for p in pieces:
-            if split is None or not _latin(p):
+            if split is None or not (p.isascii() or _latin(p)):
                 out.append(None)
                 continue
             low = p.lower() if lower else p
-            if low[spaced:].isalpha() and (not spaced or low[0] == " "):
-                out.append(ids_of(low))
+            if low.isalpha() or (spaced and low[:1] == " " and low[1:].isalpha()):
+                out.append(known(low) or ids_of(low))
+                continue
+            parts = split(low)
+            if len(parts) == 1:
+                out.append(known(low := parts[0]) or ids_of(low))
             else:
-                parts = split(low)
-                out.append(ids_of(parts[0]) if len(parts) == 1 else [i for x in parts for i in ids_of(x)])
+                found = []
+                for x in parts:
+                    found += known(x) or ids_of(x)
+                out.append(found)
         rest = [k for k, x in enumerate(out) if x is None]
         for k in range(0, len(rest), 1024):
             some = rest[k : k + 1024]

@@ -301,3 +301,12 @@ def test_queries_find_added_tokens(spark, tmp_path):
     sizes = {i: len(whole.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
     for pieces in (queries.op8_curve_packing(spark, str(tmp_path)), corpus_pipeline.packed(spark, docs, str(tmp_path))):
         assert {r["doc_id"]: r["doc_tokens"] for r in pieces.collect()} == sizes
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_parts_are_remembered_across_slices(monkeypatch, path):
+    monkeypatch.setattr(common, "PARTS_KEPT", 20)
+    units, whole = common.library_units(path), tokenizer(path)
+    for some in (TEXTS[:9], TEXTS[9:], TEXTS[::-1], ["", " "]):
+        found = split_up(*units.ids(pa.array(some, pa.large_string())))
+        assert found == [whole.encode(t, add_special_tokens=False).ids for t in some]
