@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from subvent.llm.common import chunked, column, slices, staged, strings, units_of
+from subvent.llm.common import binaries, chunked, column, slices, staged, strings, units_of
 
 #: Dimensions of the hashed vector, of its projection, and bits of the key for each of the latter.
 HASHED, DIMENSIONS, KEY_BITS = 64, 3, 16
@@ -49,9 +49,10 @@ def hilbert_key(points: np.ndarray, bits: int = KEY_BITS) -> np.ndarray:
 
 def curve_keys(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Hilbert key of each document, from its ids; documents with the same ids have the same key."""
-    rows = np.repeat(np.arange(len(counts)), counts)
-    slot = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(58)).astype(np.int64)
-    vectors = np.sqrt(np.bincount(rows * HASHED + slot, minlength=len(counts) * HASHED).reshape(-1, HASHED))
+    every = np.arange(int(ids.max(initial=0)) + 1, dtype=np.uint64)
+    place = (every * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(58)).astype(np.int64)[ids]
+    place += np.repeat(np.arange(len(counts)) * HASHED, counts)
+    vectors = np.sqrt(np.bincount(place, minlength=len(counts) * HASHED).reshape(-1, HASHED))
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     vectors = vectors / np.where(norms == 0, 1, norms)
     matrix, _ = np.linalg.qr(np.random.default_rng(8).standard_normal((HASHED, DIMENSIONS)))
@@ -115,9 +116,7 @@ def pack(
                 if end_id is not None:
                     ids = np.insert(ids, np.cumsum(counts), end_id)
                     counts = counts + 1
-                ends = 4 * np.concatenate([[0], np.cumsum(counts)])
-                raw = ids.astype("<u4").tobytes()
-                data = pa.array([raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
+                data = binaries(ids.astype("<u4", copy=False), np.concatenate([[0], np.cumsum(counts)]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(i, j - i), pa.array(keys), pa.array(counts), data], ["doc_id", "key", "n", "ids"]
                 )

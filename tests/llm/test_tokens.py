@@ -310,3 +310,50 @@ def test_parts_are_remembered_across_slices(monkeypatch, path):
     for some in (TEXTS[:9], TEXTS[9:], TEXTS[::-1], ["", " "]):
         found = split_up(*units.ids(pa.array(some, pa.large_string())))
         assert found == [whole.encode(t, add_special_tokens=False).ids for t in some]
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abS'tsrevlméÉßǅİ×÷½¿\u0301\u024f\u0250Σ 1²,.<|> \n\t\r\x0b\x00\xa0 "), max_size=14), max_size=6))
+def test_runs_are_cut_as_the_library_does(path, texts):
+    units = common.kept_in_worker(f"runs{path}", lambda: common.library_units(path, added_tokens=True))
+    whole = common.kept_in_worker(f"runs_whole{path}", lambda: tokenizer(path))
+    found = split_up(*units.ids(pa.array(["", *texts, "x"], pa.large_string()).slice(1)))
+    assert found == [whole.encode(t, add_special_tokens=False).ids for t in [*texts, "x"]]
+
+
+def test_signs_and_capitals_make_no_new_pieces():
+    seen = []
+    units = common.library_units(WORD)
+    encode, units.encode = units.encode, lambda pieces: seen.extend(pieces) or encode(pieces)
+    units.ids(pa.array(["word Word, word. (WORD) don't", "word", " word;"], pa.large_string()))
+    assert sorted(seen) == sorted(["word", ",", ".", "(", ")", "don", "'t", ";"])
+
+
+def test_common_pieces_stay_when_others_are_forgotten():
+    seen = []
+    units = common.library_units(BYTE)
+    units.room = 40
+    encode, units.encode = units.encode, lambda pieces: seen.extend(pieces) or encode(pieces)
+    whole = tokenizer(BYTE)
+    for k in range(30):
+        texts = [f"one two {''.join(chr(97 + (k * 7 + i) % 26) for i in range(n))}" for n in range(3, 12)]
+        assert split_up(*units.ids(pa.array(texts, pa.large_string()))) == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(units.known) <= units.room + 12
+    assert seen.count("one") == seen.count(" two") == 1
+
+
+def test_binaries_are_cut_without_a_copy():
+    data = np.arange(6, dtype="<u4")
+    found = common.binaries(data, np.asarray([0, 2, 2, 6]))
+    assert [np.frombuffer(x.as_py(), "<u4").tolist() for x in found] == [[0, 1], [], [2, 3, 4, 5]]
+    assert len(common.binaries(data[:0], np.asarray([0]))) == 0
+
+
+@pytest.mark.parametrize("room", [1, 3, 1 << 16])
+def test_gathering_in_parts(monkeypatch, room):
+    monkeypatch.setattr(common, "GATHERED", room)
+    pool, starts, lengths = np.arange(50), np.asarray([7, 0, 40, 3, 3, 20, 9]), np.asarray([3, 0, 5, 1, 1, 10, 0])
+    found = common.gather(pool, starts, lengths)
+    assert found.tolist() == [x for a, n in zip(starts, lengths, strict=True) for x in range(a, a + n)]
+    assert len(common.gather(pool, starts[:0], lengths[:0])) == 0
