@@ -129,8 +129,16 @@ _BLOCK = (
 _PLACE = "block int, start_in_file bigint, doc_ids array<bigint>, lengths array<bigint>"
 
 
-def _raw_blocks(docs: DataFrame, tokenizer: str, end_id: int | None, text: str, id_col: str, block_ids: int, added_tokens: bool) -> DataFrame:
-    """Documents in ascending order, encoded and gathered into blocks of uncoded ids."""
+def _raw_type(vocabulary: int) -> str:
+    """The type of uncoded ids."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
+def _raw_blocks(
+    docs: DataFrame, tokenizer: str, end_id: int | None, text: str, id_col: str, block_ids: int, vocabulary: int, added_tokens: bool
+) -> DataFrame:
+    """Documents in ascending order, encoded and gathered into blocks of uncoded ids. A file's last row, of block -1, has how
+    often each id occurs in the file (64-bit) and nothing else."""
     spark = docs.sparkSession
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = (
@@ -147,22 +155,23 @@ def _raw_blocks(docs: DataFrame, tokenizer: str, end_id: int | None, text: str,
         lengths: list[int] = []
         held: list[np.ndarray] = []
         size = 0
+        total = np.zeros(vocabulary, np.int64)
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary())
+
+        def row(*values: object) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([v], t) for v, t in zip(values, kinds, strict=True)],
+                ["file", "block", "start_in_file", "doc_ids", "lengths", "ids", "id_counts"],
+            )
 
         def close() -> pa.RecordBatch:
-            nonlocal block, start, doc_ids, lengths, held, size
-            ids = np.concatenate(held).astype("<u4").tobytes()
-            row = [[file], [block], [start], [doc_ids], [lengths], [ids]]
+            nonlocal block, start, doc_ids, lengths, held, size, total
+            ids = np.concatenate(held)
+            total += np.bincount(ids, minlength=vocabulary)  # refuses an id beyond the vocabulary
+            out = row(file, block, start, doc_ids, lengths, ids.astype(_raw_type(vocabulary)).tobytes(), None)
             block, start = block + 1, start + size
             doc_ids, lengths, held, size = [], [], [], 0
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(v, t)
-                    for v, t in zip(
-                        row, (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()), strict=True
-                    )
-                ],
-                ["file", "block", "start_in_file", "doc_ids", "lengths", "ids"],
-            )
+            return out
 
         for batch in batches:
             texts, names = strings(batch, "text"), batch.column("doc_id").to_pylist()
@@ -188,22 +197,24 @@ def _raw_blocks(docs: DataFrame, tokenizer: str, end_id: int | None, text: str,
                         yield close()
         if doc_ids:
             yield close()
+        if block:
+            yield row(file, -1, start, [], [], None, total.astype("<i8").tobytes())
 
-    return ordered.mapInArrow(run, f"file int, {_PLACE}, ids binary")
+    return ordered.mapInArrow(run, f"file int, {_PLACE}, ids binary, id_counts binary")
 
 
 def _id_counts(raw: DataFrame, vocabulary: int) -> np.ndarray:
-    """How often each id occurs in all blocks; at most ``vocabulary`` numbers reach the driver."""
+    """How often each id occurs in all files; at most ``vocabulary`` numbers reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for data in batch.column("ids"):
-                total += np.bincount(np.frombuffer(data.as_buffer(), "<u4"), minlength=vocabulary)
+            for data in batch.column("id_counts"):
+                total += np.frombuffer(data.as_buffer(), "<i8")
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["id", "n"])
 
-    counted = raw.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counted = raw.filter("block < 0").select("id_counts").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(vocabulary, np.int64)
     for row in counted:
         out[row["id"]] = row["n"]
@@ -230,7 +241,7 @@ def write_token_files(
     shuffled once; no group is collected: blocks close at ``block_ids``. An empty table gives an empty ``blocks``.
     """
     spark = docs.sparkSession
-    raw = staged(_raw_blocks(docs, tokenizer, end_id, text, id_col, block_ids, added_tokens), "token_blocks")
+    raw = staged(_raw_blocks(docs, tokenizer, end_id, text, id_col, block_ids, vocabulary, added_tokens), "token_blocks")
     freq = scaled_frequencies(_id_counts(raw, vocabulary))
     table = spark.createDataFrame([(i, int(f)) for i, f in enumerate(freq)], "id int, frequency bigint")
     table.coalesce(1).write.parquet(f"{path}/table")
@@ -239,7 +250,7 @@ def write_token_files(
         coder = Coder(freq)
         for batch in batches:
             for row in batch.to_pylist():
-                block = coder.encode(np.frombuffer(row.pop("ids"), "<u4").astype(np.int64), lanes)
+                block = coder.encode(np.frombuffer(row.pop("ids"), _raw_type(vocabulary)).astype(np.int64), lanes)
                 yield pa.RecordBatch.from_pylist([row | block], schema=schema)
 
     kinds = {"lanes": pa.int32(), "block": pa.int32(), "file": pa.int32(), "words": pa.binary(), "mark_states": pa.binary()}
@@ -247,7 +258,9 @@ def write_token_files(
     names = [x.split()[0] for x in f"file int, {_PLACE}, {_BLOCK}".split(", ")]
     schema = pa.schema([(n, kinds.get(n, pa.int64())) for n in names])
     (
-        raw.mapInArrow(run, f"file int, {_PLACE}, {_BLOCK}")
+        raw.filter("block >= 0")
+        .drop("id_counts")
+        .mapInArrow(run, f"file int, {_PLACE}, {_BLOCK}")
         .sortWithinPartitions("file", "block")
         .write.partitionBy("file")
         .option("compression", "none")

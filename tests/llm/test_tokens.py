@@ -343,6 +343,21 @@ def test_common_pieces_stay_when_others_are_forgotten():
     assert seen.count("one") == seen.count(" two") == 1
 
 
+def test_ids_are_counted_as_they_are_made(table):
+    raw = ans._raw_blocks(table, WORD, 1, "text", "doc_id", 64, 49408, True).collect()
+    blocks, ends = [r for r in raw if r["block"] >= 0], [r for r in raw if r["block"] < 0]
+    assert len(ends) == len({r["file"] for r in blocks}) and all(r["ids"] is None for r in ends)
+    found = sum(np.frombuffer(r["id_counts"], "<i8") for r in ends)
+    ids = np.concatenate([np.frombuffer(r["ids"], ans._raw_type(49408)) for r in blocks])
+    assert (found == np.bincount(ids, minlength=49408)).all() and found[1] == table.count()
+
+
+def test_ids_beyond_the_vocabulary_are_refused(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "some words")], "doc_id bigint, text string")
+    with pytest.raises(Exception, match="broadcast"):
+        ans.write_token_files(docs, f"{tmp_path}/few", WORD, end_id=1, vocabulary=300)
+
+
 def test_binaries_are_cut_without_a_copy():
     data = np.arange(6, dtype="<u4")
     found = common.binaries(data, np.asarray([0, 2, 2, 6]))
