@@ -265,8 +265,7 @@ def _candidates(reps: DataFrame, similarity: float, places: int, recall: float,
     least = _least_equal(similarity, places)
     runs = needed(depth)
     first = min(FIRST_RUNS, runs)
-    links, splits, deep = _some_runs(reps.withColumn("label", F.col("rep")), range(first), similarity, places, least, depth)
-    found = staged(links, "candidates")
+    found, splits, deep = _some_runs(reps.withColumn("label", F.col("rep")), range(first), similarity, places, least, depth)
     if first == runs and needed(splits) == runs:
         return found
     labels = components(found).select(F.col("node").alias("rep"), "label")
@@ -283,8 +282,8 @@ def _candidates(reps: DataFrame, similarity: float, places: int, recall: float,
     return found
 
 
-def _mostly_one_group(large: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of the ``large`` nodes that are split on, and of the others ``leaf`` and ``rep``, to be compared by brute force.
+def _mostly_one_group(large: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the ``large`` nodes that are split on, and of the others, if any, ``leaf`` and ``rep``, to be compared by brute force.
 
     Pairs inside a group need no comparison. A node that one group fills but for a few is settled at once, in leaves of a block of
     the group and all the others: about twice its rows in all, where splits would carry the group along for the others' sake.
@@ -296,20 +295,23 @@ def _mostly_one_group(large: DataFrame) -> tuple[DataFrame, DataFrame]:
         "node", F.col("_main.label").alias("_main"), F.ceil(F.col("_main._own") / (LEAF - others)).cast("int").alias("_blocks")
     )
     main = staged(main, "main_groups")  # a row per node
-    some, inside = large.join(main, "node"), F.col("label") == F.col("_main")
+    if not main.take(1):
+        return large, None
     block = F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    rows = some.filter(inside).select("node", "rep", block.alias("block")).unionByName(
-        some.filter(~inside).select("node", "rep", every.alias("block"))
-    )
-    return large.join(main, "node", "left_anti"), rows.select(F.xxhash64("node", "block").alias("leaf"), "rep")
+    blocks = F.when(F.col("label") == F.col("_main"), F.array(block)).otherwise(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    rows = large.join(main, "node").select("node", "rep", F.explode(blocks).alias("block"))
+    return large.join(main, "node", "left_anti"), staged(rows.select(F.xxhash64("node", "block").alias("leaf"), "rep"), "blocks")
 
 
 def _some_runs(
     reps: DataFrame, runs: range, similarity: float, places: int, least: int, depth: int, grouped: bool = False
 ) -> tuple[DataFrame, int, DataFrame]:
     """Links that these runs find between representatives of different ``label``, how often a node was split at most, and the
-    representatives (``rep``) in nodes that come of more than ``depth`` splits. With ``grouped``, ``label`` is a group found before."""
+    representatives (``rep``) in nodes that come of more than ``depth`` splits. With ``grouped``, ``label`` is a group found before.
+
+    What a level leaves to compare or link is read from written tables by scans alone, so no plan holds joins or sums per level:
+    the driver keeps all stages and tasks of a plan until it ends.
+    """
     spark = reps.sparkSession
     share = 1 / (similarity * places)
     drawn = lambda node, i: F.pmod(F.xxhash64(node, i), F.lit(1 << 30)) < int(share * (1 << 30))
@@ -326,35 +328,36 @@ def _some_runs(
     for number in range(LEVELS):
         level, path = staged(level, "paths"), written_paths(spark)[-1]
         sizes = level.groupBy("node").agg(
-            F.count("*").alias("n"), F.min("label").alias("_low"), F.max("label").alias("_high"), F.max("parent").alias("_parent")
+            F.count("*").alias("n"), F.min("label").alias("_low"), F.max("label").alias("_high"), F.max("parent").alias("_parent"),
+            F.min("rep").alias("_first"),
         )
         # the share of its parent's members that a child keeps is about how similar they are
-        alike = F.coalesce(F.col("n") >= similarity * F.col("_parent"), F.lit(number == LEVELS - 1)).alias("alike")
-        sizes = sizes.filter("_low < _high").select("node", "n", alike)
+        alike = F.lit(True) if number == LEVELS - 1 else F.col("n") >= similarity * F.col("_parent")
+        sizes = sizes.filter("_low < _high").select("node", "n", F.when((F.col("n") > LEAF) & alike, F.col("_first")).alias("first"))
         level = staged(level.drop("parent").join(sizes, "node"), "nodes")
         drop_paths(spark, [path])  # what goes on is in the nodes
         if number == depth:  # what is deeper was here
             deep = level.select("rep")
-        small = level.filter(F.col("n") <= LEAF).groupBy("node").agg(F.sort_array(F.collect_list("rep")).alias("reps")).select("reps")
+        small = level.filter(F.col("n") <= LEAF).select("node", "rep")
         leaves = small if leaves is None else leaves.unionByName(small)
         large = level.filter(F.col("n") > LEAF)
         if not large.take(1):
             break
-        if grouped:
-            large, mixed = _mostly_one_group(large)
+        large, mixed = _mostly_one_group(large) if grouped else (large, None)
+        stars = large.filter("rep <> first").select(F.col("rep").alias("u"), F.col("first").alias("v"))
+        if mixed is not None:
             blocks = mixed if blocks is None else blocks.unionByName(mixed)
-        whole = large if number == LEVELS - 1 else large.filter("alike")
-        first_of = whole.groupBy("node").agg(F.min("rep").alias("v"))
-        stars = whole.join(first_of, "node").filter("rep <> v").select(F.col("rep").alias("u"), "v").distinct()
+            stars = staged(stars, "stars")
         links = stars if links is None else links.unionByName(stars)
         if number == LEVELS - 1:
             break
-        rest = large.filter("NOT alike").select("rep", "node", F.col("n").alias("parent"))
+        rest = large.filter("first IS NULL").select("rep", "node", F.col("n").alias("parent"))
         if not rest.take(1):
             break
         sampled = F.explode(F.filter(every, lambda i: drawn(F.col("node"), i))).alias("i")
         level = child(rest.join(reps, "rep").select("rep", "label", "sketch", "node", "parent", sampled))
-    sets = staged(leaves.distinct().select(F.monotonically_increasing_id().alias("leaf"), "reps"), "leaves")
+    sets = leaves.groupBy("node").agg(F.sort_array(F.collect_list("rep")).alias("reps")).select("reps").distinct()
+    sets = staged(sets.select(F.monotonically_increasing_id().alias("leaf"), "reps"), "leaves")
     rows = sets.agg(F.sum(F.size("reps"))).first()[0] or 0
     spread = sets.select("leaf", F.explode("reps").alias("rep"))
     if blocks is not None:
@@ -362,8 +365,8 @@ def _some_runs(
     tasks = max(1, math.ceil(rows / TASK_ROWS))
     spread = spread.join(reps.select("rep", "sketch"), "rep")
     spread = spread.withColumn("_task", F.pmod(F.xxhash64("leaf"), F.lit(tasks)))
-    found = spread.groupBy("_task").applyInArrow(_compare_leaves(places, least), "u bigint, v bigint").distinct()
-    return found if links is None else found.unionByName(links), number + 1, deep
+    found = spread.groupBy("_task").applyInArrow(_compare_leaves(places, least), "u bigint, v bigint")
+    return staged((found if links is None else found.unionByName(links)).distinct(), "candidates"), number + 1, deep
 
 
 def jaccard_classes(

@@ -410,6 +410,30 @@ def test_recall_in_families_larger_than_a_leaf(spark, monkeypatch):
     assert np.mean(met) >= 0.95
 
 
+def test_plans_do_not_grow_with_levels(spark, monkeypatch):
+    """The driver holds all stages of a plan at once, so those of all levels of all runs must not be one plan."""
+    monkeypatch.setattr(chosen_path, "LEAF", 8)
+    rng = np.random.default_rng(13)
+    family, others, places = 100, 200, chosen_path.PLACES
+    template = rng.integers(1, 1 << 20, places)
+    held = rng.random((family + others, places)) < np.where(np.arange(family + others) < family, 0.93, 0.75)[:, None]
+    tokens = np.where(held, template, rng.integers(1 << 20, 1 << 30, held.shape))
+    reps = spark.createDataFrame([(i, row) for i, row in enumerate(tokens.tolist())], "rep bigint, sketch array<int>").repartition(4)
+    exchanges, real = {}, chosen_path.staged
+    count = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+    def staged(df, name):
+        exchanges.setdefault(name, []).append(count(df))
+        return real(df, name)
+
+    monkeypatch.setattr(chosen_path, "staged", staged)
+    found = chosen_path._candidates(real(reps, "reps"), 0.8, places, 0.999, 3)
+    assert len(exchanges["nodes"]) >= 6  # levels of both calls
+    assert max(n for name, counts in exchanges.items() if name != "links" for n in counts) <= 4 and count(found) == 0
+    label = {r["node"]: r["label"] for r in chosen_path.components(found).collect()}
+    assert len({label[i] for i in range(family)}) == 1
+
+
 def test_runs_for_a_sketch_of_tokens():
     """Tokens that are equal by chance vary, which takes a few more runs than their mean does; deeper nodes take more."""
     sizes = [chosen_path.runs_for(0.999, d, 64) for d in range(1, 9)]
